@@ -1 +1,91 @@
-"""Registered queries built on the operators (candidates, metrics, classification, batches)."""
+"""Registered queries built on the operators (candidates, guardrails, metrics, classification,
+token batches) and their DuckDB oracle SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from candor import constants as K
+from candor.functions import rules as R
+from candor.functions import text as T
+from candor.operators import metrics as M
+from candor.operators.select import best_candidate, sample_candidate
+from candor.operators.strategies import DEFAULT_TOP_K, strategy_rows
+from candor.operators.summarize import SENTENCE, scored_sentences
+from candor.plans import oracle as O
+from candor.plans.queries import register
+from candor.sources.lines import load_table
+
+# =============================================================================================
+# Scored sentence candidates (shared by the candidate queries)
+# =============================================================================================
+
+
+def _scored(spark, sf_dir, keep=None):
+    return scored_sentences(load_table(spark, sf_dir, "documents"), keep=keep)
+
+
+def _scored_cte(keep: str = "") -> str:
+    """DuckDB: sentences of documents with their rounded mean-idf score -> ``scored``."""
+    sent = O.S(SENTENCE)
+    return f"""
+sdocs AS (SELECT doc_id{keep}, regexp_extract_all({O.collapse_ws('text')}, {sent}) AS ss FROM documents),
+sraw AS (SELECT doc_id{keep}, unnest(ss) AS raw, unnest(generate_series(1, len(ss))) AS cand_id FROM sdocs),
+cands AS (SELECT doc_id{keep}, CAST(cand_id AS BIGINT) AS cand_id, trim(raw) AS text FROM sraw WHERE trim(raw) <> ''),
+ctoks AS (SELECT doc_id, cand_id, unnest({O.regex_words('text')}) AS tok FROM cands),
+ctf AS (SELECT doc_id, cand_id, tok, count(*) AS tf FROM ctoks GROUP BY doc_id, cand_id, tok),
+cdf AS (SELECT tok, count(DISTINCT doc_id) AS df FROM ctf GROUP BY tok),
+cnd AS (SELECT count(DISTINCT doc_id) AS n FROM cands),
+csc AS (SELECT ctf.doc_id, ctf.cand_id, sum(tf * ln(CAST(cnd.n AS DOUBLE) / df)) / sum(tf) AS s
+        FROM ctf JOIN cdf USING (tok) CROSS JOIN cnd GROUP BY ctf.doc_id, ctf.cand_id),
+scored AS (SELECT c.*, round(coalesce(csc.s, 0.0), 9) AS score FROM cands c LEFT JOIN csc USING (doc_id, cand_id))"""
+
+
+def _dbl(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def _best_sql(src: str = "scored", name: str = "best") -> str:
+    return f"""{name} AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cand_id) AS _rn FROM {src}) WHERE _rn = 1)"""
+
+
+def _sample_sql(strategy: str, temperature, top_p, top_k, src: str = "scored", name: str = "sampled",
+                seed: int = K.DEFAULT_SEED) -> str:
+    t = _dbl(temperature or 1.0)
+    p = _dbl(1.0 if top_p is None else top_p)
+    k = int(top_k or DEFAULT_TOP_K)
+    u = (f"((('0x' || substr(md5(concat_ws('|', '{seed}', CAST(doc_id AS VARCHAR), {O.S(strategy)}, "
+         f"CAST(cand_id AS VARCHAR))), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)")
+    return f"""
+{name}_rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cand_id) AS _rn FROM {src}),
+{name}_z AS (SELECT *, exp(score / {t} - max(score / {t}) OVER (PARTITION BY doc_id)) AS _z FROM {name}_rk WHERE _rn <= {k}),
+{name}_p AS (SELECT *, _z / sum(_z) OVER (PARTITION BY doc_id) AS _p FROM {name}_z),
+{name}_c AS (SELECT *, round(coalesce(sum(_p) OVER (PARTITION BY doc_id ORDER BY score DESC, cand_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 9) AS _before FROM {name}_p),
+{name}_r AS (SELECT *, -ln({u}) / _p AS _race FROM {name}_c WHERE _before < {p}),
+{name} AS (SELECT * EXCLUDE (_rn, _z, _p, _before, _race, _r2), _p AS prob FROM
+           (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY _race, cand_id) AS _r2 FROM {name}_r) WHERE _r2 = 1)"""
+
+
+@register("scored_candidates", f"WITH {_scored_cte()} SELECT doc_id, cand_id, text, score FROM scored")
+def q_scored_candidates(spark, sf_dir):
+    return _scored(spark, sf_dir).select("doc_id", "cand_id", "text", "score")
+
+
+@register("summary_best", f"""WITH {_scored_cte()}, {_best_sql()}
+SELECT doc_id, cand_id, text, score, {O.first_sentence('text')} AS summary FROM best""")
+def q_summary_best(spark, sf_dir):
+    best = best_candidate(_scored(spark, sf_dir), ["doc_id"])
+    return best.select("doc_id", "cand_id", "text", "score", T.first_sentence("text").alias("summary"))
+
+
+_SS = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["summary_sampling"]))
+
+
+@register("summary_sampled", f"""WITH {_scored_cte()},
+{_sample_sql('sampling', _SS['temperature'], _SS['top_p'], _SS['top_k'])}
+SELECT doc_id, cand_id, text, score, round(prob, 9) AS prob, {O.first_sentence('text')} AS summary FROM sampled""")
+def q_summary_sampled(spark, sf_dir):
+    s = sample_candidate(_scored(spark, sf_dir), ["doc_id"], "sampling", _SS["temperature"], _SS["top_p"], _SS["top_k"])
+    return s.select("doc_id", "cand_id", "text", "score", F.round("prob", 9).alias("prob"),
+                    T.first_sentence("text").alias("summary"))
