@@ -18,39 +18,46 @@ SENTENCE = r"[^.!?]+[.!?]*"
 SCORE_DIGITS = 9
 
 
-def sentence_candidates(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def sentence_candidates(docs: DataFrame, key: str | list[str] = "doc_id", text_col: str = "text",
                         keep: list[str] | None = None) -> DataFrame:
-    """``(key, keep..., cand_id, text)``: non-empty sentences in order, ``cand_id`` 1-based."""
+    """``(keys, keep..., cand_id, text)``: non-empty sentences in order, ``cand_id`` 1-based."""
     keep = keep or []
+    key = _keys(key)
     parts = docs.select(
-        key, *keep,
+        *key, *keep,
         F.posexplode(F.regexp_extract_all(T.collapse_ws(text_col), F.lit("(" + SENTENCE + ")"), 1)).alias("pos", "raw"),
     )
-    return parts.select(key, *keep, (F.col("pos") + 1).alias("cand_id"), F.btrim("raw").alias("text")).where(
+    return parts.select(*key, *keep, (F.col("pos") + 1).alias("cand_id"), F.btrim("raw").alias("text")).where(
         F.col("text") != ""
     )
 
 
-def tfidf_scores(cands: DataFrame, key: str = "doc_id", cand: str = "cand_id", text_col: str = "text") -> DataFrame:
+def tfidf_scores(cands: DataFrame, key: str | list[str] = "doc_id", cand: str = "cand_id",
+                 text_col: str = "text") -> DataFrame:
     """Add ``score`` (mean idf of the candidate's tokens; 0.0 without tokens).
 
     Token counts are pre-aggregated per (key, cand, token) before any shuffle on the token;
     the document frequency table holds one row per distinct token, and the token join is left
     to AQE (broadcast when small at runtime, skew-split when a token is hot).
     """
-    toks = cands.select(key, cand, F.explode(T.regex_words(text_col)).alias("tok"))
-    tf = toks.groupBy(key, cand, "tok").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.select(key, "tok").distinct().groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = cands.select(F.count_distinct(key)).scalar()
+    key = _keys(key)
+    toks = cands.select(*key, cand, F.explode(T.regex_words(text_col)).alias("tok"))
+    tf = toks.groupBy(*key, cand, "tok").agg(F.count(F.lit(1)).alias("tf"))
+    dfreq = tf.select(*key, "tok").distinct().groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = cands.select(F.count_distinct(*key)).scalar()
     idf = dfreq.select("tok", F.log(n_docs.cast("double") / F.col("df")).alias("idf"))
-    sc = tf.join(idf, "tok").groupBy(key, cand).agg(
+    sc = tf.join(idf, "tok").groupBy(*key, cand).agg(
         (F.sum(F.col("tf") * F.col("idf")) / F.sum("tf")).alias("_s")
     )
-    return cands.join(sc, [key, cand], "left").withColumn(
+    return cands.join(sc, [*key, cand], "left").withColumn(
         "score", F.round(F.coalesce(F.col("_s"), F.lit(0.0)), SCORE_DIGITS)
     ).drop("_s")
 
 
-def scored_sentences(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
+def scored_sentences(docs: DataFrame, key: str | list[str] = "doc_id", text_col: str = "text",
                      keep: list[str] | None = None) -> DataFrame:
     return tfidf_scores(sentence_candidates(docs, key, text_col, keep), key)

@@ -37,3 +37,76 @@ def lines_report(spark: SparkSession, sf_dir: str, profile: str = "split_words")
         F.count_if(has(K.MSG_TOO_SHORT)).alias("too_short"),
         F.count_if(has(K.MSG_TOO_LONG)).alias("too_long"),
     )
+
+
+# ---------------------------------------------------------------------------------------------
+# Strategy comparison (input x strategy candidates) and guarded generation with one retry
+# ---------------------------------------------------------------------------------------------
+
+def strategy_candidates(scored: DataFrame, keys: list[str], strategies: list[dict], seed: int = K.DEFAULT_SEED,
+                        keep: list[str] | None = None) -> DataFrame:
+    """Long table ``(keys, keep, decoding, strategy_rank, cand_id, output)``: one chosen candidate per
+    input and strategy (UNION ALL of one selection per strategy over the same scored table, whose
+    shuffles are planned once and reused)."""
+    from functools import reduce
+
+    from candor.operators.select import select_candidate
+
+    keep = keep or []
+    parts = []
+    for rank, s in enumerate(strategies):
+        pick = select_candidate(scored, keys, s, seed=seed, cols=["text", *keep])
+        parts.append(pick.select(*keys, *keep, F.lit(s["strategy"]).alias("decoding"), F.lit(rank).alias("strategy_rank"),
+                                 "cand_id", F.col("text").alias("output")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def wide_candidates(long: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Side-by-side view: one column per strategy (pivot over a fixed value list)."""
+    return long.groupBy(*keys).pivot("decoding", names).agg(F.max("output"))
+
+
+def guarded_summaries(scored: DataFrame, keys: list[str], beam: dict, sampling: dict, retry: dict,
+                      clean: bool = False, seed: int = K.DEFAULT_SEED) -> DataFrame:
+    """Beam summary, independent sampling baseline, and one retry draw for failing beams only.
+
+    Output per key: ``summary, passed, notes, words, sampled_summary, sampled_passed,
+    sampled_words, retried, retry_summary, retry_passed``. The retry runs on the candidates of
+    failing keys only (semi join); every side is an aggregate on the keys, so the final joins are
+    co-partitioned.
+    """
+    from candor.operators.select import best_candidate, sample_candidate
+
+    def post(df: DataFrame, prefix: str) -> DataFrame:
+        s = T.first_sentence("text", clean=clean)
+        passed, notes = R.validate_summary(s)
+        return df.select(*keys, s.alias(f"{prefix}summary"), passed.alias(f"{prefix}passed"),
+                         notes.alias(f"{prefix}notes"), T.ws_word_count(s).alias(f"{prefix}words"))
+
+    b = post(best_candidate(scored, keys), "")
+    s = post(sample_candidate(scored, keys, sampling["strategy"], sampling.get("temperature"), sampling.get("top_p"),
+                              sampling.get("top_k"), seed=seed), "sampled_").drop("sampled_notes")
+    failing = b.where(~F.col("passed")).select(*keys)
+    r = post(sample_candidate(scored.join(failing, keys, "left_semi"), keys, retry["strategy"], retry.get("temperature"),
+                              retry.get("top_p"), retry.get("top_k"), seed=seed), "retry_").drop("retry_notes", "retry_words")
+    out = b.join(s, keys).join(r, keys, "left")
+    return out.withColumn("retried", ~F.col("passed")).withColumn(
+        "retry_passed", F.coalesce(F.col("retry_passed"), F.lit(False))
+    )
+
+
+def guard_report_lines(g: DataFrame, ordinal: str, input_col: str) -> DataFrame:
+    """Per-row report: status line, input preview (120 chars), output and retry lines."""
+    status = F.format_string(
+        "%02d. beam_pass=%s | words=%02d | notes=%s%s%s",
+        F.col(ordinal), T.bool_str("passed"), F.col("words"), T.notes_or_dash("notes"),
+        F.when(F.col("retried"), F.lit(" | retry_triggered")).otherwise(F.lit("")),
+        F.when(F.col("retry_passed"), F.lit(" | retry_fixed")).otherwise(F.lit("")),
+    )
+    return g.select(
+        F.col(ordinal),
+        status.alias("status_line"),
+        F.concat(F.lit("    input : "), T.preview(input_col)).alias("input_line"),
+        F.concat(F.lit("    output: "), F.col("summary")).alias("output_line"),
+        F.when(F.col("retried"), F.concat(F.lit("    retry : "), F.col("retry_summary"))).alias("retry_line"),
+    )

@@ -89,3 +89,191 @@ def q_summary_sampled(spark, sf_dir):
     s = sample_candidate(_scored(spark, sf_dir), ["doc_id"], "sampling", _SS["temperature"], _SS["top_p"], _SS["top_k"])
     return s.select("doc_id", "cand_id", "text", "score", F.round("prob", 9).alias("prob"),
                     T.first_sentence("text").alias("summary"))
+
+
+# =============================================================================================
+# Strategy comparison: greedy / beam / sampling per document
+# =============================================================================================
+
+_STUDY = ["greedy", "beam", "sampling"]
+_STUDY_ROWS = strategy_rows(_STUDY)
+
+
+def _long(spark, sf_dir, keep=None):
+    from candor.plans.jobs import strategy_candidates
+
+    return strategy_candidates(_scored(spark, sf_dir, keep=keep), ["doc_id"], _STUDY_ROWS, keep=keep)
+
+
+def _long_cte(keep: str = "") -> str:
+    smp = _STUDY_ROWS[2]
+    cols = f"doc_id{keep}"
+    return f"""{_scored_cte(keep)}, {_best_sql()},
+{_sample_sql('sampling', smp['temperature'], smp['top_p'], smp['top_k'])},
+long AS (
+  SELECT {cols}, 'greedy' AS decoding, 0 AS strategy_rank, cand_id, text AS output FROM best
+  UNION ALL SELECT {cols}, 'beam', 1, cand_id, text FROM best
+  UNION ALL SELECT {cols}, 'sampling', 2, cand_id, text FROM sampled)"""
+
+
+@register("candidates_long", f"WITH {_long_cte()} SELECT doc_id, decoding, strategy_rank, cand_id, output FROM long")
+def q_candidates_long(spark, sf_dir):
+    return _long(spark, sf_dir).select("doc_id", "decoding", "strategy_rank", "cand_id", "output")
+
+
+@register("candidates_wide", f"""WITH {_long_cte()}
+SELECT doc_id, max(CASE WHEN decoding = 'greedy' THEN output END) AS greedy,
+  max(CASE WHEN decoding = 'beam' THEN output END) AS beam,
+  max(CASE WHEN decoding = 'sampling' THEN output END) AS sampling
+FROM long GROUP BY doc_id""")
+def q_candidates_wide(spark, sf_dir):
+    from candor.plans.jobs import wide_candidates
+
+    return wide_candidates(_long(spark, sf_dir), ["doc_id"], _STUDY)
+
+
+def _eval_cols_sql(x: str = "output") -> str:
+    wc = O.ws_word_count(x)
+    ok = f"({O.terminator_runs(x)} = 1 AND {O.ends_with_period(O.strip_ws(x))} AND {wc} BETWEEN {K.WORD_LOW} AND {K.WORD_HIGH})"
+    return f"""round(coalesce(100.0 * avg(CASE WHEN {ok} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS pass_pct,
+  round(coalesce(avg({wc}), 0.0), 9) AS avg_wc,
+  round(coalesce(stddev_pop({wc}), 0.0), 9) AS std_wc,
+  round(coalesce(100.0 * avg(CASE WHEN {O.has_repeated_ngram(x, 2)} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS repeat_pct"""
+
+
+def _round_metrics(df, cols):
+    return df.select(*[F.round(c, 9).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+_METRIC_COLS = ["pass_pct", "avg_wc", "std_wc", "repeat_pct"]
+
+
+@register("strategy_eval", f"WITH {_long_cte()} SELECT decoding, {_eval_cols_sql()} FROM long GROUP BY decoding")
+def q_strategy_eval(spark, sf_dir):
+    return _round_metrics(M.strategy_eval(_long(spark, sf_dir), names=_STUDY), _METRIC_COLS)
+
+
+@register("family_rollup", f"""WITH {_long_cte(', lang')}
+SELECT lang, decoding, count(*) AS n, {_eval_cols_sql()} FROM long GROUP BY ROLLUP (lang, decoding)""")
+def q_family_rollup(spark, sf_dir):
+    return _round_metrics(M.family_rollup(_long(spark, sf_dir, keep=["lang"]), family="lang"), _METRIC_COLS)
+
+
+def _reason_sql_expr(x: str) -> str:
+    rules = []
+    wc = O.ws_word_count(x)
+    rules.append((O.S(K.REASON_MULTI), f"{O.terminator_runs(x)} <> 1"))
+    rules.append((O.S(K.REASON_NO_PERIOD), f"NOT {O.ends_with_period(O.strip_ws(x))}"))
+    rules.append((f"printf({O.S(K.REASON_WORDS)}, {wc})", f"NOT ({wc} BETWEEN {K.WORD_LOW} AND {K.WORD_HIGH})"))
+    rules.append((O.S(K.REASON_REPEAT), O.has_repeated_ngram(x, 2)))
+    return f"coalesce(nullif({O.concat_notes(rules, K.REASON_SEP)}, ''), {O.S(K.REASON_NONE)})"
+
+
+@register("failures_listed", f"""WITH {_long_cte()},
+r AS (SELECT doc_id, decoding, output, {_reason_sql_expr('output')} AS reason FROM long)
+SELECT doc_id, decoding, output, reason FROM r WHERE reason <> {O.S(K.REASON_NONE)}""")
+def q_failures_listed(spark, sf_dir):
+    return M.failures_listed(_long(spark, sf_dir), keys=["doc_id"])
+
+
+@register("reason_histogram", f"""WITH {_long_cte()},
+r AS (SELECT decoding, {_reason_sql_expr('output')} AS reason FROM long),
+e AS (SELECT decoding, unnest(string_split(reason, {O.S(K.REASON_SEP)})) AS reason FROM r WHERE reason <> {O.S(K.REASON_NONE)})
+SELECT decoding, reason, count(*) AS n FROM e GROUP BY decoding, reason""")
+def q_reason_histogram(spark, sf_dir):
+    listed = M.failures_listed(_long(spark, sf_dir), keys=["doc_id"])
+    return M.reason_histogram(listed, notes_col="reason", sep=K.REASON_SEP)
+
+
+@register("all_passed_strategies", f"""WITH {_long_cte()},
+r AS (SELECT decoding, {_reason_sql_expr('output')} AS reason FROM long),
+s(decoding) AS (VALUES ('greedy'), ('beam'), ('sampling'))
+SELECT decoding, {O.S(K.ALL_PASSED)} AS status FROM s
+WHERE decoding NOT IN (SELECT decoding FROM r WHERE reason <> {O.S(K.REASON_NONE)})""")
+def q_all_passed(spark, sf_dir):
+    listed = M.failures_listed(_long(spark, sf_dir), keys=["doc_id"])
+    names = spark.createDataFrame([(n,) for n in _STUDY], "decoding STRING")
+    return M.all_passed_strategies(names, listed)
+
+
+@register("skipped_rows", f"""WITH {_long_cte()}
+SELECT count(*) FILTER (WHERE decoding IN ('beam', 'sampling')) AS kept,
+       count(*) FILTER (WHERE decoding NOT IN ('beam', 'sampling') OR decoding IS NULL) AS skipped FROM long""")
+def q_skipped_rows(spark, sf_dir):
+    return M.skipped_rows(_long(spark, sf_dir), ["beam", "sampling"])
+
+
+# =============================================================================================
+# Guarded summarize: beam, sampling baseline, retry of failures, metrics and report lines
+# =============================================================================================
+
+_GB = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["summary_beam"]))
+_GR = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["summary_retry"]))
+
+
+def _guarded(spark, sf_dir):
+    from candor.plans.jobs import guarded_summaries
+
+    return guarded_summaries(_scored(spark, sf_dir), ["doc_id"], _GB, _SS, _GR)
+
+
+def _summary_post_sql(src: str, name: str) -> str:
+    s = O.first_sentence("text")
+    x = O.collapse_ws(s)
+    rules = [(O.S(K.MSG_NO_PERIOD), f"NOT {O.ends_with_period(x)}"),
+             (O.S(K.MSG_MULTI), f"{O.ends_with_period(x)} AND NOT {O.one_sentence_period(x)}")]
+    fails = " OR ".join(f"({c})" for _, c in rules)
+    return f"""{name} AS (SELECT doc_id, {s} AS summary, NOT ({fails}) AS passed, {O.concat_notes(rules, K.NOTES_SEP)} AS notes,
+  {O.ws_word_count(s)} AS words FROM {src})"""
+
+
+_GUARD_CTE = f"""{_scored_cte()}, {_best_sql()},
+{_sample_sql('sampling', _SS['temperature'], _SS['top_p'], _SS['top_k'])},
+{_summary_post_sql('best', 'gb')}, {_summary_post_sql('sampled', 'gs')},
+rsrc AS (SELECT * FROM scored WHERE doc_id IN (SELECT doc_id FROM gb WHERE NOT passed)),
+{_sample_sql('retry', _GR['temperature'], _GR['top_p'], _GR['top_k'], src='rsrc', name='rdraw')},
+{_summary_post_sql('rdraw', 'gr')},
+guarded AS (
+  SELECT gb.doc_id, gb.summary, gb.passed, gb.notes, gb.words,
+         gs.summary AS sampled_summary, gs.passed AS sampled_passed, gs.words AS sampled_words,
+         NOT gb.passed AS retried, gr.summary AS retry_summary, coalesce(gr.passed, false) AS retry_passed
+  FROM gb JOIN gs USING (doc_id) LEFT JOIN gr USING (doc_id))"""
+
+
+@register("retry_summary", f"WITH {_GUARD_CTE} SELECT * FROM guarded")
+def q_retry_summary(spark, sf_dir):
+    return _guarded(spark, sf_dir).select(
+        "doc_id", "summary", "passed", "notes", "words", "sampled_summary", "sampled_passed", "sampled_words",
+        "retried", "retry_summary", "retry_passed",
+    )
+
+
+@register("guardrail_metrics", f"""WITH {_GUARD_CTE}
+SELECT count(*) AS n,
+  round(coalesce(100.0 * avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 0.0), 9) AS beam_pass_pct,
+  round(coalesce(100.0 * avg(CASE WHEN sampled_passed THEN 1.0 ELSE 0.0 END), 0.0), 9) AS sampling_pass_pct,
+  round(coalesce(avg(words), 0.0), 9) AS avg_words_beam,
+  round(coalesce(avg(sampled_words), 0.0), 9) AS avg_words_sampling,
+  count(*) FILTER (WHERE retried) AS retry_triggered,
+  round(coalesce(100.0 * (count(*) FILTER (WHERE retried AND retry_passed)) / nullif(count(*) FILTER (WHERE retried), 0), 0.0), 9) AS retry_fix_pct
+FROM guarded""")
+def q_guardrail_metrics(spark, sf_dir):
+    m = M.guardrail_metrics(_guarded(spark, sf_dir))
+    cols = ["beam_pass_pct", "sampling_pass_pct", "avg_words_beam", "avg_words_sampling", "retry_fix_pct"]
+    return _round_metrics(m, cols)
+
+
+@register("report_lines", f"""WITH {_GUARD_CTE}, d AS (SELECT doc_id, {O.strip_ws('text')} AS input FROM documents)
+SELECT doc_id,
+  printf('%02d. beam_pass=%s | words=%02d | notes=%s%s%s', doc_id, {O.bool_str('passed')}, words,
+         coalesce(nullif(notes, ''), '-'), CASE WHEN retried THEN ' | retry_triggered' ELSE '' END,
+         CASE WHEN retry_passed THEN ' | retry_fixed' ELSE '' END) AS status_line,
+  '    input : ' || substr(input, 1, {K.PREVIEW_CHARS}) || CASE WHEN length(input) > {K.PREVIEW_CHARS} THEN '...' ELSE '' END AS input_line,
+  '    output: ' || summary AS output_line,
+  CASE WHEN retried THEN '    retry : ' || retry_summary END AS retry_line
+FROM guarded JOIN d USING (doc_id)""")
+def q_report_lines(spark, sf_dir):
+    from candor.plans.jobs import guard_report_lines
+
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", T.strip_ws("text").alias("input"))
+    return guard_report_lines(_guarded(spark, sf_dir).join(docs, "doc_id"), "doc_id", "input")
