@@ -110,3 +110,17 @@ def guard_report_lines(g: DataFrame, ordinal: str, input_col: str) -> DataFrame:
         F.concat(F.lit("    output: "), F.col("summary")).alias("output_line"),
         F.when(F.col("retried"), F.concat(F.lit("    retry : "), F.col("retry_summary"))).alias("retry_line"),
     )
+
+
+def conversation_pairs(conv: DataFrame) -> DataFrame:
+    """User turn followed by an assistant turn: ``(conv_id, turn, prompt, response)``.
+
+    An equi-join on ``(conv_id, turn)`` / ``(conv_id, turn - 1)`` instead of a window over whole
+    conversations: the join key is unique per row, so a very long conversation is spread over
+    many tasks instead of one.
+    """
+    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
+    a = conv.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    )
+    return u.join(a, ["conv_id", "turn"])

@@ -277,3 +277,210 @@ def q_report_lines(spark, sf_dir):
 
     docs = load_table(spark, sf_dir, "documents").select("doc_id", T.strip_ws("text").alias("input"))
     return guard_report_lines(_guarded(spark, sf_dir).join(docs, "doc_id"), "doc_id", "input")
+
+
+# =============================================================================================
+# Classification: naive Bayes trained on labels.quality, scored per line, neutral band
+# =============================================================================================
+
+def _nb(spark, sf_dir, band=K.NEUTRAL_BAND):
+    from candor.operators.classify import neutralize, score_naive_bayes, train_naive_bayes
+    from candor.plans.queries import doc_lines
+
+    docs = load_table(spark, sf_dir, "documents")
+    labels = load_table(spark, sf_dir, "labels")
+    train = docs.join(labels, "doc_id").select("text", F.col("quality").alias("y"))
+    weights, prior = train_naive_bayes(train)
+    scored = score_naive_bayes(doc_lines(spark, sf_dir), ["doc_id", "line_no"], weights, prior)
+    return neutralize(scored, band)
+
+
+_W = O.S(K.REGEX_WORD)
+_NB_CTE = f"""{O.lines_cte()},
+train AS (SELECT d.text, l.quality AS y FROM documents d JOIN labels l USING (doc_id)),
+ttok AS (SELECT y, unnest(regexp_extract_all(lower(text), {_W})) AS tok FROM train),
+tcnt AS (SELECT tok, count(*) FILTER (WHERE y = 1) AS c1, count(*) FILTER (WHERE y = 0) AS c0 FROM ttok GROUP BY tok),
+tsc AS (SELECT CAST(sum(c1) AS DOUBLE) AS n1, CAST(sum(c0) AS DOUBLE) AS n0, CAST(count(*) AS DOUBLE) AS v FROM tcnt),
+tpr AS (SELECT ln(CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) / count(*) FILTER (WHERE y = 0)) AS prior FROM train),
+wt AS (SELECT tok, ln((CAST(c1 AS DOUBLE) + 1.0) / (n1 + v)) - ln((CAST(c0 AS DOUBLE) + 1.0) / (n0 + v)) AS w FROM tcnt, tsc),
+ltok AS (SELECT doc_id, line_no, unnest(regexp_extract_all(lower(text), {_W})) AS tok FROM lines),
+ltf AS (SELECT doc_id, line_no, tok, count(*) AS tf FROM ltok GROUP BY doc_id, line_no, tok),
+lsum AS (SELECT doc_id, line_no, sum(tf * w) AS s FROM ltf JOIN wt USING (tok) GROUP BY doc_id, line_no),
+zz AS (SELECT l.doc_id, l.line_no, round(tpr.prior + coalesce(lsum.s, 0.0), 9) AS z
+       FROM lines l LEFT JOIN lsum USING (doc_id, line_no) CROSS JOIN tpr),
+nb AS (SELECT doc_id, line_no, z, CASE WHEN z >= 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS label,
+       round(1.0 / (1.0 + exp(-abs(z))), 9) AS score FROM zz),
+nbn AS (SELECT *, CASE WHEN abs(score - CAST(0.5 AS DOUBLE)) <= {_dbl(K.NEUTRAL_BAND)} THEN 'NEUTRAL' ELSE label END AS neutralized FROM nb)"""
+
+
+@register("nb_scores", f"WITH {_NB_CTE} SELECT doc_id, line_no, z, label, score FROM nb")
+def q_nb_scores(spark, sf_dir):
+    return _nb(spark, sf_dir).select("doc_id", "line_no", "z", "label", "score")
+
+
+@register("neutral_band", f"WITH {_NB_CTE} SELECT doc_id, line_no, label, score, neutralized FROM nbn")
+def q_neutral_band(spark, sf_dir):
+    return _nb(spark, sf_dir).select("doc_id", "line_no", "label", "score", "neutralized")
+
+
+@register("label_distribution", f"""WITH {_NB_CTE}
+SELECT count(*) AS n, count(*) FILTER (WHERE label = 'POSITIVE') AS raw_pos, count(*) FILTER (WHERE label = 'NEGATIVE') AS raw_neg,
+  count(*) FILTER (WHERE neutralized = 'POSITIVE') AS pos, count(*) FILTER (WHERE neutralized = 'NEGATIVE') AS neg,
+  count(*) FILTER (WHERE neutralized = 'NEUTRAL') AS neu,
+  count(*) FILTER (WHERE label NOT IN ('POSITIVE', 'NEGATIVE')) AS unknown_labels FROM nbn""")
+def q_label_distribution(spark, sf_dir):
+    return M.label_distribution(_nb(spark, sf_dir))
+
+
+# =============================================================================================
+# Token batches over document lines
+# =============================================================================================
+
+_BATCH = 12
+_MAXLEN = 128
+
+
+def _batches(spark, sf_dir):
+    from candor.operators.batches import assign_batches, build_vocabulary, encode, pad_batches
+    from candor.plans.queries import doc_lines
+
+    lines = doc_lines(spark, sf_dir)
+    vocab = build_vocabulary(lines)
+    enc = encode(lines, ["doc_id", "line_no"], vocab, max_length=_MAXLEN)
+    return pad_batches(assign_batches(enc, ["doc_id"], "line_no", _BATCH), ["doc_id", "batch_no"]), vocab
+
+
+_VOCAB_CTE = f"""{O.lines_cte()},
+vtok AS (SELECT doc_id, line_no, unnest(regexp_extract_all(lower(text), {_W})) AS tok,
+         unnest(generate_series(0, len(regexp_extract_all(lower(text), {_W})) - 1)) AS pos FROM lines),
+vcnt AS (SELECT tok, count(*) AS cnt FROM vtok GROUP BY tok),
+vocab AS (SELECT tok, cnt, row_number() OVER (ORDER BY cnt DESC, tok) + 1 AS id FROM vcnt)"""
+
+_BATCH_CTE = f"""{_VOCAB_CTE},
+enc0 AS (SELECT doc_id, line_no, list(id ORDER BY pos) AS ids FROM vtok JOIN vocab USING (tok) GROUP BY doc_id, line_no),
+enc AS (SELECT l.doc_id, l.line_no, coalesce(e.ids, []::BIGINT[]) AS all_ids FROM lines l LEFT JOIN enc0 e USING (doc_id, line_no)),
+enc2 AS (SELECT doc_id, line_no, len(all_ids) AS n_tokens, all_ids[1:{_MAXLEN}] AS input_ids,
+         (line_no - 1) // {_BATCH} AS batch_no, CAST((line_no - 1) % {_BATCH} + 1 AS INTEGER) AS pos_in_batch FROM enc),
+padded AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY doc_id, batch_no) AS batch_width FROM enc2),
+padded2 AS (SELECT *, list_concat(input_ids, list_transform(range(batch_width - len(input_ids)), lambda x: 0)) AS padded_ids,
+            list_concat(list_transform(range(len(input_ids)), lambda x: 1), list_transform(range(batch_width - len(input_ids)), lambda x: 0)) AS attention_mask
+            FROM padded)"""
+
+
+@register("vocabulary", f"WITH {_VOCAB_CTE} SELECT tok, cnt, id FROM vocab")
+def q_vocabulary(spark, sf_dir):
+    return _batches(spark, sf_dir)[1]
+
+
+def _ids_str(c):
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+@register("token_batches", f"""WITH {_BATCH_CTE}
+SELECT doc_id, line_no, batch_no, pos_in_batch, n_tokens, batch_width,
+  array_to_string(padded_ids, ' ') AS padded_ids, array_to_string(attention_mask, ' ') AS attention_mask FROM padded2""")
+def q_token_batches(spark, sf_dir):
+    b, _ = _batches(spark, sf_dir)
+    return b.select("doc_id", "line_no", "batch_no", "pos_in_batch", "n_tokens", "batch_width",
+                    _ids_str("padded_ids").alias("padded_ids"), _ids_str("attention_mask").alias("attention_mask"))
+
+
+@register("batch_shapes", f"""WITH {_BATCH_CTE}
+SELECT doc_id, batch_no, count(*) AS rows, max(batch_width) AS width, sum(len(input_ids)) AS tokens,
+  array_to_string(arg_max(attention_mask, pos_in_batch), ' ') AS last_mask,
+  round(CASE WHEN count(*) * max(batch_width) > 0 THEN 1.0 - sum(len(input_ids)) / (count(*) * max(batch_width)) ELSE 0.0 END, 9) AS padding_share
+FROM padded2 GROUP BY doc_id, batch_no""")
+def q_batch_shapes(spark, sf_dir):
+    from candor.operators.batches import batch_shapes
+
+    b, _ = _batches(spark, sf_dir)
+    s = batch_shapes(b, ["doc_id", "batch_no"])
+    return s.select("doc_id", "batch_no", "rows", "width", "tokens", _ids_str("last_mask").alias("last_mask"),
+                    F.round("padding_share", 9).alias("padding_share"))
+
+
+# =============================================================================================
+# Rewrites and audits
+# =============================================================================================
+
+# Example simplification dictionary (a parameter of the query, not of the operator).
+SIMPLER_WORDS = [
+    ("approximately", "about"), ("additional", "more"), ("assistance", "help"), ("demonstrate", "show"),
+    ("however", "but"), ("numerous", "many"), ("obtain", "get"), ("purchase", "buy"),
+    ("sufficient", "enough"), ("therefore", "so"), ("utilize", "use"), ("with", "w/"), ("this", "it"),
+]
+
+
+def _dict_sql() -> str:
+    rows = ", ".join(f"({O.S(a)}, {O.S(b)})" for a, b in SIMPLER_WORDS)
+    return f"dict(k, rep) AS (VALUES {rows})"
+
+
+_CORE_SQL = O.S(r"^(.*?)([.,;:!?]*)$")
+
+
+@register("simplify_words", f"""WITH {O.lines_cte()}, {_dict_sql()},
+toks AS (SELECT doc_id, line_no, unnest({O.ws_tokens('text')}) AS tok,
+         unnest(generate_series(1, len({O.ws_tokens('text')}))) AS pos FROM lines),
+parts AS (SELECT doc_id, line_no, pos, regexp_extract(tok, {_CORE_SQL}, 1) AS core, regexp_extract(tok, {_CORE_SQL}, 2) AS punct FROM toks),
+rep AS (SELECT p.*, d.rep FROM parts p LEFT JOIN dict d ON lower(p.core) = d.k),
+w AS (SELECT doc_id, line_no, pos, rep IS NOT NULL AS hit,
+      coalesce(CASE WHEN substr(core, 1, 1) <> lower(substr(core, 1, 1)) THEN upper(substr(rep, 1, 1)) || substr(rep, 2) ELSE rep END, core) || punct AS w FROM rep),
+g AS (SELECT doc_id, line_no, string_agg(w, ' ' ORDER BY pos) AS simplified, count(*) FILTER (WHERE hit) AS n_replaced FROM w GROUP BY doc_id, line_no)
+SELECT l.doc_id, l.line_no, coalesce(g.simplified, '') AS simplified, coalesce(g.n_replaced, 0) AS n_replaced
+FROM lines l LEFT JOIN g USING (doc_id, line_no)""")
+def q_simplify_words(spark, sf_dir):
+    from candor.operators.rewrite import simplify_words
+    from candor.plans.queries import doc_lines
+
+    out = simplify_words(doc_lines(spark, sf_dir), ["doc_id", "line_no"], SIMPLER_WORDS)
+    return out.select("doc_id", "line_no", "simplified", F.col("n_replaced").cast("bigint").alias("n_replaced"))
+
+
+def _pairs_df(spark, sf_dir):
+    from candor.plans.jobs import conversation_pairs
+
+    return conversation_pairs(load_table(spark, sf_dir, "conversations"))
+
+
+_PAIRS_SQL = """pairs AS (SELECT u.conv_id, u.turn, u.text AS prompt, a.text AS response
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant')"""
+
+
+@register("conversation_pairs", f"WITH {_PAIRS_SQL} SELECT conv_id, turn, prompt, response FROM pairs")
+def q_conversation_pairs(spark, sf_dir):
+    return _pairs_df(spark, sf_dir).select("conv_id", "turn", "prompt", "response")
+
+
+def _copied_sql(n: int) -> str:
+    out_g = O.ngrams(O.ws_tokens("response", lower=True), n)
+    src_g = O.ngrams(O.ws_tokens("prompt", lower=True), n)
+    return f"len(list_intersect(list_distinct({out_g}), {src_g}))"
+
+
+@register("copied_ngrams", f"""WITH {_PAIRS_SQL}
+SELECT conv_id, turn, {_copied_sql(4)} AS copied_4grams, {_copied_sql(4)} > 0 AS copied_any,
+  {O.has_repeated_ngram('response', 3)} AS repeated_3gram, {O.unchanged('response', 'prompt')} AS unchanged
+FROM pairs""")
+def q_copied_ngrams(spark, sf_dir):
+    c = T.copied_ngram_count("prompt", "response", 4)
+    return _pairs_df(spark, sf_dir).select(
+        "conv_id", "turn", c.alias("copied_4grams"), (c > 0).alias("copied_any"),
+        T.has_repeated_ngram("response", 3).alias("repeated_3gram"), T.unchanged("response", "prompt").alias("unchanged"),
+    )
+
+
+def _grams_sql(src: str, key: str, n: int) -> str:
+    g = O.ngrams(O.ws_tokens("text", lower=True), n)
+    return f"SELECT {key}, unnest({g}) AS gram FROM {src}"
+
+
+@register("benchmark_overlap", f"""WITH
+ref AS (SELECT DISTINCT gram FROM ({_grams_sql('benchmark', 'item_id', 4)})),
+dg AS (SELECT DISTINCT doc_id, gram FROM ({_grams_sql('documents', 'doc_id', 4)}))
+SELECT doc_id, count(*) AS shared_ngrams FROM dg WHERE gram IN (SELECT gram FROM ref) GROUP BY doc_id""")
+def q_benchmark_overlap(spark, sf_dir):
+    from candor.operators.rewrite import corpus_overlap
+
+    return corpus_overlap(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"), 4)
