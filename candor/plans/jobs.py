@@ -124,3 +124,24 @@ def conversation_pairs(conv: DataFrame) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
     return u.join(a, ["conv_id", "turn"])
+
+
+def rewrite_candidates(lines: DataFrame, keys: list[str], strategies: list[dict], text_col: str = "text",
+                       seed: int = K.DEFAULT_SEED) -> DataFrame:
+    """Batch rewrite of lines under several strategies, as CSV-ready candidate rows.
+
+    Candidates of a line are its sentences (scored by mean idf over lines); each strategy picks
+    one; the output is whitespace-collapsed and checked with the split-words rules, ``unchanged``
+    noted only when nothing else is (pass unaffected). Columns: ``keys, input, output, decoding,
+    strategy_rank, tokens_out, constraint_passed, notes``.
+    """
+    from candor.operators.summarize import scored_sentences
+
+    scored = scored_sentences(lines.select(*keys, F.col(text_col).alias("input"), F.col(text_col).alias("text")),
+                              keys, "text", keep=["input"])
+    long = strategy_candidates(scored, keys, strategies, seed=seed, keep=["input"])
+    out = long.withColumn("output", T.collapse_ws("output"))
+    passed, notes = R.annotate_unchanged("input", "output")
+    return out.select(*keys, "input", "output", "decoding", "strategy_rank",
+                      T.ws_word_count("output", collapsed=True).alias("tokens_out"),
+                      passed.alias("constraint_passed"), notes.alias("notes"))

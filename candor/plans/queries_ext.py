@@ -45,26 +45,27 @@ def _dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def _best_sql(src: str = "scored", name: str = "best") -> str:
-    return f"""{name} AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cand_id) AS _rn FROM {src}) WHERE _rn = 1)"""
+def _best_sql(src: str = "scored", name: str = "best", keys: str = "doc_id") -> str:
+    return f"""{name} AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, cand_id) AS _rn FROM {src}) WHERE _rn = 1)"""
 
 
 def _sample_sql(strategy: str, temperature, top_p, top_k, src: str = "scored", name: str = "sampled",
-                seed: int = K.DEFAULT_SEED) -> str:
+                seed: int = K.DEFAULT_SEED, keys: str = "doc_id") -> str:
     t = _dbl(temperature or 1.0)
     p = _dbl(1.0 if top_p is None else top_p)
     k = int(top_k or DEFAULT_TOP_K)
-    u = (f"((('0x' || substr(md5(concat_ws('|', '{seed}', CAST(doc_id AS VARCHAR), {O.S(strategy)}, "
+    key_parts = ", ".join(f"CAST({c.strip()} AS VARCHAR)" for c in keys.split(","))
+    u = (f"((('0x' || substr(md5(concat_ws('|', '{seed}', {key_parts}, {O.S(strategy)}, "
          f"CAST(cand_id AS VARCHAR))), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)")
     return f"""
-{name}_rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cand_id) AS _rn FROM {src}),
-{name}_z AS (SELECT *, exp(score / {t} - max(score / {t}) OVER (PARTITION BY doc_id)) AS _z FROM {name}_rk WHERE _rn <= {k}),
-{name}_p AS (SELECT *, _z / sum(_z) OVER (PARTITION BY doc_id) AS _p FROM {name}_z),
-{name}_c AS (SELECT *, round(coalesce(sum(_p) OVER (PARTITION BY doc_id ORDER BY score DESC, cand_id
+{name}_rk AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, cand_id) AS _rn FROM {src}),
+{name}_z AS (SELECT *, exp(score / {t} - max(score / {t}) OVER (PARTITION BY {keys})) AS _z FROM {name}_rk WHERE _rn <= {k}),
+{name}_p AS (SELECT *, _z / sum(_z) OVER (PARTITION BY {keys}) AS _p FROM {name}_z),
+{name}_c AS (SELECT *, round(coalesce(sum(_p) OVER (PARTITION BY {keys} ORDER BY score DESC, cand_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 9) AS _before FROM {name}_p),
 {name}_r AS (SELECT *, -ln({u}) / _p AS _race FROM {name}_c WHERE _before < {p}),
 {name} AS (SELECT * EXCLUDE (_rn, _z, _p, _before, _race, _r2), _p AS prob FROM
-           (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY _race, cand_id) AS _r2 FROM {name}_r) WHERE _r2 = 1)"""
+           (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY _race, cand_id) AS _r2 FROM {name}_r) WHERE _r2 = 1)"""
 
 
 @register("scored_candidates", f"WITH {_scored_cte()} SELECT doc_id, cand_id, text, score FROM scored")
@@ -484,3 +485,73 @@ def q_benchmark_overlap(spark, sf_dir):
     from candor.operators.rewrite import corpus_overlap
 
     return corpus_overlap(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"), 4)
+
+
+# =============================================================================================
+# Batch rewrite of lines: beam vs sampling, CSV rows (annotate-unchanged rules), mini report
+# =============================================================================================
+
+def _sql_rules_split_words(x: str) -> list[tuple[str, str]]:
+    wc = O.ws_word_count(x)
+    return [
+        (O.S(K.MSG_NO_PERIOD), f"NOT {O.ends_with_period(x)}"),
+        (O.S(K.MSG_MULTI), f"NOT {O.one_sentence_period(x)}"),
+        (O.S(K.MSG_TOO_SHORT), f"{wc} < {K.WORD_LOW}"),
+        (O.S(K.MSG_TOO_LONG), f"{wc} > {K.WORD_HIGH}"),
+    ]
+
+
+_RB = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["rewrite_beam"]))
+_RS = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["rewrite_sampling"]))
+
+
+def _csv_rows(spark, sf_dir):
+    from candor.plans.jobs import rewrite_candidates
+    from candor.plans.queries import doc_lines
+
+    return rewrite_candidates(doc_lines(spark, sf_dir), ["doc_id", "line_no"], [_RB, _RS])
+
+
+_LK = "doc_id, line_no"
+_LINE_SCORED_CTE = f"""{O.lines_cte()},
+lsent AS (SELECT doc_id, line_no, text AS input, regexp_extract_all({O.collapse_ws('text')}, {O.S(SENTENCE)}) AS ss FROM lines),
+lraw AS (SELECT doc_id, line_no, input, unnest(ss) AS raw, unnest(generate_series(1, len(ss))) AS cand_id FROM lsent),
+lc AS (SELECT doc_id, line_no, input, CAST(cand_id AS BIGINT) AS cand_id, trim(raw) AS text FROM lraw WHERE trim(raw) <> ''),
+ltk AS (SELECT doc_id, line_no, cand_id, unnest({O.regex_words('text')}) AS tok FROM lc),
+ltf2 AS (SELECT doc_id, line_no, cand_id, tok, count(*) AS tf FROM ltk GROUP BY doc_id, line_no, cand_id, tok),
+ldf AS (SELECT tok, count(*) AS df FROM (SELECT DISTINCT doc_id, line_no, tok FROM ltf2) GROUP BY tok),
+lnd AS (SELECT count(*) AS n FROM (SELECT DISTINCT doc_id, line_no FROM lc)),
+lsc AS (SELECT ltf2.doc_id, ltf2.line_no, ltf2.cand_id, sum(tf * ln(CAST(lnd.n AS DOUBLE) / df)) / sum(tf) AS s
+        FROM ltf2 JOIN ldf USING (tok) CROSS JOIN lnd GROUP BY ltf2.doc_id, ltf2.line_no, ltf2.cand_id),
+lscored AS (SELECT c.*, round(coalesce(lsc.s, 0.0), 9) AS score FROM lc c LEFT JOIN lsc USING (doc_id, line_no, cand_id)),
+{_best_sql('lscored', 'lbest', _LK)},
+{_sample_sql('sampling', _RS['temperature'], _RS['top_p'], _RS['top_k'], src='lscored', name='lsamp', keys=_LK)},
+lout AS (SELECT doc_id, line_no, input, text AS output, 'beam' AS decoding, 0 AS strategy_rank FROM lbest
+         UNION ALL SELECT doc_id, line_no, input, text, 'sampling', 1 FROM lsamp),
+lnorm AS (SELECT doc_id, line_no, input, {O.collapse_ws('output')} AS output, decoding, strategy_rank FROM lout),
+csvrows AS (SELECT doc_id, line_no, input, output, decoding, strategy_rank, {O.ws_word_count('output')} AS tokens_out,
+  NOT ({" OR ".join(f"({c})" for _, c in _sql_rules_split_words('output'))}) AS constraint_passed,
+  CASE WHEN {O.concat_notes(_sql_rules_split_words('output'), K.NOTES_SEP)} = '' AND {O.unchanged('output', 'input')}
+       THEN {O.S(K.MSG_UNCHANGED)} ELSE {O.concat_notes(_sql_rules_split_words('output'), K.NOTES_SEP)} END AS notes
+  FROM lnorm)"""
+
+
+@register("csv_candidates", f"""WITH {_LINE_SCORED_CTE}
+SELECT doc_id, line_no, input, output, decoding, strategy_rank, tokens_out, constraint_passed, notes FROM csvrows""")
+def q_csv_candidates(spark, sf_dir):
+    return _csv_rows(spark, sf_dir).select("doc_id", "line_no", "input", "output", "decoding", "strategy_rank",
+                                           "tokens_out", "constraint_passed", "notes")
+
+
+@register("mini_report", f"""WITH {_LINE_SCORED_CTE},
+m(decoding) AS (VALUES ('beam'), ('sampling')),
+a AS (SELECT decoding, count(*) AS rows, 100.0 * avg(CASE WHEN constraint_passed THEN 1.0 ELSE 0.0 END) AS pass_pct,
+      avg(tokens_out) AS avg_tokens FROM csvrows GROUP BY decoding)
+SELECT m.decoding, coalesce(a.rows, 0) AS rows, round(coalesce(a.pass_pct, 0.0), 9) AS pass_pct,
+  round(coalesce(a.avg_tokens, 0.0), 9) AS avg_tokens,
+  CASE WHEN coalesce(a.rows, 0) = 0 THEN {O.S(K.NO_ROWS)} WHEN m.decoding = 'beam' THEN {O.S(K.REFLECTION_BEAM)}
+       ELSE {O.S(K.REFLECTION_SAMPLING)} END AS reflection
+FROM m LEFT JOIN a USING (decoding)""")
+def q_mini_report(spark, sf_dir):
+    rep = M.mini_report(_csv_rows(spark, sf_dir))
+    return _round_metrics(rep, ["pass_pct", "avg_tokens"])
