@@ -555,3 +555,39 @@ FROM m LEFT JOIN a USING (decoding)""")
 def q_mini_report(spark, sf_dir):
     rep = M.mini_report(_csv_rows(spark, sf_dir))
     return _round_metrics(rep, ["pass_pct", "avg_tokens"])
+
+
+# =============================================================================================
+# Listing, load counts, length bounds
+# =============================================================================================
+
+@register("line_listing", f"""WITH {O.lines_cte()}
+SELECT doc_id, line_no, printf('%02d. %s', line_no, text) AS listing FROM lines""")
+def q_line_listing(spark, sf_dir):
+    from candor.plans.queries import doc_lines
+
+    return doc_lines(spark, sf_dir).select("doc_id", "line_no", F.format_string("%02d. %s", "line_no", "text").alias("listing"))
+
+
+@register("loaded_lines", f"""WITH doc_parts AS (SELECT doc_id, string_split_regex(text, {O.S(K.LINE_BREAK)}) AS parts FROM documents),
+raw AS (SELECT doc_id, unnest(parts) AS raw FROM doc_parts)
+SELECT count(DISTINCT doc_id) AS documents, count(*) FILTER (WHERE {O.strip_ws('raw')} <> '') AS lines,
+  count(*) FILTER (WHERE {O.strip_ws('raw')} = '') AS blank_lines FROM raw""")
+def q_loaded_lines(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    raw = docs.select("doc_id", F.explode(F.split("text", K.LINE_BREAK)).alias("raw")).select(
+        "doc_id", T.strip_ws("raw").alias("t"))
+    return raw.agg(F.count_distinct("doc_id").alias("documents"), F.count_if(F.col("t") != "").alias("lines"),
+                   F.count_if(F.col("t") == "").alias("blank_lines"))
+
+
+@register("length_audit", f"""WITH {_scored_cte()}, {_best_sql()},
+s AS (SELECT doc_id, {O.first_sentence('text')} AS summary FROM best)
+SELECT doc_id, {O.ws_word_count('summary')} AS words, {O.ws_word_count('summary')} < {_GB['min_length']} AS too_short,
+  {O.ws_word_count('summary')} > {_GB['max_length']} AS too_long FROM s""")
+def q_length_audit(spark, sf_dir):
+    from candor.operators.rewrite import length_bounds
+
+    best = best_candidate(_scored(spark, sf_dir), ["doc_id"])
+    b = length_bounds(T.first_sentence("text"), _GB["min_length"], _GB["max_length"])
+    return best.select("doc_id", b.alias("b")).select("doc_id", "b.*")
