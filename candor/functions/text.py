@@ -86,21 +86,22 @@ def in_word_window(n: ColumnOrName, low: int = K.WORD_LOW, high: int = K.WORD_HI
     return _c(n).between(low, high)
 
 
-def ngrams(t: ColumnOrName, n: int, lower: bool = True) -> Column:
+def ngrams(t: ColumnOrName, n: int, lower: bool = True, collapsed: bool = False) -> Column:
     """Consecutive whitespace-token n-grams of a text, each joined by one space.
 
     One regex pass over the collapsed text: at every token start a lookahead captures the next
     ``n`` tokens, so overlapping n-grams come out in order without per-element lambdas
     (higher-order functions are evaluated without code generation).
     """
-    x = collapse_ws(F.lower(_c(t)) if lower else _c(t))
+    x = F.lower(_c(t)) if lower else _c(t)
+    x = x if collapsed else collapse_ws(x)
     pattern = r"(?<![^ ])(?=([^ ]+" + r"(?: [^ ]+)" * (n - 1) + r"))"
     return F.regexp_extract_all(x, F.lit(pattern), 1)
 
 
-def has_repeated_ngram(t: ColumnOrName, n: int = 2) -> Column:
+def has_repeated_ngram(t: ColumnOrName, n: int = 2, collapsed: bool = False) -> Column:
     """True when a case-folded whitespace n-gram occurs twice (n=2 is the repetition check)."""
-    grams = ngrams(t, n)
+    grams = ngrams(t, n, collapsed=collapsed)
     return F.size(F.array_distinct(grams)) < F.size(grams)
 
 

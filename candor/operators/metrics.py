@@ -39,13 +39,8 @@ def strategy_eval(df: DataFrame, text_col: str = "output", group: str | list[str
                   names: list[str] | None = None) -> DataFrame:
     """Pass %, mean and population std of whitespace word counts, repetition % per strategy."""
     groups = [group] if isinstance(group, str) else list(group)
-    wc = T.ws_word_count(text_col)
-    agg = df.groupBy(*groups).agg(
-        _pct(R.passes_strategy_eval(text_col)).alias("pass_pct"),
-        _zero(F.avg(wc).cast("double")).alias("avg_wc"),
-        _zero(F.stddev_pop(wc)).alias("std_wc"),
-        _pct(T.has_repetition(text_col)).alias("repeat_pct"),
-    )
+    v = _eval_features(df, text_col)
+    agg = v.groupBy(*groups).agg(*_eval_aggs())
     if isinstance(group, str):
         agg = _fill_groups(agg, group, names, {"pass_pct": 0.0, "avg_wc": 0.0, "std_wc": 0.0, "repeat_pct": 0.0})
     return agg
@@ -53,14 +48,23 @@ def strategy_eval(df: DataFrame, text_col: str = "output", group: str | list[str
 
 def family_rollup(df: DataFrame, text_col: str = "output", family: str = "family", group: str = "decoding") -> DataFrame:
     """Strategy evaluation broken down by family, with per-family and grand totals (ROLLUP)."""
-    wc = T.ws_word_count(text_col)
-    return df.rollup(family, group).agg(
-        F.count(F.lit(1)).alias("n"),
-        _pct(R.passes_strategy_eval(text_col)).alias("pass_pct"),
-        _zero(F.avg(wc).cast("double")).alias("avg_wc"),
-        _zero(F.stddev_pop(wc)).alias("std_wc"),
-        _pct(T.has_repetition(text_col)).alias("repeat_pct"),
-    )
+    v = _eval_features(df, text_col)
+    return v.rollup(family, group).agg(F.count(F.lit(1)).alias("n"), *_eval_aggs())
+
+
+def _eval_features(df: DataFrame, text_col: str) -> DataFrame:
+    """Per row, once: strategy-eval pass (= no failing reason), word count, repetition flag."""
+    v = R.validate_df(df, "failure_reason", text_col, passed="_ok", notes="_reason", words="_wc")
+    return v.withColumn("_rep", F.col("_reason").contains(K.REASON_REPEAT))
+
+
+def _eval_aggs() -> list[Column]:
+    return [
+        _pct(F.col("_ok")).alias("pass_pct"),
+        _zero(F.avg("_wc").cast("double")).alias("avg_wc"),
+        _zero(F.stddev_pop("_wc")).alias("std_wc"),
+        _pct(F.col("_rep")).alias("repeat_pct"),
+    ]
 
 
 def reflection(mode: Column) -> Column:
@@ -132,8 +136,8 @@ def _regex_quote(s: str) -> str:
 def failures_listed(df: DataFrame, text_col: str = "output", keys: list[str] | None = None,
                     group: str = "decoding") -> DataFrame:
     """Rows whose failure reason is not "passes", with the reason; keyed by the input ordinal."""
-    _, reason = R.failure_reasons(text_col)
-    return df.select(*(keys or []), group, text_col, reason.alias("reason")).where(F.col("reason") != K.REASON_NONE)
+    v = R.validate_df(df.select(*(keys or []), group, text_col), "failure_reason", text_col, notes="reason")
+    return v.drop("passed").where(F.col("reason") != K.REASON_NONE)
 
 
 def all_passed_strategies(strategies: DataFrame, failures: DataFrame, group: str = "decoding") -> DataFrame:

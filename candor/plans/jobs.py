@@ -13,20 +13,14 @@ from candor.sources.lines import documents_lines, load_table
 
 def validated_lines(lines: DataFrame, text_col: str = "text", profile: str = "split_words") -> DataFrame:
     """Attach ``norm``, ``words``, ``passed``, ``notes`` to each line under a rule profile."""
-    passed, notes = R.check(F.col(text_col), profile)
-    return lines.select(
-        "*",
-        T.ws_word_count(text_col).alias("words"),
-        passed.alias("passed"),
-        notes.alias("notes"),
-    )
+    return R.validate_df(lines, profile, text_col, words="words")
 
 
 def lines_report(spark: SparkSession, sf_dir: str, profile: str = "split_words") -> DataFrame:
     """Documents -> lines -> validation -> per-language pass rate, word average, reason counts."""
     lines = documents_lines(load_table(spark, sf_dir, "documents"), keep=["lang"])
     v = validated_lines(lines, profile=profile)
-    has = lambda msg: F.array_contains(F.split(F.col("notes"), K.NOTES_SEP), msg)
+    has = lambda msg: F.col("notes").contains(msg)  # noqa: E731  (the four messages are not substrings of each other)
     return v.groupBy("lang").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if("passed").alias("passed"),
@@ -141,7 +135,6 @@ def rewrite_candidates(lines: DataFrame, keys: list[str], strategies: list[dict]
                               keys, "text", keep=["input"])
     long = strategy_candidates(scored, keys, strategies, seed=seed, keep=["input"])
     out = long.withColumn("output", T.collapse_ws("output"))
-    passed, notes = R.annotate_unchanged("input", "output")
-    return out.select(*keys, "input", "output", "decoding", "strategy_rank",
-                      T.ws_word_count("output", collapsed=True).alias("tokens_out"),
-                      passed.alias("constraint_passed"), notes.alias("notes"))
+    v = R.validate_df(out, "annotate_unchanged", "output", original_col="input", passed="constraint_passed",
+                      words="tokens_out")
+    return v.select(*keys, "input", "output", "decoding", "strategy_rank", "tokens_out", "constraint_passed", "notes")

@@ -189,8 +189,7 @@ def _single_rules(x: str) -> list[tuple[str, str]]:
 
 def _line_validator(profile: str) -> QueryFn:
     def fn(spark, sf_dir):
-        passed, notes = R.check(F.col("text"), profile)
-        return doc_lines(spark, sf_dir).select("doc_id", "line_no", passed.alias("passed"), notes.alias("notes"))
+        return R.validate_df(doc_lines(spark, sf_dir), profile).select("doc_id", "line_no", "passed", "notes")
 
     return fn
 
@@ -214,7 +213,7 @@ FROM lines"""
 
 @register("validate_strategy", _STRATEGY_SQL)
 def q_validate_strategy(spark, sf_dir):
-    return doc_lines(spark, sf_dir).select("doc_id", "line_no", R.passes_strategy_eval("text").alias("passed"))
+    return R.validate_df(doc_lines(spark, sf_dir), "strategy_eval").select("doc_id", "line_no", "passed")
 
 
 def _reason_rules(x: str) -> list[tuple[str, str]]:
@@ -240,8 +239,7 @@ SELECT doc_id, line_no, {_reasons_sql_cols('text')} FROM lines"""
 
 @register("failure_reasons", _REASONS_SQL)
 def q_failure_reasons(spark, sf_dir):
-    passed, notes = R.failure_reasons("text")
-    return doc_lines(spark, sf_dir).select("doc_id", "line_no", passed.alias("passed"), notes.alias("notes"))
+    return R.validate_df(doc_lines(spark, sf_dir), "failure_reason").select("doc_id", "line_no", "passed", "notes")
 
 
 # Pairs (original line, candidate = its clean first sentence) for the unchanged-aware profiles.
@@ -260,8 +258,8 @@ def _pairs(spark, sf_dir):
 
 @register("validate_guarded", _GUARDED_SQL)
 def q_validate_guarded(spark, sf_dir):
-    passed, notes = R.check("candidate", "rewrite_guarded", original="text")
-    return _pairs(spark, sf_dir).select("doc_id", "line_no", "candidate", passed.alias("passed"), notes.alias("notes"))
+    v = R.validate_df(_pairs(spark, sf_dir), "rewrite_guarded", "candidate", original_col="text")
+    return v.select("doc_id", "line_no", "candidate", "passed", "notes")
 
 
 def _annotate_sql() -> str:
@@ -277,8 +275,8 @@ FROM pairs"""
 
 @register("annotate_unchanged", _annotate_sql())
 def q_annotate_unchanged(spark, sf_dir):
-    passed, notes = R.check("candidate", "annotate_unchanged", original="text")
-    return _pairs(spark, sf_dir).select("doc_id", "line_no", "candidate", passed.alias("passed"), notes.alias("notes"))
+    v = R.validate_df(_pairs(spark, sf_dir), "annotate_unchanged", "candidate", original_col="text")
+    return v.select("doc_id", "line_no", "candidate", "passed", "notes")
 
 
 def queries() -> dict[str, QueryFn]:
