@@ -151,3 +151,18 @@ def skipped_rows(df: DataFrame, known: list[str], group: str = "decoding") -> Da
     """Rows kept vs skipped because their strategy is not one of ``known``."""
     ok = F.col(group).isin(*known)
     return df.agg(F.count_if(ok).alias("kept"), F.count_if(~ok | F.col(group).isNull()).alias("skipped"))
+
+
+def repeated_ngram_positions(df, keys: list[str], text_col: str = "text", n: int = 2):
+    """Exploded form of the repetition check: per text, the 0-based position of the first n-gram
+    that was already seen, and how many repeated occurrences there are (texts with repeats only).
+
+    The first-seen window is partitioned by (keys, n-gram), so a group holds the occurrences of one
+    n-gram inside one text.
+    """
+    from pyspark.sql import Window
+
+    g = df.select(*keys, F.posexplode(T.ngrams(text_col, n)).alias("pos", "gram"))
+    w = Window.partitionBy(*keys, "gram").orderBy("pos")
+    seen = g.withColumn("_k", F.row_number().over(w)).where(F.col("_k") > 1)
+    return seen.groupBy(*keys).agg(F.min("pos").alias("first_repeat_pos"), F.count(F.lit(1)).alias("n_repeats"))

@@ -591,3 +591,14 @@ def q_length_audit(spark, sf_dir):
     best = best_candidate(_scored(spark, sf_dir), ["doc_id"])
     b = length_bounds(T.first_sentence("text"), _GB["min_length"], _GB["max_length"])
     return best.select("doc_id", b.alias("b")).select("doc_id", "b.*")
+
+
+@register("repeat_positions", f"""WITH {O.lines_cte()},
+g0 AS (SELECT doc_id, line_no, {O.ngrams(O.ws_tokens('text', lower=True), 2)} AS grams FROM lines),
+g AS (SELECT doc_id, line_no, unnest(grams) AS gram, unnest(generate_series(0, len(grams) - 1)) AS pos FROM g0),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line_no, gram ORDER BY pos) AS k FROM g)
+SELECT doc_id, line_no, CAST(min(pos) AS INTEGER) AS first_repeat_pos, count(*) AS n_repeats FROM s WHERE k > 1 GROUP BY doc_id, line_no""")
+def q_repeat_positions(spark, sf_dir):
+    from candor.plans.queries import doc_lines
+
+    return M.repeated_ngram_positions(doc_lines(spark, sf_dir), ["doc_id", "line_no"])
