@@ -46,28 +46,40 @@ def infer(df: DataFrame, fn_factory: Callable[[], Model], in_col: str, out_col:
 
 
 def with_retry(df: DataFrame, prompt_col: str, first: Callable[[], Model], second: Callable[[], Model],
-               validate: Callable[[Column], tuple[Column, Column]], out_col: str = "output") -> DataFrame:
+               validate: Callable[[Column], tuple[Column, Column]], out_col: str = "output",
+               normalize: bool = True) -> DataFrame:
     """First pass on every row; a second pass only where the first output fails ``validate``.
 
     Adds ``output, passed, notes, retried, retry_output, retry_passed``. One stage, two model
     calls per failing row and one per passing row.
     """
-    a = infer(df, first, prompt_col, out_col)
+    a = infer(df, first, prompt_col, out_col, normalize)
     passed, notes = validate(F.col(out_col))
     a = a.withColumn("passed", passed).withColumn("notes", notes)
-    b = a.withColumn("retry_output", model_udf(second)(F.when(~F.col("passed"), F.col(prompt_col))))
+    b = a.withColumn("retry_output", model_udf(second, normalize)(F.when(~F.col("passed"), F.col(prompt_col))))
     r_passed, _ = validate(F.col("retry_output"))
     return b.withColumn("retried", ~F.col("passed")).withColumn(
         "retry_passed", F.when(F.col("retried"), r_passed).otherwise(F.lit(False))
     )
 
 
-def stand_in_first_sentence() -> Model:
-    """A deterministic stand-in model for tests and dry runs: answers with the first sentence."""
-    import re
+def stand_in_first_sentence(clean: bool = False) -> Callable[[], Model]:
+    """Factory of a deterministic stand-in model for dry runs and checks: it answers each text
+    with its first sentence (the same rule as ``functions.text.first_sentence``)."""
 
-    def run(prompts: list[str]) -> list[str]:
-        return [re.split(r"(?<=[.!?])\s+", p.strip())[0] for p in prompts]
+    def factory() -> Model:
+        import re
 
-    return run
+        echo = re.compile(r"(?i)summarize.*?: *[“\"”]?")
+        split = re.compile(r"[.!?] +")
+        tail = re.compile(r"[.!?]+\Z")
+
+        def one(t: str) -> str:
+            x = echo.sub("", " ".join(t.split()))
+            first = split.split(x, maxsplit=1)[0].strip(" \"'“”")
+            return (tail.sub("", first) if clean else first) + "."
+
+        return lambda prompts: [one(p) for p in prompts]
+
+    return factory
 

@@ -602,3 +602,43 @@ def q_repeat_positions(spark, sf_dir):
     from candor.plans.queries import doc_lines
 
     return M.repeated_ngram_positions(doc_lines(spark, sf_dir), ["doc_id", "line_no"])
+
+
+# =============================================================================================
+# Batch inference with a (stand-in) user model and retry of failures only
+# =============================================================================================
+
+def _guard_cols(x: str, orig: str) -> tuple[str, str]:
+    rules = _sql_rules_rewrite_g(x) + [(O.S(K.MSG_UNCHANGED), O.unchanged(x, orig))]
+    fails = " OR ".join(f"({c})" for _, c in rules)
+    return f"NOT ({fails})", O.concat_notes(rules, K.NOTES_SEP)
+
+
+def _sql_rules_rewrite_g(raw: str) -> list[tuple[str, str]]:
+    x = O.collapse_ws(raw)
+    wc = O.ws_word_count(x)
+    return [
+        (O.S(K.MSG_NO_PERIOD), f"NOT {O.ends_with_period(x)}"),
+        (O.S(K.MSG_MULTI), f"{O.ends_with_period(x)} AND NOT {O.one_sentence_period(x)}"),
+        (O.S(K.MSG_TOO_SHORT), f"{wc} < {K.WORD_LOW}"),
+        (O.S(K.MSG_TOO_LONG), f"{wc} > {K.WORD_HIGH}"),
+    ]
+
+
+_P1, _N1 = _guard_cols("output", "text")
+_P2, _ = _guard_cols("retry_output", "text")
+
+
+@register("infer_with_retry", f"""WITH {O.lines_cte()},
+a AS (SELECT doc_id, line_no, text, {O.first_sentence('text', clean=True)} AS output FROM lines),
+v AS (SELECT *, {_P1} AS passed, {_N1} AS notes FROM a),
+r AS (SELECT *, CASE WHEN NOT passed THEN {O.first_sentence('text')} END AS retry_output FROM v)
+SELECT doc_id, line_no, output, passed, notes, NOT passed AS retried, retry_output,
+  CASE WHEN NOT passed THEN {_P2} ELSE false END AS retry_passed FROM r""")
+def q_infer_with_retry(spark, sf_dir):
+    from candor.operators.infer import stand_in_first_sentence, with_retry
+    from candor.plans.queries import doc_lines
+
+    out = with_retry(doc_lines(spark, sf_dir), "text", stand_in_first_sentence(clean=True), stand_in_first_sentence(),
+                     lambda c: R.validate_guarded(F.col("text"), c), normalize=False)
+    return out.select("doc_id", "line_no", "output", "passed", "notes", "retried", "retry_output", "retry_passed")
