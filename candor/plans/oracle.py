@@ -67,6 +67,12 @@ def has_repeated_ngram(x: str, n: int = 2) -> str:
     return f"(len(list_distinct({g})) < len({g}))"
 
 
+def has_repeated_ngram_toks(toks: str, n: int = 2) -> str:
+    """Same check over a token-list column (the lambda then reads a column, not a re-split)."""
+    g = ngrams(toks, n)
+    return f"(len(list_distinct({g})) < len({g}))"
+
+
 def unchanged(out: str, orig: str) -> str:
     return f"(lower({strip_ws(out)}) = lower({strip_ws(orig)}))"
 

@@ -38,7 +38,7 @@ cdf AS (SELECT tok, count(DISTINCT doc_id) AS df FROM ctf GROUP BY tok),
 cnd AS (SELECT count(DISTINCT doc_id) AS n FROM cands),
 csc AS (SELECT ctf.doc_id, ctf.cand_id, sum(tf * ln(CAST(cnd.n AS DOUBLE) / df)) / sum(tf) AS s
         FROM ctf JOIN cdf USING (tok) CROSS JOIN cnd GROUP BY ctf.doc_id, ctf.cand_id),
-scored AS (SELECT c.*, round(coalesce(csc.s, 0.0), 9) AS score FROM cands c LEFT JOIN csc USING (doc_id, cand_id))"""
+scored AS MATERIALIZED (SELECT c.*, round(coalesce(csc.s, 0.0), 9) AS score FROM cands c LEFT JOIN csc USING (doc_id, cand_id))"""
 
 
 def _dbl(x: float) -> str:
@@ -111,10 +111,11 @@ def _long_cte(keep: str = "") -> str:
     cols = f"doc_id{keep}"
     return f"""{_scored_cte(keep)}, {_best_sql()},
 {_sample_sql('sampling', smp['temperature'], smp['top_p'], smp['top_k'])},
-long AS (
+long AS MATERIALIZED (
   SELECT {cols}, 'greedy' AS decoding, 0 AS strategy_rank, cand_id, text AS output FROM best
   UNION ALL SELECT {cols}, 'beam', 1, cand_id, text FROM best
-  UNION ALL SELECT {cols}, 'sampling', 2, cand_id, text FROM sampled)"""
+  UNION ALL SELECT {cols}, 'sampling', 2, cand_id, text FROM sampled),
+longt AS (SELECT *, {O.ws_tokens('output', lower=True)} AS _toks FROM long)"""
 
 
 @register("candidates_long", f"WITH {_long_cte()} SELECT doc_id, decoding, strategy_rank, cand_id, output FROM long")
@@ -139,7 +140,7 @@ def _eval_cols_sql(x: str = "output") -> str:
     return f"""round(coalesce(100.0 * avg(CASE WHEN {ok} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS pass_pct,
   round(coalesce(avg({wc}), 0.0), 9) AS avg_wc,
   round(coalesce(stddev_pop({wc}), 0.0), 9) AS std_wc,
-  round(coalesce(100.0 * avg(CASE WHEN {O.has_repeated_ngram(x, 2)} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS repeat_pct"""
+  round(coalesce(100.0 * avg(CASE WHEN {O.has_repeated_ngram_toks('_toks', 2)} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS repeat_pct"""
 
 
 def _round_metrics(df, cols):
@@ -149,13 +150,13 @@ def _round_metrics(df, cols):
 _METRIC_COLS = ["pass_pct", "avg_wc", "std_wc", "repeat_pct"]
 
 
-@register("strategy_eval", f"WITH {_long_cte()} SELECT decoding, {_eval_cols_sql()} FROM long GROUP BY decoding")
+@register("strategy_eval", f"WITH {_long_cte()} SELECT decoding, {_eval_cols_sql()} FROM longt GROUP BY decoding")
 def q_strategy_eval(spark, sf_dir):
     return _round_metrics(M.strategy_eval(_long(spark, sf_dir), names=_STUDY), _METRIC_COLS)
 
 
 @register("family_rollup", f"""WITH {_long_cte(', lang')}
-SELECT lang, decoding, count(*) AS n, {_eval_cols_sql()} FROM long GROUP BY ROLLUP (lang, decoding)""")
+SELECT lang, decoding, count(*) AS n, {_eval_cols_sql()} FROM longt GROUP BY ROLLUP (lang, decoding)""")
 def q_family_rollup(spark, sf_dir):
     return _round_metrics(M.family_rollup(_long(spark, sf_dir, keep=["lang"]), family="lang"), _METRIC_COLS)
 
@@ -166,19 +167,19 @@ def _reason_sql_expr(x: str) -> str:
     rules.append((O.S(K.REASON_MULTI), f"{O.terminator_runs(x)} <> 1"))
     rules.append((O.S(K.REASON_NO_PERIOD), f"NOT {O.ends_with_period(O.strip_ws(x))}"))
     rules.append((f"printf({O.S(K.REASON_WORDS)}, {wc})", f"NOT ({wc} BETWEEN {K.WORD_LOW} AND {K.WORD_HIGH})"))
-    rules.append((O.S(K.REASON_REPEAT), O.has_repeated_ngram(x, 2)))
+    rules.append((O.S(K.REASON_REPEAT), O.has_repeated_ngram_toks("_toks", 2)))
     return f"coalesce(nullif({O.concat_notes(rules, K.REASON_SEP)}, ''), {O.S(K.REASON_NONE)})"
 
 
 @register("failures_listed", f"""WITH {_long_cte()},
-r AS (SELECT doc_id, decoding, output, {_reason_sql_expr('output')} AS reason FROM long)
+r AS (SELECT doc_id, decoding, output, {_reason_sql_expr('output')} AS reason FROM longt)
 SELECT doc_id, decoding, output, reason FROM r WHERE reason <> {O.S(K.REASON_NONE)}""")
 def q_failures_listed(spark, sf_dir):
     return M.failures_listed(_long(spark, sf_dir), keys=["doc_id"])
 
 
 @register("reason_histogram", f"""WITH {_long_cte()},
-r AS (SELECT decoding, {_reason_sql_expr('output')} AS reason FROM long),
+r AS (SELECT decoding, {_reason_sql_expr('output')} AS reason FROM longt),
 e AS (SELECT decoding, unnest(string_split(reason, {O.S(K.REASON_SEP)})) AS reason FROM r WHERE reason <> {O.S(K.REASON_NONE)})
 SELECT decoding, reason, count(*) AS n FROM e GROUP BY decoding, reason""")
 def q_reason_histogram(spark, sf_dir):
@@ -187,7 +188,7 @@ def q_reason_histogram(spark, sf_dir):
 
 
 @register("all_passed_strategies", f"""WITH {_long_cte()},
-r AS (SELECT decoding, {_reason_sql_expr('output')} AS reason FROM long),
+r AS (SELECT decoding, {_reason_sql_expr('output')} AS reason FROM longt),
 s(decoding) AS (VALUES ('greedy'), ('beam'), ('sampling'))
 SELECT decoding, {O.S(K.ALL_PASSED)} AS status FROM s
 WHERE decoding NOT IN (SELECT decoding FROM r WHERE reason <> {O.S(K.REASON_NONE)})""")
@@ -523,7 +524,7 @@ ldf AS (SELECT tok, count(*) AS df FROM (SELECT DISTINCT doc_id, line_no, tok FR
 lnd AS (SELECT count(*) AS n FROM (SELECT DISTINCT doc_id, line_no FROM lc)),
 lsc AS (SELECT ltf2.doc_id, ltf2.line_no, ltf2.cand_id, sum(tf * ln(CAST(lnd.n AS DOUBLE) / df)) / sum(tf) AS s
         FROM ltf2 JOIN ldf USING (tok) CROSS JOIN lnd GROUP BY ltf2.doc_id, ltf2.line_no, ltf2.cand_id),
-lscored AS (SELECT c.*, round(coalesce(lsc.s, 0.0), 9) AS score FROM lc c LEFT JOIN lsc USING (doc_id, line_no, cand_id)),
+lscored AS MATERIALIZED (SELECT c.*, round(coalesce(lsc.s, 0.0), 9) AS score FROM lc c LEFT JOIN lsc USING (doc_id, line_no, cand_id)),
 {_best_sql('lscored', 'lbest', _LK)},
 {_sample_sql('sampling', _RS['temperature'], _RS['top_p'], _RS['top_k'], src='lscored', name='lsamp', keys=_LK)},
 lout AS (SELECT doc_id, line_no, input, text AS output, 'beam' AS decoding, 0 AS strategy_rank FROM lbest
