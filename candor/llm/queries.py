@@ -30,3 +30,13 @@ def op3(spark, sf_dir):
     from candor.llm.hyperminhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op4_best_fit_packing")
+def op4(spark, sf_dir):
+    import public_tokenizers
+
+    from candor.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
