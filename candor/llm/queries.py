@@ -40,3 +40,10 @@ def op4(spark, sf_dir):
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register("op6_anchor_pii")
+def op6(spark, sf_dir):
+    from candor.llm.pii import find_personal_data
+
+    return find_personal_data(table(spark, sf_dir, "documents")).drop("found")
