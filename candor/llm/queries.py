@@ -47,3 +47,18 @@ def op6(spark, sf_dir):
     from candor.llm.pii import find_personal_data
 
     return find_personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
+@register("op8_span_langid")
+def op8(spark, sf_dir):
+    from candor.llm.langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs)).drop("spans")
+
+
+@register("op9_simhash")
+def op9(spark, sf_dir):
+    from candor.llm.simhash import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
