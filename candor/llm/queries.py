@@ -62,3 +62,28 @@ def op9(spark, sf_dir):
     from candor.llm.simhash import fingerprint_documents
 
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+# Records as op10 renders them; a damaged record keeps its place.
+_OP10_SQL = """WITH r AS (
+  SELECT page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record,
+    (row_number() OVER (ORDER BY page_id) - 1) // 1000 AS file_no, substr(md5(page_id::VARCHAR), 1, 2) AS pick FROM pages),
+p AS (SELECT *, strlen(record)::BIGINT AS length,
+  coalesce(sum(strlen(record)) OVER (PARTITION BY file_no ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM r)
+SELECT page_id, file_no::BIGINT AS file_no, "offset", length,
+  CASE WHEN pick = '02' THEN NULL WHEN pick = '03' THEN strlen(left(record, length(record) - 40))
+       ELSE strlen(left(record, length(record) - 5) || '~' || right(record, 4)) END::BIGINT AS replica_length,
+  CASE WHEN pick = '02' THEN 'missing' WHEN pick = '03' THEN 'truncated'
+       WHEN strlen(left(record, length(record) - 5) || '~' || right(record, 4)) < length THEN 'truncated' ELSE 'changed' END AS status
+FROM p WHERE pick IN ('00', '01', '02', '03')"""
+
+
+@register("op10_merkle_fixity", _OP10_SQL)
+def op10(spark, sf_dir):
+    from candor.llm.fixity import archive, audit, damaged_replica, replica, warc_records
+
+    records = warc_records(table(spark, sf_dir, "pages"))
+    manifest = archive(records)
+    return audit(manifest, replica(damaged_replica(records), manifest))
