@@ -295,6 +295,21 @@ def labelled(texts: list[str], model: Model, alphabet: Alphabet) -> list[pa.Arra
 SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 
 
-def rejected(pred: DataFrame, min_score: float = MIN_SCORE) -> Column:
-    """Texts without a language: no letters, or no language with ``min_score`` of the letters."""
-    return (pred["lang_pred"] == UNKNOWN) | (pred["score"] < min_score)
+def with_language(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` that have a language, with ``lang`` set to it; no join, rows pass through as they are.
+
+    Left out: NULL texts, texts without letters, and texts of which no language has ``min_score`` of the letters.
+    """
+    text_at, lang_at = docs.columns.index(text), docs.columns.index(lang)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = Alphabet()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            for lo, hi in C.row_chunks(np.array([len(t) for t in texts]), 4 * C.CHUNK):
+                pred, score, _ = labelled(texts[lo:hi], model, alphabet)
+                good = (score.to_numpy() >= min_score) & (score.to_numpy() > 0)
+                rows = batch.slice(lo, hi - lo)
+                yield rows.set_column(lang_at, rows.schema.field(lang_at), pred.cast(rows.schema.field(lang_at).type)).filter(pa.array(good))
+
+    return docs.mapInArrow(label, docs.schema)
