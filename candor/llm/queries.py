@@ -87,3 +87,29 @@ def op10(spark, sf_dir):
     records = warc_records(table(spark, sf_dir, "pages"))
     manifest = archive(records)
     return audit(manifest, replica(damaged_replica(records), manifest))
+
+
+_OP7_SQL = r"""WITH c AS (
+  SELECT page_id, nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#@]*@)?([^/?#:]+)', 2), '.'), '') AS host,
+    DATE '2020-01-01' + (('0x' || substr(md5('fetch|' || page_id), 1, 4))::INT % 1461)::INT AS fetched_on FROM pages),
+hosts AS (SELECT DISTINCT host FROM c WHERE host IS NOT NULL),
+h AS (SELECT host, md5(host || '|' || k) AS h FROM hosts, range(6) r(k) WHERE ('0x' || substr(md5(host || '|' || k), 1, 1))::INT < 8),
+e AS (SELECT CASE WHEN ('0x' || substr(h, 2, 1))::INT < 12 THEN host ELSE regexp_replace(host, '^[^.]*\.', '') END AS pattern,
+    ['adult', 'malware', 'phishing', 'spam'][('0x' || substr(h, 3, 1))::INT % 4 + 1] AS category,
+    DATE '2020-01-01' + (('0x' || substr(h, 4, 4))::INT % 1461)::INT AS day, ('0x' || substr(h, 8, 1))::INT < 10 AS listed FROM h),
+d AS (SELECT pattern, category, day, bool_and(listed) AS listed FROM e GROUP BY ALL),
+i AS (SELECT *, lead(day) OVER (PARTITION BY pattern, category ORDER BY day) AS until FROM d),
+s AS (SELECT host, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda x: array_to_string(string_split(host, '.')[x:], '.'))) AS pattern FROM hosts),
+m AS (SELECT c.page_id, i.pattern, i.category FROM c JOIN s USING (host) JOIN i ON i.pattern = s.pattern AND i.listed
+    AND i.day <= c.fetched_on AND (i.until IS NULL OR c.fetched_on < i.until)),
+g AS (SELECT page_id, array_to_string(list_sort(list_distinct(list(category))), ',') AS categories, arg_max(pattern, length(pattern)) AS pattern FROM m GROUP BY page_id)
+SELECT c.page_id, c.host, c.fetched_on, g.page_id IS NOT NULL AS blocked, coalesce(g.categories, '') AS categories, g.pattern
+FROM c LEFT JOIN g USING (page_id)"""
+
+
+@register("op7_temporal_url_lists", _OP7_SQL)
+def op7(spark, sf_dir):
+    from candor.llm.url_lists import dated_captures, dated_entries, evaluate
+
+    pages = table(spark, sf_dir, "pages")
+    return evaluate(dated_captures(pages), dated_entries(pages))
