@@ -113,3 +113,14 @@ def op7(spark, sf_dir):
 
     pages = table(spark, sf_dir, "pages")
     return evaluate(dated_captures(pages), dated_entries(pages))
+
+
+@register("op5_prefix_viterbi")
+def op5(spark, sf_dir):
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from candor.llm.prefix_viterbi import encode
+
+    out = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", F.size("ids").alias("n_ids"), "ids_crc32", "decoded_equal")
