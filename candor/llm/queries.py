@@ -124,3 +124,33 @@ def op5(spark, sf_dir):
 
     out = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return out.select("doc_id", F.size("ids").alias("n_ids"), "ids_crc32", "decoded_equal")
+
+
+_OP2_SQL = r"""WITH RECURSIVE u AS MATERIALIZED (
+  SELECT conv_id, turn, text, 'call_' || substr(md5('id|' || conv_id || '|' || turn), 1, 12) AS call_id, md5('call|' || conv_id || '|' || turn) AS h
+  FROM conversations WHERE role = 'user' AND text IS NOT NULL),
+d AS (SELECT *, ('0x' || substr(h, 1, 1))::INT AS d1, ('0x' || substr(h, 2, 1))::INT AS d2, ('0x' || substr(h, 3, 1))::INT AS d3 FROM u),
+c AS MATERIALIZED (SELECT *, CASE WHEN d1 < 8 THEN 'search' WHEN d1 < 12 THEN 'lookup' WHEN d1 < 15 THEN 'calc' ELSE 'shell' END AS tool,
+    CASE WHEN d3 = 0 THEN 'call_none' WHEN d3 = 1 THEN call_id WHEN turn >= 2 THEN 'call_' || substr(md5('id|' || conv_id || '|' || (turn - 2)), 1, 12) END AS after FROM d),
+t AS (SELECT c.conv_id, c.call_id, 0::BIGINT AS depth FROM c WHERE c.after IS NULL OR NOT EXISTS (SELECT 1 FROM c p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+  UNION ALL SELECT c.conv_id, c.call_id, t.depth + 1 FROM t JOIN c ON c.conv_id = t.conv_id AND c.after = t.call_id),
+r AS (SELECT conv_id, turn - 1 AS turn, text AS content FROM conversations
+  WHERE role = 'assistant' AND substr(md5('result|' || conv_id || '|' || turn), 1, 1) <> '0'),
+j AS (SELECT c.*, t.depth, r.turn IS NOT NULL AS answered, r.content, c.after IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c p WHERE p.conv_id = c.conv_id AND p.call_id = c.after) AS dangling,
+    CASE WHEN d2 = 0 THEN '{"query":' || c.turn || '}' WHEN d2 = 1 THEN 'null'
+      WHEN tool = 'search' THEN '{"limit":' || c.turn || ',"query":' || to_json(text) || '}'
+      WHEN tool = 'lookup' THEN '{"key":"user","turn":' || c.turn || '}' ELSE '{"unit":"x","values":[' || c.turn || ',' || length(text) || ']}' END AS arguments
+  FROM c LEFT JOIN t USING (conv_id, call_id) LEFT JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY depth NULLS LAST, turn) AS ord, turn, call_id, tool, depth, answered::BIGINT AS n_results,
+  CASE WHEN d2 = 1 THEN 'invalid_json' WHEN tool = 'shell' THEN 'unknown_tool' WHEN d2 = 0 THEN 'invalid_arguments' WHEN depth IS NULL THEN 'cycle'
+    WHEN dangling THEN 'unknown_dependency' WHEN NOT answered THEN 'no_result' ELSE 'ok' END AS status,
+  '{"arguments":' || arguments || ',"id":"' || call_id || '","name":"' || tool || '","result":'
+    || CASE WHEN answered THEN to_json(coalesce(content, ''))::VARCHAR ELSE 'null' END || '}' AS message FROM j"""
+
+
+@register("op2_tool_call_linking", _OP2_SQL)
+def op2(spark, sf_dir):
+    from candor.llm.tool_calls import SCHEMAS, calls_of, link_calls, results_of
+
+    conversations = table(spark, sf_dir, "conversations")
+    return link_calls(calls_of(conversations), results_of(conversations), SCHEMAS)
