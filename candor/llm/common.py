@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candor.session import ensure_checkpoint_dir
 
@@ -25,6 +27,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Rows of two longs: about 40 MB as a hashed relation.
+MAX_BROADCAST_KEYS = 1_000_000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def join_keys(big: DataFrame, keys: DataFrame, on: list[str], how: str = "inner", limit: int | None = None) -> DataFrame:
+    """Join with a materialised table of keys: broadcast while it has at most ``limit`` rows, else shuffled."""
+    few = keys.count() <= (MAX_BROADCAST_KEYS if limit is None else limit)
+    return big.join(F.broadcast(keys) if few else keys, on, how)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int):
+    """At most ``n`` rows in an Arrow batch, for jobs run inside whose rows are large."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every output bit depends on every input bit."""
     x = x ^ (x >> np.uint64(30))

@@ -10,8 +10,10 @@ distinct sets ("nodes"), so that copies cost one row however many there are:
    other in all bands with probability (1 - 0.85^7)^32 = 4e-6.
 3. Within a bucket of equal bands, all sets are first compared with the bucket's smallest node
    (a star, linear in the bucket). Links that hold contract the graph; afterwards only sets of one
-   bucket that are still in different components are compared with one another. So a group of
-   thousands of near copies costs about its size, and no link between components is lost.
+   bucket that are still in different components are compared with one another: as pairs in buckets
+   of at most ``FEW`` sets, else block by block, where a task compares two blocks of bounded size
+   and returns only links that join components. No row is made for a pair of a large bucket, and
+   no link between components is lost.
 4. A candidate pair first passes the sketches: matching registers, corrected for the registers
    that agree by chance (``chance_matches``), give an estimate of the similarity. Pairs whose estimate
    is more than five standard errors under the threshold are left out; all others are confirmed
@@ -41,6 +43,10 @@ MANTISSA = 10
 PROBES = 64
 THRESHOLD = (85, 100)  # 100 * intersection >= 85 * union
 SIGMAS = 5.0
+FEW = 32
+BLOCK_SETS, BLOCK_SHINGLES = 256, 100_000
+BLOCK_ROWS = 4  # block pairs in an Arrow batch
+COLUMNS = 4096  # shingles compared at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -177,23 +183,104 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return ((a == b).mean(axis=1) - chance) / (1 - chance)
 
 
+def likely(est: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether set sizes and estimate leave the threshold possible.
+
+    Few shingles fill many registers: the spread follows the smaller number of the two.
+    """
+    t = THRESHOLD[0] / THRESHOLD[1]
+    low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    spread = np.sqrt(t * (1 - t) / np.minimum(low, N_BUCKETS))
+    return (THRESHOLD[1] * low >= THRESHOLD[0] * high) & (est >= t - SIGMAS * spread)
+
+
+def _registers_of(packed: pa.Array) -> np.ndarray:
+    return packed.flatten().to_numpy().view(np.uint16).reshape(-1, N_BUCKETS)
+
+
 def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs ``(u, v)`` whose corrected estimate does not rule the threshold out."""
     a = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"), F.col("n").alias("nu"))
     b = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("sv"), F.col("n").alias("nv"))
-    sized = pairs.join(a, "u").join(b, "v").where(
-        THRESHOLD[1] * F.least("nu", "nv") >= THRESHOLD[0] * F.greatest("nu", "nv")).select("u", "v", "nu", "nv", "su", "sv")
-    t = THRESHOLD[0] / THRESHOLD[1]
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            su, sv = (batch.column(c).flatten().to_numpy().view(np.uint16).reshape(-1, N_BUCKETS) for c in ("su", "sv"))
             nu, nv = (batch.column(c).to_numpy() for c in ("nu", "nv"))
-            # Few shingles fill many registers: the spread follows the smaller number of the two.
-            spread = np.sqrt(t * (1 - t) / np.minimum(np.minimum(nu, nv), N_BUCKETS))
-            yield batch.select(["u", "v", "nu", "nv"]).filter(pa.array(estimate(su, sv, nu, nv) >= t - SIGMAS * spread))
+            est = estimate(_registers_of(batch.column("su")), _registers_of(batch.column("sv")), nu, nv)
+            yield batch.select(["u", "v", "nu", "nv"]).filter(pa.array(likely(est, nu, nv)))
+
+    sized = pairs.join(a, "u").join(b, "v").where(
+        THRESHOLD[1] * F.least("nu", "nv") >= THRESHOLD[0] * F.greatest("nu", "nv")).select("u", "v", "nu", "nv", "su", "sv")
+    return sized.mapInArrow(keep, "u LONG, v LONG, nu LONG, nv LONG")
+
+
+def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets in ``a`` with all in ``b``."""
+    def coded(sets):
+        return np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+    (row_a, h_a), (row_b, h_b) = coded(a), coded(b)
+    shared = np.intersect1d(h_a, h_b)
+    out = np.zeros((len(a), len(b)), dtype=np.float64)
+    for lo in range(0, len(shared), COLUMNS):
+        part = shared[lo:lo + COLUMNS]
+        sides = []
+        for rows, h, n in ((row_a, h_a, len(a)), (row_b, h_b, len(b))):
+            at = np.minimum(np.searchsorted(part, h), len(part) - 1)
+            hit = part[at] == h
+            x = np.zeros((n, len(part)), dtype=np.float32)
+            x[rows[hit], at[hit]] = 1
+            sides.append(x)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def block_links(a: pa.StructArray, b: pa.StructArray) -> list[tuple[int, int]]:
+    """Links between members of two blocks that join different components, as few as it takes."""
+    (node_a, comp_a, n_a, reg_a, set_a), (node_b, comp_b, n_b, reg_b, set_b) = (
+        (x[0].to_numpy(), x[1].to_numpy(), x[2].to_numpy(), _registers_of(x[3]), x[4]) for x in (a.flatten(), b.flatten()))
+    able = np.zeros((len(node_a), len(node_b)), dtype=bool)
+    for i in range(len(node_a)):
+        same = np.broadcast_to(reg_a[i], reg_b.shape)
+        able[i] = likely(estimate(same, reg_b, np.full(len(n_b), n_a[i]), n_b), n_a[i], n_b) & (comp_b != comp_a[i])
+    rows, cols = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
+    if not len(rows):
+        return []
+    both = intersections([set_a[i].values.to_numpy() for i in rows.tolist()], [set_b[j].values.to_numpy() for j in cols.tolist()])
+    union = n_a[rows][:, None] + n_b[cols][None, :] - both
+    linked = able[np.ix_(rows, cols)] & (THRESHOLD[1] * both >= THRESHOLD[0] * union)
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(linked).tolist():
+        i, j = rows[i], cols[j]
+        p, q = root(int(comp_a[i])), root(int(comp_b[j]))
+        if p != q:
+            above[p] = q
+            out.append((int(node_a[i]), int(node_b[j])))
+    return out
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = batch.column("a"), batch.column("b")
+        links = [x for i in range(len(batch)) for x in block_links(a[i].values, b[i].values)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
 
-    return sized.mapInArrow(likely, "u LONG, v LONG, nu LONG, nv LONG")
+def _across_blocks(rest: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links between components within each bucket of ``rest(band, node, comp, n, size, total)``."""
+    blocks = F.ceil(F.greatest(F.col("size") / F.lit(BLOCK_SETS), F.col("total") / F.lit(BLOCK_SHINGLES)))
+    members = (rest.select("band", "node", "comp", "n", F.pmod(F.xxhash64("node"), blocks).alias("block"))
+               .join(sketches.select("node", "sketch"), "node").join(sets, "node"))
+    packed = members.groupBy("band", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sketch", "shingles")).alias("members"))
+    a = packed.select("band", F.col("block").alias("p"), F.col("members").alias("a"))
+    b = packed.select("band", F.col("block").alias("q"), F.col("members").alias("b"))
+    return a.join(b, "band").where("p <= q").select("a", "b").mapInArrow(_compared, "u LONG, v LONG")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -251,13 +338,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
              F.first(F.struct("n", "sketch", "bands")).alias("x"))
         .select(F.monotonically_increasing_id().alias("node"), "set_key", "label", "x.n", "x.sketch", "x.bands"))
 
-    banded = nodes.select("node", F.explode("bands").alias("band"))
+    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
     full = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("band", "hub")
-    shared = C.cut(banded.join(full, "band").select("band", "node", "hub"))
+    shared = C.cut(banded.join(full, "band").select("band", "node", "n", "hub"))
 
     wanted = nodes.select("node", "label").join(shared.select("node").distinct(), "node", "left_semi")
-    reps = wanted.select("node", F.col("label.h1").alias("h1"), F.col("label.h2").alias("h2"))
-    sets = C.cut(src.select("h1", "h2", "text").join(reps, ["h1", "h2"]).select("node", "text")
+    reps = C.cut(wanted.select("node", F.col("label.h1").alias("h1"), F.col("label.h2").alias("h2")))
+    sets = C.cut(C.join_keys(src.select("h1", "h2", "text"), reps, ["h1", "h2"]).select("node", "text")
                  .mapInArrow(_sets, "node LONG, shingles ARRAY<LONG>").dropDuplicates(["node"]))
     sketches = nodes.select("node", "n", "sketch").join(shared.select("node").distinct(), "node", "left_semi")
 
@@ -265,14 +352,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = C.cut(_confirmed(_estimated(star, sketches), sets))
     comp = components(found)
 
-    placed = C.cut(shared.join(comp, "node", "left").select("band", "node", "hub", F.coalesce("comp", "node").alias("comp")))
-    open_bands = placed.groupBy("band").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where("p <> q").select("band")
-    rest = placed.where("node <> hub").join(open_bands, "band", "left_semi")
-    a = rest.select("band", F.col("node").alias("u"), F.col("comp").alias("cu"))
-    b = rest.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
+    placed = C.cut(shared.join(comp, "node", "left").select("band", "node", "n", "hub", F.coalesce("comp", "node").alias("comp")))
+    parted = placed.groupBy("band").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    # The hub has been compared with all others.
+    rest = placed.where("node <> hub").join(parted.where("p <> q").drop("p", "q"), "band")
+    few = rest.where(F.col("size") <= FEW)
+    a = few.select("band", F.col("node").alias("u"), F.col("comp").alias("cu"))
+    b = few.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
     across = a.join(b, "band").where("u < v and cu <> cv").select("u", "v").distinct()
     more = C.cut(_confirmed(_estimated(across, sketches), sets))
-    comp = components(found.unionByName(more))
+    with C.arrow_rows(docs.sparkSession, BLOCK_ROWS):
+        most = C.cut(_across_blocks(rest.where(F.col("size") > FEW), sets, sketches))
+    comp = components(found.unionByName(more).unionByName(most))
 
     labelled = nodes.select("node", "set_key", "label").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = labelled.groupBy("comp").agg(F.min("label").alias("rep"))
@@ -292,9 +383,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     Rows without words all stay. Of repeated rows (same ``doc_id`` and text) one stays.
     """
-    reps = near_duplicates(docs, doc_id, text).where("is_rep").select(
-        "h1", "h2", (F.col("n_shingles") == 0).alias("_blank")).distinct()
-    h1, h2 = row_keys(F.col(text), F.col(doc_id))
-    keyed = docs.select(F.struct("*").alias("_row"), h1, h2).join(reps, ["h1", "h2"])
-    once = keyed.where("not _blank").dropDuplicates(["h1", "h2"])
-    return keyed.where("_blank").select("_row.*").unionByName(once.select("_row.*"))
+    rows = C.cut(near_duplicates(docs, doc_id, text).where("n_shingles > 0").groupBy("h1", "h2")
+                 .agg(F.max("is_rep").alias("is_rep"), F.count(F.lit(1)).alias("times")))
+    keys = F.struct(*row_keys(F.col(text), F.col(doc_id)))
+    keyed = docs.select(F.struct("*").alias("row"), keys.alias("k")).select("row", "k.*")
+    # Nearly all rows stay as they are: only keys to leave out, and repeated rows, are looked up.
+    rest = C.join_keys(keyed, C.cut(rows.where("not is_rep or times > 1").select("h1", "h2")), ["h1", "h2"], "left_anti")
+    again = C.join_keys(keyed, C.cut(rows.where("is_rep and times > 1").select("h1", "h2")), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    return rest.select("row.*").unionByName(again.select("row.*"))

@@ -58,6 +58,23 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(130)]
+    rows = []
+    for i in range(160):  # near copies of one text, some too far from all others
+        own = list(base)
+        for k in rng.choice(130, rng.integers(1, 9), replace=False):
+            own[k] = f"x{rng.integers(1000)}"
+        rows.append((1000 - i, " ".join(own)))
+    want = brute(rows)
+    assert 1 < len({r[2] for r in want}) < 150
+    for few, block in ((32, 256), (0, 256), (0, 20), (1 << 30, 256)):
+        monkeypatch.setattr(H, "FEW", few)
+        monkeypatch.setattr(H, "BLOCK_SETS", block)
+        assert run(spark, rows) == want
+
+
 def test_edges(spark):
     long = " ".join(f"t{i}" for i in range(30000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two\n"), (6, "two one"), (7, "a b c d e"), (7, "a b c d e"),
