@@ -154,3 +154,11 @@ def op2(spark, sf_dir):
 
     conversations = table(spark, sf_dir, "conversations")
     return link_calls(calls_of(conversations), results_of(conversations), SCHEMAS)
+
+
+@register("op1_block_max_bm25")
+def op1(spark, sf_dir):
+    from candor.llm.topk_search import search
+
+    docs = table(spark, sf_dir, "documents")
+    return search(docs, docs.where("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id"))
