@@ -32,7 +32,7 @@ TERMINATOR_RUN = r"[.!?]+"
 # Physical line breaks of a text (as Python text mode).
 LINE_BREAK = r"\r\n|\r|\n"
 # Echoed summarize instruction removed before taking the first sentence.
-ECHO_PATTERN = r"(?i)summarize.*?: *[“\"”]?"
+ECHO_PATTERN = r"(?iu)summarize.*?: *[“\"”]?"
 # Sentence split used by the first-sentence post-processing.
 SENTENCE_SPLIT = r"[.!?] +"
 # Characters stripped from both ends of the first sentence.
@@ -160,3 +160,32 @@ ALL_PASSED = "(all passed)"
 LABEL_POSITIVE = "POSITIVE"
 LABEL_NEGATIVE = "NEGATIVE"
 LABEL_NEUTRAL = "NEUTRAL"
+
+# ---------------------------------------------------------------------------------------------
+# FIXED VALUES — columns of the candidate CSV, in order
+# ---------------------------------------------------------------------------------------------
+
+CSV_COLUMNS = ["input", "output", "decoding", "tokens_out", "constraint_passed", "notes"]
+
+# ---------------------------------------------------------------------------------------------
+# FIXED VALUES — report lines (printf formats)
+# ---------------------------------------------------------------------------------------------
+
+SENTIMENT_LINE = "%02d. raw=%s (%.3f) -> neutralized=%s"
+SENTIMENT_TEXT_LINE = "    text: %s"
+SIDE_BY_SIDE = ["%02d. [Greedy] %s", "    [Beam]   %s", "    [Sample] %s"]
+STRATEGY_HEADER = "Strategy    Pass%  AvgWC  StdWC  Repeat%"
+STRATEGY_LINE = "%-10s %6.1f %6.1f %6.1f %8.1f"
+MINI_REPORT = ["=== Mini-report: %s ===", "Rows: %d", "Constraint pass rate: %.1f%%", "Average tokens_out: %.2f", "Reflection: %s"]
+MINI_REPORT_EMPTY = "[%s] No rows."
+# (metric column, line)
+GUARD_METRICS = [
+    ("beam_pass_pct", "Beam pass-rate       : %.1f%%"),
+    ("sampling_pass_pct", "Sampling pass-rate   : %.1f%%"),
+    ("avg_words_beam", "Avg length — beam    : %.2f words"),
+    ("avg_words_sampling", "Avg length — sampling: %.2f words"),
+    ("retry_triggered", "Retry triggered      : %d case(s)"),
+    ("retry_fix_pct", "Retry fix-rate       : %.1f%%"),
+]
+RAW_DISTRIBUTION = "Raw distribution        : POS=%d, NEG=%d"
+NEUTRAL_DISTRIBUTION = "Neutralized distribution: POS=%d, NEG=%d, NEU=%d"

@@ -136,10 +136,6 @@ def first_sentence(t: ColumnOrName, clean: bool = False) -> Column:
     return F.concat(first, F.lit("."))
 
 
-def render(template_prefix: str, t: ColumnOrName, template_suffix: str = "") -> Column:
-    return F.concat(F.lit(template_prefix), _c(t), F.lit(template_suffix))
-
-
 def neutral_label(label: ColumnOrName, score: ColumnOrName, band: float | None = K.NEUTRAL_BAND) -> Column:
     """NEUTRAL when ``abs(score - 0.5) <= band`` (binary doubles); no band keeps the label."""
     if band is None:
@@ -169,8 +165,3 @@ def char_flags(t: ColumnOrName) -> Column:
     """One flag per character of the collapsed text: "1" for a terminator, "0" otherwise."""
     x = collapse_ws(t)
     return F.regexp_replace(F.regexp_replace(x, r"[^.!?]", "0"), K.TERMINATOR, "1")
-
-
-def char_flag_array(t: ColumnOrName) -> Column:
-    """Per-character terminator flags as ARRAY<BOOLEAN>."""
-    return F.transform(F.split(char_flags(t), ""), lambda c: c == "1")

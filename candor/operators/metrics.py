@@ -106,7 +106,7 @@ def guardrail_metrics(df: DataFrame, group: list[str] | None = None) -> DataFram
 
 def label_distribution(df: DataFrame, label_col: str = "label", neutral_col: str = "neutralized",
                        group: list[str] | None = None) -> DataFrame:
-    """Zero-filled raw (POSITIVE/NEGATIVE) and neutralised (+NEUTRAL) counts; checks the domain."""
+    """Zero-filled raw (POSITIVE/NEGATIVE) and neutralised (+NEUTRAL) counts; NULL and other labels count as unknown."""
     lab, neu = F.col(label_col), F.col(neutral_col)
     return df.groupBy(*(group or [])).agg(
         F.count(F.lit(1)).alias("n"),
@@ -115,7 +115,7 @@ def label_distribution(df: DataFrame, label_col: str = "label", neutral_col: str
         F.count_if(neu == K.LABEL_POSITIVE).alias("pos"),
         F.count_if(neu == K.LABEL_NEGATIVE).alias("neg"),
         F.count_if(neu == K.LABEL_NEUTRAL).alias("neu"),
-        F.count_if(~lab.isin(K.LABEL_POSITIVE, K.LABEL_NEGATIVE)).alias("unknown_labels"),
+        F.count_if(~F.coalesce(lab.isin(K.LABEL_POSITIVE, K.LABEL_NEGATIVE), F.lit(False))).alias("unknown_labels"),
     )
 
 
@@ -157,12 +157,10 @@ def repeated_ngram_positions(df, keys: list[str], text_col: str = "text", n: int
     """Exploded form of the repetition check: per text, the 0-based position of the first n-gram
     that was already seen, and how many repeated occurrences there are (texts with repeats only).
 
-    The first-seen window is partitioned by (keys, n-gram), so a group holds the occurrences of one
-    n-gram inside one text.
+    Row-local: a text's n-grams are sorted with their positions inside the row; equal neighbours are repeats.
     """
-    from pyspark.sql import Window
-
-    g = df.select(*keys, F.posexplode(T.ngrams(text_col, n)).alias("pos", "gram"))
-    w = Window.partitionBy(*keys, "gram").orderBy("pos")
-    seen = g.withColumn("_k", F.row_number().over(w)).where(F.col("_k") > 1)
-    return seen.groupBy(*keys).agg(F.min("pos").alias("first_repeat_pos"), F.count(F.lit(1)).alias("n_repeats"))
+    ordered = F.array_sort(F.transform(T.ngrams(text_col, n), lambda g, i: F.struct(g.alias("g"), i.alias("pos"))))
+    rows = df.select(*keys, ordered.alias("_s"))
+    again = F.zip_with("_s", F.slice("_s", 2, F.size("_s") + 1), lambda x, y: F.when(x["g"] == y["g"], y["pos"]))
+    out = rows.select(*keys, F.filter(again, lambda x: x.isNotNull()).alias("_r")).where(F.size("_r") > 0)
+    return out.select(*keys, F.array_min("_r").alias("first_repeat_pos"), F.size("_r").cast("long").alias("n_repeats"))

@@ -1,13 +1,11 @@
 """Rewrite audits and a lexical rewriter.
 
 * ``simplify_words``: replace whole words found in a user dictionary ``(word, simpler)``,
-  keeping trailing punctuation and an initial capital. A bounded dictionary (checked size) is
-  inlined as a map literal and applied row-locally; a larger one goes through a token join and
-  an ordered regroup per text.
+  keeping trailing punctuation and an initial capital.
 * ``length_bounds``: word-count bounds of an output (``min_length``/``max_length`` in words).
 * ``copied_ngrams``: n-grams of an output that also occur in its source (row-local), and
   ``corpus_overlap``: per document, distinct n-grams shared with a reference corpus (semi join
-  on the n-gram after per-document de-duplication).
+  on the n-gram, then de-duplication of the few that are shared).
 """
 
 from __future__ import annotations
@@ -17,7 +15,8 @@ from pyspark.sql import functions as F
 
 from candor.functions import text as T
 
-MAX_INLINE_DICTIONARY = 10_000
+# About 50 MB of short texts as a hashed relation.
+MAX_REFERENCE_GRAMS = 500_000
 _CORE = r"^(.*?)([.,;:!?]*)$"
 
 
@@ -29,49 +28,29 @@ def _cap_like(rep: Column, core: Column) -> Column:
 
 def simplify_words(df: DataFrame, keys: list[str], dictionary: DataFrame | list[tuple[str, str]],
                    text_col: str = "text", out_col: str = "simplified") -> DataFrame:
-    """Word substitution over the collapsed text; adds ``out_col`` and ``n_replaced``."""
-    if not isinstance(dictionary, DataFrame):
-        pairs = list(dictionary)
-    else:
-        rows = dictionary.limit(MAX_INLINE_DICTIONARY + 1).collect()
-        pairs = [(r[0], r[1]) for r in rows] if len(rows) <= MAX_INLINE_DICTIONARY else None
-    if pairs is not None:
-        return _simplify_inline(df, pairs, text_col, out_col)
-    return _simplify_join(df, keys, dictionary, text_col, out_col)
-
+    """Word substitution over the collapsed text; adds ``out_col`` and ``n_replaced`` (long).
 
-def _simplify_inline(df: DataFrame, pairs: list[tuple[str, str]], text_col: str, out_col: str) -> DataFrame:
-    lookup = F.create_map(*[F.lit(x) for kv in pairs for x in (kv[0].lower(), kv[1])]) if pairs else None
-
-    def one(tok: Column) -> Column:
+    ``dictionary`` holds ``(word, simpler)``, of any size. Words compare in lower case; of several entries for a word the
+    smallest ``simpler`` counts; entries with a NULL are ignored. Only words found in the dictionary are gathered per
+    text (by position); the text itself is rebuilt inside its row.
+    """
+    if not isinstance(dictionary, DataFrame):
+        dictionary = df.sparkSession.createDataFrame(list(dictionary), "word STRING, simpler STRING")
+    word, simpler = (F.col(c) for c in dictionary.columns[:2])
+    entries = dictionary.select(F.lower(word).alias("_k"), simpler.alias("_rep")).dropna().groupBy("_k").agg(F.min("_rep").alias("_rep"))
+    toks = df.select(*keys, F.posexplode(T.ws_tokens(text_col)).alias("_pos", "_tok")).select(
+        *keys, "_pos", F.lower(F.regexp_extract("_tok", _CORE, 1)).alias("_k"))
+    hits = toks.join(entries, "_k").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_rep"))).alias("_hits"))
+
+    def one(tok: Column, pos: Column) -> Column:
         core = F.regexp_extract(tok, _CORE, 1)
-        punct = F.regexp_extract(tok, _CORE, 2)
-        rep = F.try_element_at(lookup, F.lower(core)) if lookup is not None else F.lit(None).cast("string")
-        return F.struct(F.concat(F.coalesce(_cap_like(rep, core), core), punct).alias("w"), rep.isNotNull().alias("hit"))
-
-    done = F.transform(T.ws_tokens(text_col), one)
-    out = df.withColumn("_d", done)
-    return out.withColumn(out_col, F.array_join(F.col("_d.w"), " ")).withColumn(
-        "n_replaced", F.size(F.filter(F.col("_d.hit"), lambda h: h))
-    ).drop("_d")
-
-
-def _simplify_join(df: DataFrame, keys: list[str], dictionary: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    d = dictionary.select(F.lower(F.col(dictionary.columns[0])).alias("_k"), F.col(dictionary.columns[1]).alias("_rep"))
-    toks = df.select(*keys, F.posexplode(T.ws_tokens(text_col)).alias("_pos", "_tok")).withColumn(
-        "_k", F.lower(F.regexp_extract("_tok", _CORE, 1))
-    )
-    joined = toks.join(d, "_k", "left")
-    core = F.regexp_extract("_tok", _CORE, 1)
-    word = F.concat(F.coalesce(_cap_like(F.col("_rep"), core), core), F.regexp_extract("_tok", _CORE, 2))
-    g = joined.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_pos", word.alias("w")))).alias("_ws"),
-        F.count_if(F.col("_rep").isNotNull()).alias("n_replaced"),
-    )
-    out = df.join(g, keys, "left")
-    return out.withColumn(out_col, F.coalesce(F.array_join(F.col("_ws.w"), " "), F.lit(""))).withColumn(
-        "n_replaced", F.coalesce("n_replaced", F.lit(0))
-    ).drop("_ws")
+        rep = F.try_element_at(F.col("_hits"), pos)
+        return F.when(rep.isNull(), tok).otherwise(F.concat(_cap_like(rep, core), F.regexp_extract(tok, _CORE, 2)))
+
+    joined = df.join(hits, keys, "left")
+    done = F.when(F.col("_hits").isNull(), T.collapse_ws(text_col)).otherwise(F.array_join(F.transform(T.ws_tokens(text_col), one), " "))
+    n = F.when(F.col("_hits").isNull(), 0).otherwise(F.size("_hits"))
+    return joined.withColumn(out_col, done).withColumn("n_replaced", n.cast("long")).drop("_hits")
 
 
 def length_bounds(t: Column | str, min_words: int | None = None, max_words: int | None = None) -> Column:
@@ -82,15 +61,15 @@ def length_bounds(t: Column | str, min_words: int | None = None, max_words: int
     return F.struct(wc.alias("words"), short.alias("too_short"), long_.alias("too_long"))
 
 
-def copied_ngrams(source: Column | str, output: Column | str, n: int = 4) -> Column:
-    """Distinct case-folded output n-grams also present in the source."""
-    return T.copied_ngram_count(source, output, n)
-
-
 def corpus_overlap(docs: DataFrame, reference: DataFrame, n: int = 4, doc_key: str = "doc_id",
                    text_col: str = "text", ref_text_col: str = "text") -> DataFrame:
-    """Per document: distinct n-grams that also occur anywhere in ``reference`` (docs with >= 1)."""
+    """Per document: distinct n-grams that also occur anywhere in ``reference`` (docs with >= 1).
+
+    A document's n-grams are made distinct inside its row and meet the reference before anything is shuffled by
+    document, so only shared ones travel. The reference is broadcast while it has at most ``MAX_REFERENCE_GRAMS`` n-grams.
+    """
     ref = reference.select(F.explode(T.ngrams(ref_text_col, n)).alias("gram")).distinct()
-    grams = docs.select(doc_key, F.explode(T.ngrams(text_col, n)).alias("gram")).distinct()
-    shared = grams.join(ref, "gram", "left_semi")
+    grams = docs.select(doc_key, F.explode(F.array_distinct(T.ngrams(text_col, n))).alias("gram"))
+    few = ref.count() <= MAX_REFERENCE_GRAMS
+    shared = grams.join(F.broadcast(ref) if few else ref, "gram", "left_semi").distinct()
     return shared.groupBy(doc_key).agg(F.count(F.lit(1)).alias("shared_ngrams"))

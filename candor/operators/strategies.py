@@ -12,10 +12,6 @@ STRATEGY_SCHEMA = (
     "no_repeat_ngram INT, source_no_repeat_ngram INT, repetition_penalty DOUBLE, length_penalty DOUBLE, "
     "min_length INT, max_length INT"
 )
-# Library default applied by sampling decoders when top_k is not given.
-DEFAULT_TOP_K = 50
-MAX_STRATEGIES = 1000
-
 
 def strategy_rows(names: list[str]) -> list[dict]:
     return [dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES[n])) for n in names]
@@ -27,25 +23,15 @@ def strategy_table(spark: SparkSession, names: list[str] | None = None) -> DataF
     return spark.createDataFrame([K.STRATEGIES[n] for n in names], STRATEGY_SCHEMA)
 
 
-def expand(df: DataFrame, strategies: list[dict] | DataFrame, name_col: str = "decoding") -> DataFrame:
-    """Input x strategy, long format: one row per input and strategy.
-
-    The strategy list is a small parameter (checked: at most ``MAX_STRATEGIES`` rows); it is
-    inlined as a literal array and exploded, a narrow Generate with no join or shuffle.
-    """
-    if isinstance(strategies, DataFrame):
-        rows = strategies.limit(MAX_STRATEGIES + 1).collect()
-        if len(rows) > MAX_STRATEGIES:
-            raise ValueError(f"more than {MAX_STRATEGIES} strategies")
-        strategies = [r.asDict() for r in rows]
+def expand(df: DataFrame, strategies: list[dict], name_col: str = "decoding") -> DataFrame:
+    """Input x strategy, long format: one row per input and strategy, by a narrow Generate over literals."""
     structs = []
     for rank, s in enumerate(strategies):
         fields = [F.lit(s["strategy"]).alias(name_col), F.lit(rank).alias("strategy_rank")]
         for c in K.STRATEGY_COLUMNS[1:]:
             fields.append(F.lit(s.get(c)).alias(c))
         structs.append(F.struct(*fields))
-    out = df.withColumn("_s", F.explode(F.array(*structs)))
-    return out.select("*", "_s.*").drop("_s")
+    return df.withColumn("_s", F.explode(F.array(*structs))).select("*", "_s.*").drop("_s")
 
 
 def uniform(seed: int, *parts: Column | str) -> Column:

@@ -9,7 +9,7 @@ post-processing like a model summary would.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candor.functions import text as T
@@ -27,37 +27,36 @@ def sentence_candidates(docs: DataFrame, key: str | list[str] = "doc_id", text_c
     """``(keys, keep..., cand_id, text)``: non-empty sentences in order, ``cand_id`` 1-based."""
     keep = keep or []
     key = _keys(key)
-    parts = docs.select(
-        *key, *keep,
-        F.posexplode(F.regexp_extract_all(T.collapse_ws(text_col), F.lit("(" + SENTENCE + ")"), 1)).alias("pos", "raw"),
-    )
+    parts = docs.select(*key, *keep, F.posexplode(sentences(F.col(text_col))).alias("pos", "raw"))
     return parts.select(*key, *keep, (F.col("pos") + 1).alias("cand_id"), F.btrim("raw").alias("text")).where(
         F.col("text") != ""
     )
 
 
-def tfidf_scores(cands: DataFrame, key: str | list[str] = "doc_id", cand: str = "cand_id",
-                 text_col: str = "text") -> DataFrame:
-    """Add ``score`` (mean idf of the candidate's tokens; 0.0 without tokens).
+def sentences(text: Column) -> Column:
+    """All sentences of a text in order, as ``cand_id`` counts them (not trimmed)."""
+    return F.regexp_extract_all(T.collapse_ws(text), F.lit("(" + SENTENCE + ")"), 1)
+
 
-    Token counts are pre-aggregated per (key, cand, token) before any shuffle on the token;
-    the document frequency table holds one row per distinct token, and the token join is left
-    to AQE (broadcast when small at runtime, skew-split when a token is hot).
+def sentence_scores(docs: DataFrame, key: str | list[str] = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(keys, cand_id, score)``: mean idf of each candidate's tokens (0.0 without tokens). ``keys`` must be unique.
+
+    Only tokens are shuffled, never texts. A document's distinct tokens are taken inside its row, so the document
+    frequencies need one aggregate with partial counts and no distinct. Candidates without words carry
+    an empty token of weight 0. The token join is left to the planner (broadcast when small, split when a token is hot).
     """
     key = _keys(key)
-    toks = cands.select(*key, cand, F.explode(T.regex_words(text_col)).alias("tok"))
-    tf = toks.groupBy(*key, cand, "tok").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.select(*key, "tok").distinct().groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = cands.select(F.count_distinct(*key)).scalar()
+    rows = docs.select(*key, F.posexplode(sentences(F.col(text_col))).alias("pos", "raw")).where(F.btrim("raw") != "")
+    words = rows.select(*key, (F.col("pos") + 1).alias("cand_id"), T.regex_words("raw").alias("w"))
+    toks = words.select(*key, "cand_id", F.explode(F.when(F.size("w") == 0, F.array(F.lit(""))).otherwise(F.col("w"))).alias("tok"))
+    dfreq = docs.select(F.explode(F.array_distinct(T.regex_words(T.collapse_ws(text_col)))).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = docs.select(F.count_if(T.collapse_ws(text_col).rlike("[^.!?]"))).scalar()
     idf = dfreq.select("tok", F.log(n_docs.cast("double") / F.col("df")).alias("idf"))
-    sc = tf.join(idf, "tok").groupBy(*key, cand).agg(
-        (F.sum(F.col("tf") * F.col("idf")) / F.sum("tf")).alias("_s")
-    )
-    return cands.join(sc, [*key, cand], "left").withColumn(
-        "score", F.round(F.coalesce(F.col("_s"), F.lit(0.0)), SCORE_DIGITS)
-    ).drop("_s")
+    idf = idf.unionByName(docs.sparkSession.createDataFrame([("", 0.0)], "tok STRING, idf DOUBLE"))
+    return toks.join(idf, "tok").groupBy(*key, "cand_id").agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score"))
 
 
 def scored_sentences(docs: DataFrame, key: str | list[str] = "doc_id", text_col: str = "text",
                      keep: list[str] | None = None) -> DataFrame:
-    return tfidf_scores(sentence_candidates(docs, key, text_col, keep), key)
+    """Every candidate with its text and score."""
+    return sentence_candidates(docs, key, text_col, keep).join(sentence_scores(docs, key, text_col), [*_keys(key), "cand_id"])

@@ -37,22 +37,22 @@ def lines_report(spark: SparkSession, sf_dir: str, profile: str = "split_words")
 # Strategy comparison (input x strategy candidates) and guarded generation with one retry
 # ---------------------------------------------------------------------------------------------
 
-def strategy_candidates(scored: DataFrame, keys: list[str], strategies: list[dict], seed: int = K.DEFAULT_SEED,
-                        keep: list[str] | None = None) -> DataFrame:
-    """Long table ``(keys, keep, decoding, strategy_rank, cand_id, output)``: one chosen candidate per
-    input and strategy (UNION ALL of one selection per strategy over the same scored table, whose
-    shuffles are planned once and reused)."""
-    from functools import reduce
+def chosen_sentences(docs: DataFrame, keys: list[str], strategies: list[dict], seed: int = K.DEFAULT_SEED,
+                     keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """``(keys, keep, choices)``: per text the sentence each strategy chooses (``select.choose``). ``keys`` must be unique."""
+    from candor.operators.select import choose, with_texts
+    from candor.operators.summarize import sentence_scores, sentences
 
-    from candor.operators.select import select_candidate
+    choices = choose(sentence_scores(docs, keys, text_col), keys, strategies, seed)
+    return with_texts(choices, docs, keys, sentences, text_col, keep)
 
+
+def strategy_candidates(docs: DataFrame, keys: list[str], strategies: list[dict], seed: int = K.DEFAULT_SEED,
+                        keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """Long table ``(keys, keep, decoding, strategy_rank, cand_id, output)``: one chosen candidate per input and strategy."""
     keep = keep or []
-    parts = []
-    for rank, s in enumerate(strategies):
-        pick = select_candidate(scored, keys, s, seed=seed, cols=["text", *keep])
-        parts.append(pick.select(*keys, *keep, F.lit(s["strategy"]).alias("decoding"), F.lit(rank).alias("strategy_rank"),
-                                 "cand_id", F.col("text").alias("output")))
-    return reduce(DataFrame.unionByName, parts)
+    rows = chosen_sentences(docs, keys, strategies, seed, keep, text_col).select(*keys, *keep, F.explode("choices").alias("_c"))
+    return rows.select(*keys, *keep, "_c.decoding", "_c.strategy_rank", "_c.cand_id", F.col("_c.text").alias("output"))
 
 
 def wide_candidates(long: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
@@ -60,50 +60,53 @@ def wide_candidates(long: DataFrame, keys: list[str], names: list[str]) -> DataF
     return long.groupBy(*keys).pivot("decoding", names).agg(F.max("output"))
 
 
-def guarded_summaries(scored: DataFrame, keys: list[str], beam: dict, sampling: dict, retry: dict,
-                      clean: bool = False, seed: int = K.DEFAULT_SEED) -> DataFrame:
-    """Beam summary, independent sampling baseline, and one retry draw for failing beams only.
+def guarded_choices(docs: DataFrame, keys: list[str], beam: dict, sampling: dict, retry: dict, post, check,
+                    keep: list[str] | None = None, seed: int = K.DEFAULT_SEED, text_col: str = "text", out: str = "output") -> DataFrame:
+    """Beam choice, independent sampling baseline, and the retry draw where the beam fails.
 
-    Output per key: ``summary, passed, notes, words, sampled_summary, sampled_passed,
-    sampled_words, retried, retry_summary, retry_passed``. The retry runs on the candidates of
-    failing keys only (semi join); every side is an aggregate on the keys, so the final joins are
-    co-partitioned.
+    ``post(text)`` turns a chosen candidate into an output, ``check(output)`` gives ``(passed, notes)``. Columns:
+    ``keys, keep, {out}, passed, notes, words, sampled_{out}, sampled_passed, sampled_words, retried, retry_{out}, retry_passed``.
+    All draws are made on narrow rows; the retry's text is only taken and checked where the beam failed.
     """
-    from candor.operators.select import best_candidate, sample_candidate
-
-    def post(df: DataFrame, prefix: str) -> DataFrame:
-        s = T.first_sentence("text", clean=clean)
-        passed, notes = R.validate_summary(s)
-        return df.select(*keys, s.alias(f"{prefix}summary"), passed.alias(f"{prefix}passed"),
-                         notes.alias(f"{prefix}notes"), T.ws_word_count(s).alias(f"{prefix}words"))
-
-    b = post(best_candidate(scored, keys), "")
-    s = post(sample_candidate(scored, keys, sampling["strategy"], sampling.get("temperature"), sampling.get("top_p"),
-                              sampling.get("top_k"), seed=seed), "sampled_").drop("sampled_notes")
-    failing = b.where(~F.col("passed")).select(*keys)
-    r = post(sample_candidate(scored.join(failing, keys, "left_semi"), keys, retry["strategy"], retry.get("temperature"),
-                              retry.get("top_p"), retry.get("top_k"), seed=seed), "retry_").drop("retry_notes", "retry_words")
-    out = b.join(s, keys).join(r, keys, "left")
-    return out.withColumn("retried", ~F.col("passed")).withColumn(
-        "retry_passed", F.coalesce(F.col("retry_passed"), F.lit(False))
-    )
+    keep = keep or []
+    won = chosen_sentences(docs, keys, [beam, sampling, retry], seed, keep, text_col)
+    names = ["", "sampled_", "retry_"]
+    texts = won.select(*keys, *keep, *[post(F.col("choices")[i]["text"]).alias(f"{n}{out}") for i, n in enumerate(names)])
+    passed, notes = check(F.col(out))
+    first = texts.select("*", passed.alias("passed"), notes.alias("notes"), T.ws_word_count(out).alias("words"),
+                         check(F.col(f"sampled_{out}"))[0].alias("sampled_passed"), T.ws_word_count(f"sampled_{out}").alias("sampled_words"))
+    again = F.when(~F.col("passed"), F.col(f"retry_{out}"))
+    second = first.withColumn("retried", ~F.col("passed")).withColumn(f"retry_{out}", again)
+    return second.withColumn("retry_passed", F.coalesce(F.when(F.col("retried"), check(F.col(f"retry_{out}"))[0]), F.lit(False)))
 
 
-def guard_report_lines(g: DataFrame, ordinal: str, input_col: str) -> DataFrame:
-    """Per-row report: status line, input preview (120 chars), output and retry lines."""
-    status = F.format_string(
-        "%02d. beam_pass=%s | words=%02d | notes=%s%s%s",
-        F.col(ordinal), T.bool_str("passed"), F.col("words"), T.notes_or_dash("notes"),
-        F.when(F.col("retried"), F.lit(" | retry_triggered")).otherwise(F.lit("")),
-        F.when(F.col("retry_passed"), F.lit(" | retry_fixed")).otherwise(F.lit("")),
-    )
-    return g.select(
-        F.col(ordinal),
-        status.alias("status_line"),
-        F.concat(F.lit("    input : "), T.preview(input_col)).alias("input_line"),
-        F.concat(F.lit("    output: "), F.col("summary")).alias("output_line"),
-        F.when(F.col("retried"), F.concat(F.lit("    retry : "), F.col("retry_summary"))).alias("retry_line"),
-    )
+def guarded_summaries(docs: DataFrame, keys: list[str], beam: dict, sampling: dict, retry: dict,
+                      clean: bool = False, seed: int = K.DEFAULT_SEED, keep: list[str] | None = None) -> DataFrame:
+    """``guarded_choices`` of one-sentence summaries under the summary rules."""
+    return guarded_choices(docs, keys, beam, sampling, retry, lambda t: T.first_sentence(t, clean=clean), R.validate_summary,
+                           keep, seed, out="summary")
+
+
+def guarded_rewrites(lines: DataFrame, keys: list[str], beam: dict, sampling: dict, retry: dict,
+                     seed: int = K.DEFAULT_SEED, text_col: str = "text") -> DataFrame:
+    """``guarded_choices`` of line rewrites: white space collapsed, rewrite rules, and ``unchanged`` fails as well.
+
+    The line itself is kept as ``input``.
+    """
+    src = lines.select(*keys, F.col(text_col).alias("text"), F.col(text_col).alias("input"))
+    return guarded_choices(src, keys, beam, sampling, retry, T.collapse_ws, lambda c: R.validate_guarded(F.col("input"), c),
+                           ["input"], seed)
+
+
+def sentiment_job(lines: DataFrame, keys: list[str], labelled: DataFrame, band: float | None = K.NEUTRAL_BAND) -> tuple[DataFrame, DataFrame]:
+    """Train on ``labelled(text, y)``, score ``lines``, apply the neutral band: ``(lines with report line, distributions)``."""
+    from candor.operators.classify import neutralize, score_naive_bayes, train_naive_bayes
+    from candor.operators.metrics import label_distribution
+    from candor.operators.report import sentiment_lines
+
+    weights, prior = train_naive_bayes(labelled)
+    scored = neutralize(score_naive_bayes(lines, keys, weights, prior), band)
+    return sentiment_lines(scored), label_distribution(scored)
 
 
 def conversation_pairs(conv: DataFrame) -> DataFrame:
@@ -129,11 +132,8 @@ def rewrite_candidates(lines: DataFrame, keys: list[str], strategies: list[dict]
     noted only when nothing else is (pass unaffected). Columns: ``keys, input, output, decoding,
     strategy_rank, tokens_out, constraint_passed, notes``.
     """
-    from candor.operators.summarize import scored_sentences
-
-    scored = scored_sentences(lines.select(*keys, F.col(text_col).alias("input"), F.col(text_col).alias("text")),
-                              keys, "text", keep=["input"])
-    long = strategy_candidates(scored, keys, strategies, seed=seed, keep=["input"])
+    src = lines.select(*keys, F.col(text_col).alias("input"), F.col(text_col).alias("text"))
+    long = strategy_candidates(src, keys, strategies, seed=seed, keep=["input"])
     out = long.withColumn("output", T.collapse_ws("output"))
     v = R.validate_df(out, "annotate_unchanged", "output", original_col="input", passed="constraint_passed",
                       words="tokens_out")

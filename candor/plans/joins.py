@@ -21,8 +21,3 @@ def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner", max_r
     if max_rows is not None and small.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
-
-
-def join_fixed(big: DataFrame, table: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with a fixed, caller-bounded parameter table (a handful of rows): always broadcast."""
-    return big.join(F.broadcast(table), on, how)

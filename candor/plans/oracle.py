@@ -56,19 +56,13 @@ def ws_tokens(x: str, lower: bool = False) -> str:
 
 
 def ngrams(toks: str, n: int) -> str:
-    return (
-        f"(CASE WHEN len({toks}) >= {n} THEN list_transform(range(1, len({toks}) - {n - 1} + 1), "
-        f"lambda i: array_to_string({toks}[i:i + {n - 1}], ' ')) ELSE []::VARCHAR[] END)"
-    )
+    """Overlapping n-grams of a token-list column as structs (tokens hold no spaces, so structs equal joined n-grams)."""
+    parts = ", ".join(f"{toks}[{i + 1}:greatest(len({toks}) - {n - 1 - i}, 0)]" for i in range(n))
+    return f"(CASE WHEN len({toks}) >= {n} THEN list_zip({parts}) ELSE [] END)"
 
 
-def has_repeated_ngram(x: str, n: int = 2) -> str:
-    g = ngrams(ws_tokens(x, lower=True), n)
-    return f"(len(list_distinct({g})) < len({g}))"
-
-
-def has_repeated_ngram_toks(toks: str, n: int = 2) -> str:
-    """Same check over a token-list column (the lambda then reads a column, not a re-split)."""
+def has_repeated_ngram(toks: str, n: int = 2) -> str:
+    """Whether an n-gram of a token-list column occurs twice."""
     g = ngrams(toks, n)
     return f"(len(list_distinct({g})) < len({g}))"
 
@@ -78,7 +72,7 @@ def unchanged(out: str, orig: str) -> str:
 
 
 def first_sentence(x: str, clean: bool = False) -> str:
-    y = f"regexp_replace({collapse_ws(x)}, {S(K.ECHO_PATTERN)}, '', 'g')"
+    y = f"regexp_replace({collapse_ws(x)}, {S(K.ECHO_PATTERN.replace('(?iu)', '(?i)'))}, '', 'g')"
     first = f"trim(string_split_regex({y}, {S(K.SENTENCE_SPLIT)})[1], {S(K.QUOTE_STRIP)})"
     if clean:
         first = f"regexp_replace({first}, {S(K.TERMINATOR_RUN + chr(92) + 'z')}, '')"
@@ -96,16 +90,17 @@ def bool_str(x: str) -> str:
 
 
 def lines_cte(extra: str = "") -> str:
-    """Physical lines of ``documents`` keyed by (doc_id, line_no), stripped, non-empty."""
+    """Lines of ``documents`` keyed by (doc_id, ordinal of the kept line), stripped, non-empty."""
     return f"""
 doc_parts AS (
-  SELECT doc_id, lang{extra}, string_split_regex(text, {S(K.LINE_BREAK)}) AS parts FROM documents
+  SELECT doc_id, lang{extra}, list_filter(list_transform(string_split_regex(text, {S(K.LINE_BREAK)}), lambda p: {strip_ws('p')}),
+    lambda p: p <> '') AS parts FROM documents
 ),
-raw_lines AS (
-  SELECT doc_id, lang{extra}, unnest(parts) AS raw, unnest(generate_series(1, len(parts))) AS line_no
-  FROM doc_parts
-),
-lines AS (
-  SELECT doc_id, lang{extra}, CAST(line_no AS BIGINT) AS line_no, {strip_ws('raw')} AS text
-  FROM raw_lines WHERE {strip_ws('raw')} <> ''
+lines AS MATERIALIZED (
+  SELECT doc_id, lang{extra}, unnest(generate_series(1, len(parts)))::BIGINT AS line_no, unnest(parts) AS text FROM doc_parts
 )"""
+
+
+def line_tokens_cte(name: str = "tlines", src: str = "lines", text: str = "text") -> str:
+    """``src`` with the lower-case whitespace tokens of its text, taken once, as ``_toks``."""
+    return f"{name} AS MATERIALIZED (SELECT *, {ws_tokens(text, lower=True)} AS _toks FROM {src})"

@@ -28,13 +28,16 @@ def file_line_ordinals(raw: DataFrame) -> DataFrame:
     kept rows in earlier blocks of the same file.
     """
     tagged = raw.withColumn("_mid", F.monotonically_increasing_id())
+    # One row per block, materialised once: its size is checked and it is joined without another pass over the text.
+    ensure_checkpoint_dir(raw.sparkSession)
     blocks = tagged.groupBy("file", "block_start").agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
+    ).checkpoint(eager=True)
     w = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "file", "block_start", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset")
     )
+    # The ids of a rescan are the same: they number rows inside the same splits.
     joined = join_bounded(tagged, offsets, ["file", "block_start"], max_rows=MAX_BROADCAST_BLOCKS)
     return joined.select(
         "file",

@@ -90,11 +90,11 @@ def q_char_flags(spark, sf_dir):
     return doc_lines(spark, sf_dir).select("doc_id", "line_no", T.char_flags("text").alias("flags"))
 
 
-_NGRAM_SQL = f"""WITH {O.lines_cte()}
+_NGRAM_SQL = f"""WITH {O.lines_cte()}, {O.line_tokens_cte()}
 SELECT doc_id, line_no,
-  {O.has_repeated_ngram('text', 2)} AS repeated_bigram,
-  {O.has_repeated_ngram('text', 3)} AS repeated_trigram
-FROM lines"""
+  {O.has_repeated_ngram('_toks', 2)} AS repeated_bigram,
+  {O.has_repeated_ngram('_toks', 3)} AS repeated_trigram
+FROM tlines"""
 
 
 @register("repeated_ngrams", _NGRAM_SQL)
@@ -222,7 +222,7 @@ def _reason_rules(x: str) -> list[tuple[str, str]]:
         (O.S(K.REASON_MULTI), f"{O.terminator_runs(x)} <> 1"),
         (O.S(K.REASON_NO_PERIOD), f"NOT {O.ends_with_period(O.strip_ws(x))}"),
         (f"printf({O.S(K.REASON_WORDS)}, {wc})", f"NOT ({wc} BETWEEN {K.WORD_LOW} AND {K.WORD_HIGH})"),
-        (O.S(K.REASON_REPEAT), O.has_repeated_ngram(x, 2)),
+        (O.S(K.REASON_REPEAT), O.has_repeated_ngram("_toks", 2)),
     ]
 
 
@@ -233,8 +233,8 @@ def _reasons_sql_cols(x: str) -> str:
     return f"NOT ({fails}) AS passed, coalesce(nullif({notes}, ''), {O.S(K.REASON_NONE)}) AS notes"
 
 
-_REASONS_SQL = f"""WITH {O.lines_cte()}
-SELECT doc_id, line_no, {_reasons_sql_cols('text')} FROM lines"""
+_REASONS_SQL = f"""WITH {O.lines_cte()}, {O.line_tokens_cte()}
+SELECT doc_id, line_no, {_reasons_sql_cols('text')} FROM tlines"""
 
 
 @register("failure_reasons", _REASONS_SQL)
@@ -279,6 +279,29 @@ def q_annotate_unchanged(spark, sf_dir):
     return v.select("doc_id", "line_no", "candidate", "passed", "notes")
 
 
+# =============================================================================================
+# Flagship: documents -> lines -> rules -> per-language report
+# =============================================================================================
+
+def _note_count(message: str, alias: str) -> str:
+    return f"count(*) FILTER (WHERE contains(notes, {O.S(message)})) AS {alias}"
+
+
+@register("lines_report", f"""WITH {O.lines_cte()},
+n AS (SELECT lang, {O.collapse_ws('text')} AS norm FROM lines),
+v AS (SELECT lang, {O.ws_word_count('norm')} AS words, {_sql_validation(_sql_rules_split('norm', O.ws_word_count('norm')))} FROM n)
+SELECT lang, count(*) AS rows, count(*) FILTER (WHERE passed) AS passed,
+  round(100.0 * avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 9) AS pass_pct, round(avg(words), 9) AS avg_words,
+  {_note_count(K.MSG_NO_PERIOD, 'no_period')}, {_note_count(K.MSG_MULTI, 'multi_sentence')},
+  {_note_count(K.MSG_TOO_SHORT, 'too_short')}, {_note_count(K.MSG_TOO_LONG, 'too_long')}
+FROM v GROUP BY lang""")
+def q_lines_report(spark, sf_dir):
+    from candor.plans.jobs import lines_report
+
+    out = lines_report(spark, sf_dir)
+    return out.withColumn("pass_pct", F.round("pass_pct", 9)).withColumn("avg_words", F.round("avg_words", 9))
+
+
 def queries() -> dict[str, QueryFn]:
     _load_all()
     return dict(QUERIES)

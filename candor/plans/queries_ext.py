@@ -9,11 +9,10 @@ from candor import constants as K
 from candor.functions import rules as R
 from candor.functions import text as T
 from candor.operators import metrics as M
-from candor.operators.select import best_candidate, sample_candidate
-from candor.operators.strategies import DEFAULT_TOP_K, strategy_rows
+from candor.operators.strategies import strategy_rows
 from candor.operators.summarize import SENTENCE, scored_sentences
 from candor.plans import oracle as O
-from candor.plans.queries import register
+from candor.plans.queries import _reason_rules, _sql_rules_rewrite, _sql_rules_split, register
 from candor.sources.lines import load_table
 
 # =============================================================================================
@@ -21,8 +20,16 @@ from candor.sources.lines import load_table
 # =============================================================================================
 
 
-def _scored(spark, sf_dir, keep=None):
-    return scored_sentences(load_table(spark, sf_dir, "documents"), keep=keep)
+def _docs(spark, sf_dir):
+    return load_table(spark, sf_dir, "documents")
+
+
+def _chosen(spark, sf_dir, strategy):
+    """The one choice of a strategy per document: ``doc_id, cand_id, text, score, prob``."""
+    from candor.plans.jobs import chosen_sentences
+
+    won = chosen_sentences(_docs(spark, sf_dir), ["doc_id"], [strategy])
+    return won.select("doc_id", F.col("choices")[0].alias("c")).select("doc_id", "c.cand_id", "c.text", "c.score", "c.prob")
 
 
 def _scored_cte(keep: str = "") -> str:
@@ -51,15 +58,15 @@ def _best_sql(src: str = "scored", name: str = "best", keys: str = "doc_id") ->
 
 def _sample_sql(strategy: str, temperature, top_p, top_k, src: str = "scored", name: str = "sampled",
                 seed: int = K.DEFAULT_SEED, keys: str = "doc_id") -> str:
-    t = _dbl(temperature or 1.0)
-    p = _dbl(1.0 if top_p is None else top_p)
-    k = int(top_k or DEFAULT_TOP_K)
+    t = _dbl(1.0 if temperature is None else temperature)
+    p = _dbl(2.0 if top_p is None else top_p)
+    cut = f"WHERE _rn <= {int(top_k)}" if top_k else ""
     key_parts = ", ".join(f"CAST({c.strip()} AS VARCHAR)" for c in keys.split(","))
     u = (f"((('0x' || substr(md5(concat_ws('|', '{seed}', {key_parts}, {O.S(strategy)}, "
          f"CAST(cand_id AS VARCHAR))), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)")
     return f"""
 {name}_rk AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, cand_id) AS _rn FROM {src}),
-{name}_z AS (SELECT *, exp(score / {t} - max(score / {t}) OVER (PARTITION BY {keys})) AS _z FROM {name}_rk WHERE _rn <= {k}),
+{name}_z AS (SELECT *, exp(score / {t} - max(score / {t}) OVER (PARTITION BY {keys})) AS _z FROM {name}_rk {cut}),
 {name}_p AS (SELECT *, _z / sum(_z) OVER (PARTITION BY {keys}) AS _p FROM {name}_z),
 {name}_c AS (SELECT *, round(coalesce(sum(_p) OVER (PARTITION BY {keys} ORDER BY score DESC, cand_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 9) AS _before FROM {name}_p),
@@ -68,26 +75,26 @@ def _sample_sql(strategy: str, temperature, top_p, top_k, src: str = "scored", n
            (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY _race, cand_id) AS _r2 FROM {name}_r) WHERE _r2 = 1)"""
 
 
+_GB, _SS, _GR = strategy_rows(["summary_beam", "summary_sampling", "summary_retry"])
+
+
 @register("scored_candidates", f"WITH {_scored_cte()} SELECT doc_id, cand_id, text, score FROM scored")
 def q_scored_candidates(spark, sf_dir):
-    return _scored(spark, sf_dir).select("doc_id", "cand_id", "text", "score")
+    return scored_sentences(_docs(spark, sf_dir)).select("doc_id", "cand_id", "text", "score")
 
 
 @register("summary_best", f"""WITH {_scored_cte()}, {_best_sql()}
 SELECT doc_id, cand_id, text, score, {O.first_sentence('text')} AS summary FROM best""")
 def q_summary_best(spark, sf_dir):
-    best = best_candidate(_scored(spark, sf_dir), ["doc_id"])
+    best = _chosen(spark, sf_dir, _GB)
     return best.select("doc_id", "cand_id", "text", "score", T.first_sentence("text").alias("summary"))
 
 
-_SS = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["summary_sampling"]))
-
-
 @register("summary_sampled", f"""WITH {_scored_cte()},
 {_sample_sql('sampling', _SS['temperature'], _SS['top_p'], _SS['top_k'])}
 SELECT doc_id, cand_id, text, score, round(prob, 9) AS prob, {O.first_sentence('text')} AS summary FROM sampled""")
 def q_summary_sampled(spark, sf_dir):
-    s = sample_candidate(_scored(spark, sf_dir), ["doc_id"], "sampling", _SS["temperature"], _SS["top_p"], _SS["top_k"])
+    s = _chosen(spark, sf_dir, _SS)
     return s.select("doc_id", "cand_id", "text", "score", F.round("prob", 9).alias("prob"),
                     T.first_sentence("text").alias("summary"))
 
@@ -103,7 +110,7 @@ _STUDY_ROWS = strategy_rows(_STUDY)
 def _long(spark, sf_dir, keep=None):
     from candor.plans.jobs import strategy_candidates
 
-    return strategy_candidates(_scored(spark, sf_dir, keep=keep), ["doc_id"], _STUDY_ROWS, keep=keep)
+    return strategy_candidates(_docs(spark, sf_dir), ["doc_id"], _STUDY_ROWS, keep=keep)
 
 
 def _long_cte(keep: str = "") -> str:
@@ -140,7 +147,7 @@ def _eval_cols_sql(x: str = "output") -> str:
     return f"""round(coalesce(100.0 * avg(CASE WHEN {ok} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS pass_pct,
   round(coalesce(avg({wc}), 0.0), 9) AS avg_wc,
   round(coalesce(stddev_pop({wc}), 0.0), 9) AS std_wc,
-  round(coalesce(100.0 * avg(CASE WHEN {O.has_repeated_ngram_toks('_toks', 2)} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS repeat_pct"""
+  round(coalesce(100.0 * avg(CASE WHEN {O.has_repeated_ngram('_toks', 2)} THEN 1.0 ELSE 0.0 END), 0.0), 9) AS repeat_pct"""
 
 
 def _round_metrics(df, cols):
@@ -162,12 +169,7 @@ def q_family_rollup(spark, sf_dir):
 
 
 def _reason_sql_expr(x: str) -> str:
-    rules = []
-    wc = O.ws_word_count(x)
-    rules.append((O.S(K.REASON_MULTI), f"{O.terminator_runs(x)} <> 1"))
-    rules.append((O.S(K.REASON_NO_PERIOD), f"NOT {O.ends_with_period(O.strip_ws(x))}"))
-    rules.append((f"printf({O.S(K.REASON_WORDS)}, {wc})", f"NOT ({wc} BETWEEN {K.WORD_LOW} AND {K.WORD_HIGH})"))
-    rules.append((O.S(K.REASON_REPEAT), O.has_repeated_ngram_toks("_toks", 2)))
+    rules = _reason_rules(x)
     return f"coalesce(nullif({O.concat_notes(rules, K.REASON_SEP)}, ''), {O.S(K.REASON_NONE)})"
 
 
@@ -209,21 +211,16 @@ def q_skipped_rows(spark, sf_dir):
 # Guarded summarize: beam, sampling baseline, retry of failures, metrics and report lines
 # =============================================================================================
 
-_GB = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["summary_beam"]))
-_GR = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["summary_retry"]))
-
-
-def _guarded(spark, sf_dir):
+def _guarded(spark, sf_dir, docs=None, keep=None):
     from candor.plans.jobs import guarded_summaries
 
-    return guarded_summaries(_scored(spark, sf_dir), ["doc_id"], _GB, _SS, _GR)
+    return guarded_summaries(_docs(spark, sf_dir) if docs is None else docs, ["doc_id"], _GB, _SS, _GR, keep=keep)
 
 
 def _summary_post_sql(src: str, name: str) -> str:
     s = O.first_sentence("text")
     x = O.collapse_ws(s)
-    rules = [(O.S(K.MSG_NO_PERIOD), f"NOT {O.ends_with_period(x)}"),
-             (O.S(K.MSG_MULTI), f"{O.ends_with_period(x)} AND NOT {O.one_sentence_period(x)}")]
+    rules = _sql_rules_rewrite(x)[:2]
     fails = " OR ".join(f"({c})" for _, c in rules)
     return f"""{name} AS (SELECT doc_id, {s} AS summary, NOT ({fails}) AS passed, {O.concat_notes(rules, K.NOTES_SEP)} AS notes,
   {O.ws_word_count(s)} AS words FROM {src})"""
@@ -250,19 +247,19 @@ def q_retry_summary(spark, sf_dir):
     )
 
 
-@register("guardrail_metrics", f"""WITH {_GUARD_CTE}
-SELECT count(*) AS n,
+_GUARD_METRIC_SQL = """count(*) AS n,
   round(coalesce(100.0 * avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 0.0), 9) AS beam_pass_pct,
   round(coalesce(100.0 * avg(CASE WHEN sampled_passed THEN 1.0 ELSE 0.0 END), 0.0), 9) AS sampling_pass_pct,
   round(coalesce(avg(words), 0.0), 9) AS avg_words_beam,
   round(coalesce(avg(sampled_words), 0.0), 9) AS avg_words_sampling,
   count(*) FILTER (WHERE retried) AS retry_triggered,
-  round(coalesce(100.0 * (count(*) FILTER (WHERE retried AND retry_passed)) / nullif(count(*) FILTER (WHERE retried), 0), 0.0), 9) AS retry_fix_pct
-FROM guarded""")
+  round(coalesce(100.0 * (count(*) FILTER (WHERE retried AND retry_passed)) / nullif(count(*) FILTER (WHERE retried), 0), 0.0), 9) AS retry_fix_pct"""
+_GUARD_METRIC_COLS = ["beam_pass_pct", "sampling_pass_pct", "avg_words_beam", "avg_words_sampling", "retry_fix_pct"]
+
+
+@register("guardrail_metrics", f"WITH {_GUARD_CTE} SELECT {_GUARD_METRIC_SQL} FROM guarded")
 def q_guardrail_metrics(spark, sf_dir):
-    m = M.guardrail_metrics(_guarded(spark, sf_dir))
-    cols = ["beam_pass_pct", "sampling_pass_pct", "avg_words_beam", "avg_words_sampling", "retry_fix_pct"]
-    return _round_metrics(m, cols)
+    return _round_metrics(M.guardrail_metrics(_guarded(spark, sf_dir)), _GUARD_METRIC_COLS)
 
 
 @register("report_lines", f"""WITH {_GUARD_CTE}, d AS (SELECT doc_id, {O.strip_ws('text')} AS input FROM documents)
@@ -275,10 +272,11 @@ SELECT doc_id,
   CASE WHEN retried THEN '    retry : ' || retry_summary END AS retry_line
 FROM guarded JOIN d USING (doc_id)""")
 def q_report_lines(spark, sf_dir):
-    from candor.plans.jobs import guard_report_lines
+    from candor.operators.report import status_lines
 
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", T.strip_ws("text").alias("input"))
-    return guard_report_lines(_guarded(spark, sf_dir).join(docs, "doc_id"), "doc_id", "input")
+    # The preview is cut before any shuffle.
+    docs = _docs(spark, sf_dir).select("doc_id", "text", T.preview(T.strip_ws("text")).alias("input"))
+    return status_lines(_guarded(spark, sf_dir, docs, ["input"]), "doc_id", "input", "summary")
 
 
 # =============================================================================================
@@ -303,7 +301,7 @@ train AS (SELECT d.text, l.quality AS y FROM documents d JOIN labels l USING (do
 ttok AS (SELECT y, unnest(regexp_extract_all(lower(text), {_W})) AS tok FROM train),
 tcnt AS (SELECT tok, count(*) FILTER (WHERE y = 1) AS c1, count(*) FILTER (WHERE y = 0) AS c0 FROM ttok GROUP BY tok),
 tsc AS (SELECT CAST(sum(c1) AS DOUBLE) AS n1, CAST(sum(c0) AS DOUBLE) AS n0, CAST(count(*) AS DOUBLE) AS v FROM tcnt),
-tpr AS (SELECT ln(CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) / count(*) FILTER (WHERE y = 0)) AS prior FROM train),
+tpr AS (SELECT ln((CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) + 1.0) / (count(*) FILTER (WHERE y = 0) + 1.0)) AS prior FROM train),
 wt AS (SELECT tok, ln((CAST(c1 AS DOUBLE) + 1.0) / (n1 + v)) - ln((CAST(c0 AS DOUBLE) + 1.0) / (n0 + v)) AS w FROM tcnt, tsc),
 ltok AS (SELECT doc_id, line_no, unnest(regexp_extract_all(lower(text), {_W})) AS tok FROM lines),
 ltf AS (SELECT doc_id, line_no, tok, count(*) AS tf FROM ltok GROUP BY doc_id, line_no, tok),
@@ -349,7 +347,7 @@ def _batches(spark, sf_dir):
     lines = doc_lines(spark, sf_dir)
     vocab = build_vocabulary(lines)
     enc = encode(lines, ["doc_id", "line_no"], vocab, max_length=_MAXLEN)
-    return pad_batches(assign_batches(enc, ["doc_id"], "line_no", _BATCH), ["doc_id", "batch_no"]), vocab
+    return pad_batches(assign_batches(enc, ["doc_id", "line_no"], _BATCH), ["batch_no"]), vocab
 
 
 _VOCAB_CTE = f"""{O.lines_cte()},
@@ -360,10 +358,11 @@ vocab AS (SELECT tok, cnt, row_number() OVER (ORDER BY cnt DESC, tok) + 1 AS id
 
 _BATCH_CTE = f"""{_VOCAB_CTE},
 enc0 AS (SELECT doc_id, line_no, list(id ORDER BY pos) AS ids FROM vtok JOIN vocab USING (tok) GROUP BY doc_id, line_no),
-enc AS (SELECT l.doc_id, l.line_no, coalesce(e.ids, []::BIGINT[]) AS all_ids FROM lines l LEFT JOIN enc0 e USING (doc_id, line_no)),
+enc AS (SELECT l.doc_id, l.line_no, coalesce(e.ids, []::BIGINT[]) AS all_ids, row_number() OVER (ORDER BY l.doc_id, l.line_no) - 1 AS rn
+        FROM lines l LEFT JOIN enc0 e USING (doc_id, line_no)),
 enc2 AS (SELECT doc_id, line_no, len(all_ids) AS n_tokens, all_ids[1:{_MAXLEN}] AS input_ids,
-         (line_no - 1) // {_BATCH} AS batch_no, CAST((line_no - 1) % {_BATCH} + 1 AS INTEGER) AS pos_in_batch FROM enc),
-padded AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY doc_id, batch_no) AS batch_width FROM enc2),
+         rn // {_BATCH} AS batch_no, CAST(rn % {_BATCH} + 1 AS INTEGER) AS pos_in_batch FROM enc),
+padded AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_no) AS batch_width FROM enc2),
 padded2 AS (SELECT *, list_concat(input_ids, list_transform(range(batch_width - len(input_ids)), lambda x: 0)) AS padded_ids,
             list_concat(list_transform(range(len(input_ids)), lambda x: 1), list_transform(range(batch_width - len(input_ids)), lambda x: 0)) AS attention_mask
             FROM padded)"""
@@ -388,16 +387,16 @@ def q_token_batches(spark, sf_dir):
 
 
 @register("batch_shapes", f"""WITH {_BATCH_CTE}
-SELECT doc_id, batch_no, count(*) AS rows, max(batch_width) AS width, sum(len(input_ids)) AS tokens,
+SELECT batch_no, count(*) AS rows, max(batch_width) AS width, sum(len(input_ids)) AS tokens,
   array_to_string(arg_max(attention_mask, pos_in_batch), ' ') AS last_mask,
   round(CASE WHEN count(*) * max(batch_width) > 0 THEN 1.0 - sum(len(input_ids)) / (count(*) * max(batch_width)) ELSE 0.0 END, 9) AS padding_share
-FROM padded2 GROUP BY doc_id, batch_no""")
+FROM padded2 GROUP BY batch_no""")
 def q_batch_shapes(spark, sf_dir):
     from candor.operators.batches import batch_shapes
 
     b, _ = _batches(spark, sf_dir)
-    s = batch_shapes(b, ["doc_id", "batch_no"])
-    return s.select("doc_id", "batch_no", "rows", "width", "tokens", _ids_str("last_mask").alias("last_mask"),
+    s = batch_shapes(b, ["batch_no"])
+    return s.select("batch_no", "rows", "width", "tokens", _ids_str("last_mask").alias("last_mask"),
                     F.round("padding_share", 9).alias("padding_share"))
 
 
@@ -456,15 +455,14 @@ def q_conversation_pairs(spark, sf_dir):
 
 
 def _copied_sql(n: int) -> str:
-    out_g = O.ngrams(O.ws_tokens("response", lower=True), n)
-    src_g = O.ngrams(O.ws_tokens("prompt", lower=True), n)
-    return f"len(list_intersect(list_distinct({out_g}), {src_g}))"
+    return f"len(list_intersect(list_distinct({O.ngrams('rt', n)}), {O.ngrams('pt', n)}))"
 
 
-@register("copied_ngrams", f"""WITH {_PAIRS_SQL}
+@register("copied_ngrams", f"""WITH {_PAIRS_SQL},
+t AS MATERIALIZED (SELECT *, {O.ws_tokens('response', lower=True)} AS rt, {O.ws_tokens('prompt', lower=True)} AS pt FROM pairs)
 SELECT conv_id, turn, {_copied_sql(4)} AS copied_4grams, {_copied_sql(4)} > 0 AS copied_any,
-  {O.has_repeated_ngram('response', 3)} AS repeated_3gram, {O.unchanged('response', 'prompt')} AS unchanged
-FROM pairs""")
+  {O.has_repeated_ngram('rt', 3)} AS repeated_3gram, {O.unchanged('response', 'prompt')} AS unchanged
+FROM t""")
 def q_copied_ngrams(spark, sf_dir):
     c = T.copied_ngram_count("prompt", "response", 4)
     return _pairs_df(spark, sf_dir).select(
@@ -474,14 +472,13 @@ def q_copied_ngrams(spark, sf_dir):
 
 
 def _grams_sql(src: str, key: str, n: int) -> str:
-    g = O.ngrams(O.ws_tokens("text", lower=True), n)
-    return f"SELECT {key}, unnest({g}) AS gram FROM {src}"
+    return f"SELECT {key}, unnest({O.ngrams('_toks', n)}) AS gram FROM {src}"
 
 
-@register("benchmark_overlap", f"""WITH
-ref AS (SELECT DISTINCT gram FROM ({_grams_sql('benchmark', 'item_id', 4)})),
-dg AS (SELECT DISTINCT doc_id, gram FROM ({_grams_sql('documents', 'doc_id', 4)}))
-SELECT doc_id, count(*) AS shared_ngrams FROM dg WHERE gram IN (SELECT gram FROM ref) GROUP BY doc_id""")
+@register("benchmark_overlap", f"""WITH {O.line_tokens_cte('tb', 'benchmark')}, {O.line_tokens_cte('td', 'documents')},
+ref AS (SELECT DISTINCT gram FROM ({_grams_sql('tb', 'item_id', 4)})),
+dg AS (SELECT DISTINCT doc_id, gram FROM ({_grams_sql('td', 'doc_id', 4)}) WHERE gram IN (SELECT gram FROM ref))
+SELECT doc_id, count(*) AS shared_ngrams FROM dg GROUP BY doc_id""")
 def q_benchmark_overlap(spark, sf_dir):
     from candor.operators.rewrite import corpus_overlap
 
@@ -492,18 +489,7 @@ def q_benchmark_overlap(spark, sf_dir):
 # Batch rewrite of lines: beam vs sampling, CSV rows (annotate-unchanged rules), mini report
 # =============================================================================================
 
-def _sql_rules_split_words(x: str) -> list[tuple[str, str]]:
-    wc = O.ws_word_count(x)
-    return [
-        (O.S(K.MSG_NO_PERIOD), f"NOT {O.ends_with_period(x)}"),
-        (O.S(K.MSG_MULTI), f"NOT {O.one_sentence_period(x)}"),
-        (O.S(K.MSG_TOO_SHORT), f"{wc} < {K.WORD_LOW}"),
-        (O.S(K.MSG_TOO_LONG), f"{wc} > {K.WORD_HIGH}"),
-    ]
-
-
-_RB = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["rewrite_beam"]))
-_RS = dict(zip(K.STRATEGY_COLUMNS, K.STRATEGIES["rewrite_sampling"]))
+_RB, _RS = strategy_rows(["rewrite_beam", "rewrite_sampling"])
 
 
 def _csv_rows(spark, sf_dir):
@@ -525,26 +511,28 @@ lnd AS (SELECT count(*) AS n FROM (SELECT DISTINCT doc_id, line_no FROM lc)),
 lsc AS (SELECT ltf2.doc_id, ltf2.line_no, ltf2.cand_id, sum(tf * ln(CAST(lnd.n AS DOUBLE) / df)) / sum(tf) AS s
         FROM ltf2 JOIN ldf USING (tok) CROSS JOIN lnd GROUP BY ltf2.doc_id, ltf2.line_no, ltf2.cand_id),
 lscored AS MATERIALIZED (SELECT c.*, round(coalesce(lsc.s, 0.0), 9) AS score FROM lc c LEFT JOIN lsc USING (doc_id, line_no, cand_id)),
-{_best_sql('lscored', 'lbest', _LK)},
+{_best_sql('lscored', 'lbest', _LK)}"""
+
+_CSV_CTE = f"""{_LINE_SCORED_CTE},
 {_sample_sql('sampling', _RS['temperature'], _RS['top_p'], _RS['top_k'], src='lscored', name='lsamp', keys=_LK)},
 lout AS (SELECT doc_id, line_no, input, text AS output, 'beam' AS decoding, 0 AS strategy_rank FROM lbest
          UNION ALL SELECT doc_id, line_no, input, text, 'sampling', 1 FROM lsamp),
 lnorm AS (SELECT doc_id, line_no, input, {O.collapse_ws('output')} AS output, decoding, strategy_rank FROM lout),
 csvrows AS (SELECT doc_id, line_no, input, output, decoding, strategy_rank, {O.ws_word_count('output')} AS tokens_out,
-  NOT ({" OR ".join(f"({c})" for _, c in _sql_rules_split_words('output'))}) AS constraint_passed,
-  CASE WHEN {O.concat_notes(_sql_rules_split_words('output'), K.NOTES_SEP)} = '' AND {O.unchanged('output', 'input')}
-       THEN {O.S(K.MSG_UNCHANGED)} ELSE {O.concat_notes(_sql_rules_split_words('output'), K.NOTES_SEP)} END AS notes
+  NOT ({" OR ".join(f"({c})" for _, c in _sql_rules_split('output', O.ws_word_count('output')))}) AS constraint_passed,
+  CASE WHEN {O.concat_notes(_sql_rules_split('output', O.ws_word_count('output')), K.NOTES_SEP)} = '' AND {O.unchanged('output', 'input')}
+       THEN {O.S(K.MSG_UNCHANGED)} ELSE {O.concat_notes(_sql_rules_split('output', O.ws_word_count('output')), K.NOTES_SEP)} END AS notes
   FROM lnorm)"""
 
 
-@register("csv_candidates", f"""WITH {_LINE_SCORED_CTE}
+@register("csv_candidates", f"""WITH {_CSV_CTE}
 SELECT doc_id, line_no, input, output, decoding, strategy_rank, tokens_out, constraint_passed, notes FROM csvrows""")
 def q_csv_candidates(spark, sf_dir):
     return _csv_rows(spark, sf_dir).select("doc_id", "line_no", "input", "output", "decoding", "strategy_rank",
                                            "tokens_out", "constraint_passed", "notes")
 
 
-@register("mini_report", f"""WITH {_LINE_SCORED_CTE},
+@register("mini_report", f"""WITH {_CSV_CTE},
 m(decoding) AS (VALUES ('beam'), ('sampling')),
 a AS (SELECT decoding, count(*) AS rows, 100.0 * avg(CASE WHEN constraint_passed THEN 1.0 ELSE 0.0 END) AS pass_pct,
       avg(tokens_out) AS avg_tokens FROM csvrows GROUP BY decoding)
@@ -589,13 +577,13 @@ SELECT doc_id, {O.ws_word_count('summary')} AS words, {O.ws_word_count('summary'
 def q_length_audit(spark, sf_dir):
     from candor.operators.rewrite import length_bounds
 
-    best = best_candidate(_scored(spark, sf_dir), ["doc_id"])
+    best = _chosen(spark, sf_dir, _GB)
     b = length_bounds(T.first_sentence("text"), _GB["min_length"], _GB["max_length"])
     return best.select("doc_id", b.alias("b")).select("doc_id", "b.*")
 
 
-@register("repeat_positions", f"""WITH {O.lines_cte()},
-g0 AS (SELECT doc_id, line_no, {O.ngrams(O.ws_tokens('text', lower=True), 2)} AS grams FROM lines),
+@register("repeat_positions", f"""WITH {O.lines_cte()}, {O.line_tokens_cte()},
+g0 AS (SELECT doc_id, line_no, {O.ngrams('_toks', 2)} AS grams FROM tlines),
 g AS (SELECT doc_id, line_no, unnest(grams) AS gram, unnest(generate_series(0, len(grams) - 1)) AS pos FROM g0),
 s AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line_no, gram ORDER BY pos) AS k FROM g)
 SELECT doc_id, line_no, CAST(min(pos) AS INTEGER) AS first_repeat_pos, count(*) AS n_repeats FROM s WHERE k > 1 GROUP BY doc_id, line_no""")
@@ -610,20 +598,71 @@ def q_repeat_positions(spark, sf_dir):
 # =============================================================================================
 
 def _guard_cols(x: str, orig: str) -> tuple[str, str]:
-    rules = _sql_rules_rewrite_g(x) + [(O.S(K.MSG_UNCHANGED), O.unchanged(x, orig))]
+    rules = _sql_rules_rewrite(O.collapse_ws(x)) + [(O.S(K.MSG_UNCHANGED), O.unchanged(x, orig))]
     fails = " OR ".join(f"({c})" for _, c in rules)
     return f"NOT ({fails})", O.concat_notes(rules, K.NOTES_SEP)
 
 
-def _sql_rules_rewrite_g(raw: str) -> list[tuple[str, str]]:
-    x = O.collapse_ws(raw)
-    wc = O.ws_word_count(x)
-    return [
-        (O.S(K.MSG_NO_PERIOD), f"NOT {O.ends_with_period(x)}"),
-        (O.S(K.MSG_MULTI), f"{O.ends_with_period(x)} AND NOT {O.one_sentence_period(x)}"),
-        (O.S(K.MSG_TOO_SHORT), f"{wc} < {K.WORD_LOW}"),
-        (O.S(K.MSG_TOO_LONG), f"{wc} > {K.WORD_HIGH}"),
-    ]
+# =============================================================================================
+# Guarded rewrite of lines: beam, sampling baseline, retry of failures, unchanged guard
+# =============================================================================================
+
+_WB, _WS, _WR = strategy_rows(["guarded_beam", "guarded_sampling", "guarded_retry"])
+
+
+def _rewrites(spark, sf_dir):
+    from candor.plans.jobs import guarded_rewrites
+    from candor.plans.queries import doc_lines
+
+    return guarded_rewrites(doc_lines(spark, sf_dir), ["doc_id", "line_no"], _WB, _WS, _WR)
+
+
+_O_PASS, _O_NOTES = _guard_cols("output", "input")
+_S_PASS, _ = _guard_cols("sampled_output", "input")
+_R_PASS, _ = _guard_cols("drawn", "input")
+_REWRITE_CTE = f"""{_LINE_SCORED_CTE},
+{_sample_sql('sampling', _WS['temperature'], _WS['top_p'], _WS['top_k'], src='lscored', name='wsamp', keys=_LK)},
+{_sample_sql('retry', _WR['temperature'], _WR['top_p'], _WR['top_k'], src='lscored', name='wretry', keys=_LK)},
+w0 AS MATERIALIZED (SELECT b.doc_id, b.line_no, b.input, {O.collapse_ws('b.text')} AS output, {O.collapse_ws('s.text')} AS sampled_output,
+  {O.collapse_ws('r.text')} AS drawn FROM lbest b JOIN wsamp s USING (doc_id, line_no) JOIN wretry r USING (doc_id, line_no)),
+w1 AS MATERIALIZED (SELECT *, {_O_PASS} AS passed, {_O_NOTES} AS notes, {O.ws_word_count('output')} AS words, {_S_PASS} AS sampled_passed,
+  {O.ws_word_count('sampled_output')} AS sampled_words, {_R_PASS} AS drawn_passed FROM w0),
+rewrites AS (SELECT doc_id, line_no, input, output, passed, notes, words, sampled_output, sampled_passed, sampled_words, NOT passed AS retried,
+  CASE WHEN NOT passed THEN drawn END AS retry_output, NOT passed AND drawn_passed AS retry_passed FROM w1)"""
+
+
+@register("guarded_rewrite", f"WITH {_REWRITE_CTE} SELECT * FROM rewrites")
+def q_guarded_rewrite(spark, sf_dir):
+    return _rewrites(spark, sf_dir).select("doc_id", "line_no", "input", "output", "passed", "notes", "words", "sampled_output", "sampled_passed",
+                                           "sampled_words", "retried", "retry_output", "retry_passed")
+
+
+@register("guarded_rewrite_metrics", f"WITH {_REWRITE_CTE} SELECT {_GUARD_METRIC_SQL} FROM rewrites")
+def q_guarded_rewrite_metrics(spark, sf_dir):
+    return _round_metrics(M.guardrail_metrics(_rewrites(spark, sf_dir)), _GUARD_METRIC_COLS)
+
+
+@register("failures_numbered", f"""WITH {_long_cte()},
+r AS (SELECT doc_id, decoding, row_number() OVER (PARTITION BY decoding ORDER BY doc_id) AS ord, {_reason_sql_expr('output')} AS reason FROM longt)
+SELECT doc_id, decoding, ord, printf('%02d. %s', ord, reason) AS line FROM r WHERE reason <> {O.S(K.REASON_NONE)}""")
+def q_failures_numbered(spark, sf_dir):
+    from candor.operators.report import number_within
+
+    listed = M.failures_listed(number_within(_long(spark, sf_dir), ["decoding"], ["doc_id"]), keys=["doc_id", "ord"])
+    return listed.select("doc_id", "decoding", "ord", F.format_string("%02d. %s", "ord", "reason").alias("line"))
+
+
+@register("sentiment_report", f"""WITH {_NB_CTE}
+SELECT n.doc_id, n.line_no, n.neutralized, printf('%02d. raw=%s (%.3f) -> neutralized=%s', n.line_no, n.label, n.score, n.neutralized) AS line,
+  '    text: ' || l.text AS text_line FROM nbn n JOIN lines l USING (doc_id, line_no)""")
+def q_sentiment_report(spark, sf_dir):
+    from candor.plans.jobs import sentiment_job
+    from candor.plans.queries import doc_lines
+
+    labels = load_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    labelled = _docs(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
+    report, _ = sentiment_job(doc_lines(spark, sf_dir), ["doc_id", "line_no"], labelled)
+    return report.select("doc_id", "line_no", "neutralized", "line", "text_line")
 
 
 _P1, _N1 = _guard_cols("output", "text")

@@ -26,11 +26,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("candor.local.slots", str(spark.sparkContext.defaultParallelism))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -38,8 +40,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder.
 
-    On a cluster the folder must be configured (``spark.checkpoint.dir``, a shared file
-    system). Only a local-mode session without one gets a fresh scratch folder.
+    That is the one set on the context or in ``spark.checkpoint.dir``, which on a cluster names a shared folder. Where
+    neither is set, as in tests, it is ``CANDOR_SCRATCH`` or a folder made for this session.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,8 +51,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running candor jobs")
-    scratch = tempfile.mkdtemp(prefix="candor-ckpt-", dir=os.environ.get("CANDOR_SCRATCH", "/tmp"))
+    scratch = os.environ.get("CANDOR_SCRATCH") or tempfile.mkdtemp(prefix="candor-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

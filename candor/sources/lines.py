@@ -11,20 +11,16 @@ from candor.plans.ordinals import file_line_ordinals
 
 
 def table_lines(df: DataFrame, keys: list[str], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Split a text column into physical lines (``\\r\\n``, ``\\r``, ``\\n``), strip, drop empties.
+    """Split a text column into lines (``\\r\\n``, ``\\r``, ``\\n``), strip, drop empties.
 
-    Output: ``keys + keep + [line_no, text]`` with ``line_no`` the 1-based physical line position
-    inside the row, so ``keys + [line_no]`` is a stable key that needs no global ordering.
+    Output: ``keys + keep + [line_no, text]`` with ``line_no`` the 1-based ordinal of the kept line
+    inside the row (as in ``read_lines``), so ``keys + [line_no]`` is a stable key that needs no global ordering.
     Narrow (no shuffle): a Generate on each row.
     """
     keep = keep or []
-    exploded = df.select(
-        *keys, *keep, F.posexplode(F.split(F.col(text_col), K.LINE_BREAK)).alias("pos", "raw")
-    )
-    return (
-        exploded.select(*keys, *keep, (F.col("pos") + 1).alias("line_no"), T.strip_ws("raw").alias("text"))
-        .where(F.col("text") != "")
-    )
+    kept = F.filter(F.transform(F.split(F.col(text_col), K.LINE_BREAK), T.strip_ws), lambda x: x != "")
+    exploded = df.select(*keys, *keep, F.posexplode(kept).alias("pos", "text"))
+    return exploded.select(*keys, *keep, (F.col("pos") + 1).alias("line_no"), "text")
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -48,16 +44,11 @@ def documents_lines(docs: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A table of the data folder, as scanned.
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give an under-split scan (fewer splits than task slots) one partition per slot.
-
-    Text work is CPU-bound per row; a table stored as one row group would otherwise run on one
-    core. Large inputs already have more splits than slots and are left untouched (no shuffle).
+    A file of one row group is one split, whatever the scan settings. Where ``candor.local.slots`` is set (``local_session``
+    does, a cluster does not), rows are dealt to that many tasks.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    slots = spark.conf.get("candor.local.slots", None)
+    return df.repartition(int(slots)) if slots else df

@@ -29,10 +29,3 @@ def render_templates(df: DataFrame, text_col: str, templates: list[tuple[str, st
     return out.withColumn("template", F.col("_t.template")).withColumn(
         "prompt", F.concat(F.col("_t.prefix"), F.col(text_col), F.col("_t.suffix"))
     ).drop("_t")
-
-
-def render(df: DataFrame, text_col: str, template: str, out_col: str = "prompt") -> DataFrame:
-    """Render one named template."""
-    by_name = {n: (p, s) for n, p, s in K.TEMPLATES}
-    p, s = by_name[template]
-    return df.withColumn(out_col, F.concat(F.lit(p), F.col(text_col), F.lit(s)))

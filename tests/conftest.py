@@ -15,7 +15,3 @@ def spark():
     s = local_session("*", 8, app="candor-tests")
     yield s
     s.stop()
-
-
-def pyref_collapse(t):
-    return " ".join(t.split())

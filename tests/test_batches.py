@@ -28,11 +28,21 @@ def test_vocabulary_encode_pad(spark):
     order = sorted(counts, key=lambda w: (-counts[w], w))
     assert vocab == {w: i + 2 for i, w in enumerate(order)}
     enc = encode(df, ["doc", "line"], build_vocabulary(df), max_length=3)
-    padded = pad_batches(assign_batches(enc, ["doc"], "line", 2), ["doc", "batch_no"]).collect()
+    padded = pad_batches(assign_batches(enc, ["doc", "line"], 4), ["batch_no"]).collect()
     for r in padded:
         ids = [vocab[w] for w in WORD.findall(r.text.lower())]
         assert list(r.input_ids) == ids[:3] and r.n_tokens == len(ids)
         assert sum(r.attention_mask) == len(r.input_ids)
         assert len(r.padded_ids) == len(r.attention_mask) == r.batch_width
-    shapes = batch_shapes(pad_batches(assign_batches(enc, ["doc"], "line", 2), ["doc", "batch_no"]), ["doc", "batch_no"])
-    assert shapes.count() == 3 * 3
+    order = sorted((r.doc, r.line, r.batch_no, r.pos_in_batch) for r in padded)
+    assert [x[2:] for x in order] == [(i // 4, i % 4 + 1) for i in range(15)]
+    shapes = batch_shapes(pad_batches(assign_batches(enc, ["doc", "line"], 4), ["batch_no"]), ["batch_no"]).collect()
+    assert sorted(r.rows for r in shapes) == [3, 4, 4, 4]
+
+
+def test_unknown_tokens_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, 1, "known other"), (1, 2, ""), (1, 3, None)], "doc INT, line INT, text STRING")
+    vocab = spark.createDataFrame([("known", 1, 5_000_000_000)], "tok STRING, cnt INT, id LONG")
+    got = {r.line: list(r.input_ids) for r in encode(df, ["doc", "line"], vocab).collect()}
+    assert got == {1: [5_000_000_000, 1], 2: [], 3: []}
+    assert build_vocabulary(df.limit(0)).count() == 0 and assign_batches(df.limit(0), ["doc", "line"]).count() == 0

@@ -21,7 +21,7 @@ def test_naive_bayes_brute_force(spark):
             c[y][tok] = c[y].get(tok, 0) + 1
     vocab = set(c[0]) | set(c[1])
     n = {y: sum(c[y].values()) for y in c}
-    p = math.log(3 / 2)
+    p = math.log(4 / 3)
     for k, t in tests:
         z = p + sum(math.log((c[1].get(x, 0) + 1) / (n[1] + len(vocab))) - math.log((c[0].get(x, 0) + 1) / (n[0] + len(vocab)))
                     for x in WORD.findall(t.lower()) if x in vocab)
@@ -30,3 +30,17 @@ def test_naive_bayes_brute_force(spark):
         s = round(1 / (1 + math.exp(-abs(round(z, 9)))), 9)
         assert abs(got[k].score - s) < 1e-8
         assert got[k].neutralized == ("NEUTRAL" if abs(s - 0.5) <= 0.1 else got[k].label)
+
+
+def test_one_class_no_rows_and_null_labels(spark):
+    docs = spark.createDataFrame([(1, "good day"), (2, ""), (3, None)], "k INT, text STRING")
+    for rows, label in (([("good", 1), ("good", None), (None, 1)], "POSITIVE"), ([("good", 0)], "NEGATIVE"), ([], "POSITIVE")):
+        w, prior = train_naive_bayes(spark.createDataFrame(rows, "text STRING, y INT"))
+        got = {r.k: r for r in score_naive_bayes(docs, ["k"], w, prior).collect()}
+        assert got[1].label == label and all(math.isfinite(r.z) for r in got.values())
+        assert got[2].z == round(math.log(2.0 if rows and label == "POSITIVE" else 0.5 if rows else 1.0), 9)
+    from candor.operators.metrics import label_distribution
+
+    labels = spark.createDataFrame([("POSITIVE", "NEUTRAL"), (None, None), ("ODD", "ODD")], "label STRING, neutralized STRING")
+    r = label_distribution(labels).first()
+    assert (r.n, r.raw_pos, r.neu, r.unknown_labels) == (3, 1, 1, 2)

@@ -1,8 +1,9 @@
 """Candidate selection: argmax, seeded sampling invariants and partition independence."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from candor.operators.select import best_candidate, sample_candidate
+from candor.operators.select import best_candidate, choose, sample_candidate
 from candor.operators.strategies import expand, strategy_rows, uniform
 
 
@@ -54,3 +55,30 @@ def test_uniform_range_and_expand(spark):
     e = expand(spark.range(3), strategy_rows(["greedy", "beam", "sampling"]))
     assert e.count() == 9 and set(e.columns) >= {"decoding", "temperature", "top_p", "strategy_rank"}
     assert "Join" not in e._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_top_k_cuts_nothing(spark):
+    """200 equal candidates and no cut: draws come from the whole list."""
+    df = spark.createDataFrame([(k, c, 1.0) for k in range(60) for c in range(1, 201)], "key INT, cand_id INT, score DOUBLE")
+    for top_k in (None, 0):
+        drawn = [r.cand_id for r in sample_candidate(df, ["key"], "s", 1.0, 1.0, top_k, cols=[]).collect()]
+        assert max(drawn) > 150 and min(drawn) < 50 and sum(c > 50 for c in drawn) > 30
+    few = [r.cand_id for r in sample_candidate(df, ["key"], "s", 1.0, None, 5, cols=[]).collect()]
+    assert max(few) <= 5
+
+
+def test_temperature_must_be_positive(spark):
+    with pytest.raises(ValueError, match="temperature"):
+        sample_candidate(cands(spark), ["key"], "s", 0.0)
+
+
+def test_choose_gives_all_strategies_in_one_shuffle(spark):
+    df = cands(spark)
+    chosen = choose(df, ["key"], strategy_rows(["greedy", "sampling", "beam"]))
+    best = {r.key: r.cand_id for r in best_candidate(df, ["key"]).collect()}
+    drawn = {r.key: r.cand_id for r in sample_candidate(df, ["key"], "sampling", 0.8, 0.9).collect()}
+    for r in chosen.collect():
+        assert [c.decoding for c in r.choices] == ["greedy", "sampling", "beam"]
+        assert [c.cand_id for c in r.choices] == [best[r.key], drawn[r.key], best[r.key]]
+    plan = choose(df, ["key"], strategy_rows(["greedy", "sampling", "beam"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
