@@ -19,11 +19,6 @@ NON_WS_CLASS = (
     r"[^\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
-# The same class without the plain space: a lone U+0020 never needs rewriting when collapsing.
-WS_NO_SPACE_CLASS = (
-    r"[\x{9}-\x{D}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
 # Regex word (a run of word characters, apostrophes and hyphens holding one word character).
 REGEX_WORD = r"[\p{L}\p{N}_'-]*[\p{L}\p{N}_][\p{L}\p{N}_'-]*"
 # Sentence terminator characters.

@@ -4,8 +4,10 @@ import re
 
 from pyspark.sql import functions as F
 
+from candor import constants as K
 from candor.operators.batches import assign_batches, batch_shapes, build_vocabulary, encode, pad_batches
 from candor.plans.ordinals import global_row_number
+from candor.sources.prompts import prompt_table
 
 WORD = re.compile(r"[\w'-]*\w[\w'-]*")
 
@@ -46,3 +48,18 @@ def test_unknown_tokens_and_empty_tables(spark):
     got = {r.line: list(r.input_ids) for r in encode(df, ["doc", "line"], vocab).collect()}
     assert got == {1: [5_000_000_000, 1], 2: [], 3: []}
     assert build_vocabulary(df.limit(0)).count() == 0 and assign_batches(df.limit(0), ["doc", "line"]).count() == 0
+
+
+def test_prompt_set_to_one_padded_batch(spark):
+    """The inline prompt set: prompts with the batch prefix, ids, one batch of twelve, padding and mask."""
+    prompts = prompt_table(spark)
+    rows = prompts.orderBy("prompt_id").collect()
+    assert [r.prompt_id for r in rows] == list(range(1, 13)) and [r.family for r in rows] == [f for f, _ in K.PROMPT_SET]
+    assert all(r.batch_prompt == K.BATCH_PREFIX + r.prompt for r in rows)
+    texts = prompts.select("prompt_id", "batch_prompt")
+    enc = encode(texts, ["prompt_id"], build_vocabulary(texts, "batch_prompt"), "batch_prompt")
+    out = pad_batches(assign_batches(enc, ["prompt_id"], 12), ["batch_no"]).orderBy("prompt_id").collect()
+    width = max(len(WORD.findall(r.batch_prompt.lower())) for r in rows)
+    assert {r.batch_no for r in out} == {0} and {r.batch_width for r in out} == {width}
+    assert [sum(r.attention_mask) for r in out] == [len(WORD.findall(r.batch_prompt.lower())) for r in rows]
+    assert all(r.padded_ids[len(r.input_ids):] == [0] * (width - len(r.input_ids)) for r in out)

@@ -53,3 +53,20 @@ def test_empty_rates(spark):
                               "passed BOOLEAN, words INT, sampled_passed BOOLEAN, sampled_words INT, retried BOOLEAN, retry_passed BOOLEAN")
     m = M.guardrail_metrics(g).first()
     assert m.retry_triggered == 0 and m.retry_fix_pct == 0.0
+
+
+def test_csv_keeps_texts_and_order(spark, tmp_path):
+    texts = ["", "  outer  ", 'quote " and ""', "back\\slash\\", "a,b", "'", "\\", "ü “x”", '"', "end\\\""]
+    rows = [(i, t, t[::-1], "beam", i, i % 2 == 0, n) for i, (t, n) in enumerate(zip(texts, ["", "x; y"] * 5))]
+    schema = "ord INT, input STRING, output STRING, decoding STRING, tokens_out INT, constraint_passed BOOLEAN, notes STRING"
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    path = str(tmp_path / "one")
+    write_candidates_csv(df, path, single_file=True, order=["ord"])
+    back = [tuple(r) for r in read_candidates_csv(spark, path).collect()]
+    assert back == [r[1:] for r in rows]
+    odd = spark.createDataFrame([(1, None, None, "beam", 1, None, None)], schema)
+    write_candidates_csv(odd, str(tmp_path / "two"))
+    assert [tuple(r) for r in read_candidates_csv(spark, str(tmp_path / "two")).collect()] == [("", "", "beam", 1, None, "")]
+    multi = spark.createDataFrame([(1, "a\nb", "c", "beam", 1, True, "")], schema)
+    write_candidates_csv(multi, str(tmp_path / "three"))
+    assert read_candidates_csv(spark, str(tmp_path / "three"), multi_line=True).first().input == "a\nb"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candor.operators.select import best_candidate, choose, sample_candidate
-from candor.operators.strategies import expand, strategy_rows, uniform
+from candor.operators.strategies import expand, strategy_rows, strategy_table, uniform
 
 
 def cands(spark, parts=None):
@@ -55,6 +55,8 @@ def test_uniform_range_and_expand(spark):
     e = expand(spark.range(3), strategy_rows(["greedy", "beam", "sampling"]))
     assert e.count() == 9 and set(e.columns) >= {"decoding", "temperature", "top_p", "strategy_rank"}
     assert "Join" not in e._jdf.queryExecution().executedPlan().toString()
+    named = {r.strategy: r for r in strategy_table(spark, ["sampling", "summary_retry"]).collect()}
+    assert named["sampling"].top_p == 0.9 and named["sampling"].top_k is None and named["retry"].temperature == 1.1
 
 
 def test_no_top_k_cuts_nothing(spark):
