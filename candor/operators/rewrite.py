@@ -2,7 +2,7 @@
 
 * ``simplify_words``: replace whole words found in a user dictionary ``(word, simpler)``,
   keeping trailing punctuation and an initial capital.
-* ``length_bounds``: word-count bounds of an output (``min_length``/``max_length`` in words).
+* ``length_bounds``, ``cut_words``: word-count bounds of an output (``min_length``/``max_length`` in words), audited or applied.
 * ``copied_ngrams``: n-grams of an output that also occur in its source (row-local), and
   ``corpus_overlap``: per document, distinct n-grams shared with a reference corpus (semi join
   on the n-gram, then de-duplication of the few that are shared).
@@ -61,6 +61,14 @@ def length_bounds(t: Column | str, min_words: int | None = None, max_words: int
     return F.struct(wc.alias("words"), short.alias("too_short"), long_.alias("too_long"))
 
 
+def cut_words(t: Column | str, max_words: int | None) -> Column:
+    """The text, cut to its first ``max_words`` words (joined by single spaces) where it has more."""
+    x = F.col(t) if isinstance(t, str) else t
+    if max_words is None:
+        return x
+    return F.when(T.ws_word_count(x) > max_words, F.array_join(F.slice(T.ws_tokens(x), 1, max_words), " ")).otherwise(x)
+
+
 def corpus_overlap(docs: DataFrame, reference: DataFrame, n: int = 4, doc_key: str = "doc_id",
                    text_col: str = "text", ref_text_col: str = "text") -> DataFrame:
     """Per document: distinct n-grams that also occur anywhere in ``reference`` (docs with >= 1).

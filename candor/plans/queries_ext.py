@@ -582,6 +582,20 @@ def q_length_audit(spark, sf_dir):
     return best.select("doc_id", b.alias("b")).select("doc_id", "b.*")
 
 
+@register("bounded_summaries", f"""WITH {_scored_cte()}, {_best_sql()},
+s AS (SELECT doc_id, {O.first_sentence('text')} AS summary FROM best),
+c AS (SELECT doc_id, {O.ws_word_count('summary')} > {_GB['max_length']} AS was_cut,
+  CASE WHEN {O.ws_word_count('summary')} > {_GB['max_length']} THEN array_to_string({O.ws_tokens('summary')}[1:{_GB['max_length']}], ' ') ELSE summary END AS summary FROM s)
+SELECT doc_id, summary, {O.ws_word_count('summary')} AS words, was_cut, {O.ws_word_count('summary')} < {_GB['min_length']} AS too_short FROM c""")
+def q_bounded_summaries(spark, sf_dir):
+    from candor.operators.rewrite import cut_words, length_bounds
+
+    best = _chosen(spark, sf_dir, _GB).select("doc_id", T.first_sentence("text").alias("s"))
+    out = best.select("doc_id", "s", cut_words("s", _GB["max_length"]).alias("summary"))
+    return out.select("doc_id", "summary", T.ws_word_count("summary").alias("words"), length_bounds("s", None, _GB["max_length"])["too_long"].alias("was_cut"),
+                      length_bounds("summary", _GB["min_length"])["too_short"].alias("too_short"))
+
+
 @register("repeat_positions", f"""WITH {O.lines_cte()}, {O.line_tokens_cte()},
 g0 AS (SELECT doc_id, line_no, {O.ngrams('_toks', 2)} AS grams FROM tlines),
 g AS (SELECT doc_id, line_no, unnest(grams) AS gram, unnest(generate_series(0, len(grams) - 1)) AS pos FROM g0),
