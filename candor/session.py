@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans shuffles at runtime (partition coalescing,
@@ -38,19 +35,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's reliable checkpoint folder.
+    """Return the session's reliable checkpoint folder, which all executors must share.
 
-    That is the one set on the context or in ``spark.checkpoint.dir``, which on a cluster names a shared folder. Where
-    neither is set, as in tests, it is ``CANDOR_SCRATCH`` or a folder made for this session.
+    That is the one set on the context or in ``spark.checkpoint.dir``. Where neither is set, as in tests, it is a
+    folder in the session's warehouse, never a temporary folder of one machine.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    scratch = os.environ.get("CANDOR_SCRATCH") or tempfile.mkdtemp(prefix="candor-ckpt-")
-    sc.setCheckpointDir(scratch)
+    if not sc.getCheckpointDir():
+        named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()
