@@ -31,6 +31,7 @@ SHARPNESS = 4.0
 SWITCH = 12.0
 MIN_SCRIPT_SHARE = 0.01
 IMPOSSIBLE = -40.0
+FORMS = 1 << 14  # distinct words whose features are hashed at once
 UNKNOWN = "und"
 MIN_SCORE = 0.5  # ``rejected``: below this share of letters no language is dominant
 
@@ -87,7 +88,7 @@ class Words:
     end: np.ndarray
     script: np.ndarray
     form: np.ndarray
-    grams: np.ndarray  # feature buckets of the distinct forms, form by form
+    grams: np.ndarray  # feature buckets of the distinct forms, form by form (16 bits each)
     bounds: np.ndarray
 
 
@@ -106,7 +107,9 @@ def find_words(texts: list[str], alphabet: Alphabet) -> Words:
     whole = C.span_hashes(symbols, starts, ends)
     _, first, form = np.unique(whole, return_index=True, return_inverse=True)
     text = np.searchsorted(off, starts, side="right") - 1
-    grams, bounds = features(symbols, starts[first], ends[first], whole[first])
+    parts = [features(symbols, starts[f], ends[f], whole[f]) for f in np.split(first, range(FORMS, len(first), FORMS))]
+    grams = np.concatenate([g for g, _ in parts])
+    bounds = np.cumsum(np.concatenate([[0], *(np.diff(b) for _, b in parts)]))
     return Words(text, starts - off[text], ends - off[text], script[starts], form, grams, bounds)
 
 
@@ -139,7 +142,7 @@ def features(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: n
     owner_all = np.concatenate(owners)
     order = np.argsort(owner_all, kind="stable")
     hashed = (C.mix(np.concatenate(buckets)) >> np.uint64(40)) % np.uint64(BUCKETS)
-    return hashed[order].astype(np.int64), np.searchsorted(owner_all[order], np.arange(len(n) + 1))
+    return hashed[order].astype(np.uint16), np.searchsorted(owner_all[order], np.arange(len(n) + 1))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -246,6 +249,14 @@ def viterbi(scores: np.ndarray, begins: np.ndarray, counts: np.ndarray, switch:
     return label
 
 
+def by_length(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
+    """The rows in chunks of texts of about one length, which the Viterbi pass then takes in few steps."""
+    sizes = np.diff(C.text_buffers(batch.column(text_at))[1])
+    order = np.argsort(sizes, kind="stable")
+    for lo, hi in C.row_chunks(sizes[order]):
+        yield batch.take(pa.array(order[lo:hi]))
+
+
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, spans``: spans are ``(start, end, lang)`` in code points.
 
@@ -259,10 +270,8 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = Alphabet()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in C.row_chunks(np.array([len(t) for t in texts]), 4 * C.CHUNK):
-                own = labelled(texts[lo:hi], model, alphabet)
-                rows = batch.slice(lo, hi - lo)
+            for rows in by_length(batch, batch.schema.get_field_index("text")):
+                own = labelled(rows.column("text").to_pylist(), model, alphabet)
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("held_out"), *own],
                                                  names=["doc_id", "held_out", "lang_pred", "score", "spans"])
 
@@ -305,11 +314,9 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", lang: str =
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = Alphabet()
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            for lo, hi in C.row_chunks(np.array([len(t) for t in texts]), 4 * C.CHUNK):
-                pred, score, _ = labelled(texts[lo:hi], model, alphabet)
+            for rows in by_length(batch, text_at):
+                pred, score, _ = labelled([t or "" for t in rows.column(text_at).to_pylist()], model, alphabet)
                 good = (score.to_numpy() >= min_score) & (score.to_numpy() > 0)
-                rows = batch.slice(lo, hi - lo)
                 yield rows.set_column(lang_at, rows.schema.field(lang_at), pred.cast(rows.schema.field(lang_at).type)).filter(pa.array(good))
 
     return docs.mapInArrow(label, docs.schema)
