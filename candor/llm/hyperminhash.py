@@ -6,8 +6,8 @@ distinct sets ("nodes"), so that copies cost one row however many there are:
 1. Each set is reduced to ``N_BUCKETS`` registers. A shingle hash picks a bucket; the bucket keeps
    the smallest second hash, stored as its leading-zero count (6 bits) and the ``MANTISSA`` bits
    after the leading one. Empty buckets copy another bucket chosen by a fixed probe sequence.
-2. Registers are banded (``BANDS`` bands of ``ROWS``). Two sets with similarity 0.85 miss each
-   other in all bands with probability (1 - 0.85^7)^32 = 4e-6.
+2. Registers are banded: 32 bands of 7 for a similarity of 0.85 and more, 37 of 6 for 0.8. Two sets just at
+   the threshold miss each other in all bands with probability (1 - 0.85^7)^32 = 4e-6 or (1 - 0.8^6)^37 = 1e-5.
 3. Within a bucket of equal bands, all sets are first compared with the bucket's smallest node
    (a star, linear in the bucket). Links that hold contract the graph; afterwards only sets of one
    bucket that are still in different components are compared with one another: as pairs in buckets
@@ -36,12 +36,10 @@ from pyspark.sql import functions as F
 from candor.llm import common as C
 
 SHINGLE = 5
-ROWS = 7
-BANDS = 32
-N_BUCKETS = ROWS * BANDS
+N_BUCKETS = 224
 MANTISSA = 10
 PROBES = 64
-THRESHOLD = (85, 100)  # 100 * intersection >= 85 * union
+PERCENT = 85  # 100 * intersection >= 85 * union
 SIGMAS = 5.0
 FEW = 32
 BLOCK_SETS, BLOCK_SHINGLES = 256, 100_000
@@ -54,8 +52,8 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BYTE_HASH = C.constants(256, 3)[_LOWER]
 _SLOT = C.constants(SHINGLE, 4)
-_BAND = C.constants(ROWS, 5)
-_BAND_SEED = C.constants(BANDS, 6)
+_BAND = C.constants(16, 5)
+_BAND_SEED = C.constants(N_BUCKETS, 6)
 _PROBE = (C.mix(np.arange(PROBES * N_BUCKETS, dtype=np.uint64) + np.uint64(1 << 40)) % np.uint64(N_BUCKETS)).astype(np.int64).reshape(PROBES, N_BUCKETS)
 _FREE = np.uint64((1 << 64) - 1)
 
@@ -120,9 +118,15 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return reg
 
 
-def band_keys(reg: np.ndarray) -> np.ndarray:
-    parts = reg.reshape(len(reg), BANDS, ROWS).astype(np.uint64) + np.uint64(1)
-    return C.mix((parts * _BAND).sum(axis=2, dtype=np.uint64) + _BAND_SEED)
+def band_rows(percent: int) -> int:
+    """Registers of a band."""
+    return 7 if percent >= 85 else 6 if percent >= 80 else 4
+
+
+def band_keys(reg: np.ndarray, rows: int) -> np.ndarray:
+    bands = N_BUCKETS // rows
+    parts = reg[:, :rows * bands].reshape(len(reg), bands, rows).astype(np.uint64) + np.uint64(1)
+    return C.mix((parts * _BAND[:rows]).sum(axis=2, dtype=np.uint64) + _BAND_SEED[:bands])
 
 
 def chance_matches(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -143,18 +147,21 @@ def _lists(values: np.ndarray) -> pa.Array:
 SKETCHED = "h1 LONG, h2 LONG, doc_id LONG, n LONG, set_key BINARY, sketch ARRAY<LONG>, bands ARRAY<LONG>"
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, off, _ = C.text_buffers(batch.column("text"))
-        for lo, hi in C.row_chunks(np.diff(off)):
-            sets = shingle_sets(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
-            reg = registers(sets)
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            rows = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("h1"), rows.column("h2"), rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(keys, pa.binary()), _lists(reg), _lists(band_keys(reg))],
-                names=["h1", "h2", "doc_id", "n", "set_key", "sketch", "bands"])
+def _sketcher(rows_of_band: int):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off, _ = C.text_buffers(batch.column("text"))
+            for lo, hi in C.row_chunks(np.diff(off)):
+                sets = shingle_sets(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                reg = registers(sets)
+                keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                rows = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("h1"), rows.column("h2"), rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(keys, pa.binary()), _lists(reg), _lists(band_keys(reg, rows_of_band))],
+                    names=["h1", "h2", "doc_id", "n", "set_key", "sketch", "bands"])
+
+    return sketch
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,22 +190,22 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return ((a == b).mean(axis=1) - chance) / (1 - chance)
 
 
-def likely(est: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def likely(est: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     """Whether set sizes and estimate leave the threshold possible.
 
     Few shingles fill many registers: the spread follows the smaller number of the two.
     """
-    t = THRESHOLD[0] / THRESHOLD[1]
+    t = percent / 100
     low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
     spread = np.sqrt(t * (1 - t) / np.minimum(low, N_BUCKETS))
-    return (THRESHOLD[1] * low >= THRESHOLD[0] * high) & (est >= t - SIGMAS * spread)
+    return (100 * low >= percent * high) & (est >= t - SIGMAS * spread)
 
 
 def _registers_of(packed: pa.Array) -> np.ndarray:
     return packed.flatten().to_numpy().view(np.uint16).reshape(-1, N_BUCKETS)
 
 
-def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(u, v)`` whose corrected estimate does not rule the threshold out."""
     a = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"), F.col("n").alias("nu"))
     b = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("sv"), F.col("n").alias("nv"))
@@ -207,10 +214,10 @@ def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
         for batch in batches:
             nu, nv = (batch.column(c).to_numpy() for c in ("nu", "nv"))
             est = estimate(_registers_of(batch.column("su")), _registers_of(batch.column("sv")), nu, nv)
-            yield batch.select(["u", "v", "nu", "nv"]).filter(pa.array(likely(est, nu, nv)))
+            yield batch.select(["u", "v", "nu", "nv"]).filter(pa.array(likely(est, nu, nv, percent)))
 
     sized = pairs.join(a, "u").join(b, "v").where(
-        THRESHOLD[1] * F.least("nu", "nv") >= THRESHOLD[0] * F.greatest("nu", "nv")).select("u", "v", "nu", "nv", "su", "sv")
+        100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")).select("u", "v", "nu", "nv", "su", "sv")
     return sized.mapInArrow(keep, "u LONG, v LONG, nu LONG, nv LONG")
 
 
@@ -234,20 +241,20 @@ def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(a: pa.StructArray, b: pa.StructArray) -> list[tuple[int, int]]:
+def block_links(a: pa.StructArray, b: pa.StructArray, percent: int) -> list[tuple[int, int]]:
     """Links between members of two blocks that join different components, as few as it takes."""
     (node_a, comp_a, n_a, reg_a, set_a), (node_b, comp_b, n_b, reg_b, set_b) = (
         (x[0].to_numpy(), x[1].to_numpy(), x[2].to_numpy(), _registers_of(x[3]), x[4]) for x in (a.flatten(), b.flatten()))
     able = np.zeros((len(node_a), len(node_b)), dtype=bool)
     for i in range(len(node_a)):
         same = np.broadcast_to(reg_a[i], reg_b.shape)
-        able[i] = likely(estimate(same, reg_b, np.full(len(n_b), n_a[i]), n_b), n_a[i], n_b) & (comp_b != comp_a[i])
+        able[i] = likely(estimate(same, reg_b, np.full(len(n_b), n_a[i]), n_b), n_a[i], n_b, percent) & (comp_b != comp_a[i])
     rows, cols = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
     if not len(rows):
         return []
     both = intersections([set_a[i].values.to_numpy() for i in rows.tolist()], [set_b[j].values.to_numpy() for j in cols.tolist()])
     union = n_a[rows][:, None] + n_b[cols][None, :] - both
-    linked = able[np.ix_(rows, cols)] & (THRESHOLD[1] * both >= THRESHOLD[0] * union)
+    linked = able[np.ix_(rows, cols)] & (100 * both >= percent * union)
     above: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -265,14 +272,7 @@ def block_links(a: pa.StructArray, b: pa.StructArray) -> list[tuple[int, int]]:
     return out
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = batch.column("a"), batch.column("b")
-        links = [x for i in range(len(batch)) for x in block_links(a[i].values, b[i].values)]
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
-
-
-def _across_blocks(rest: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+def _across_blocks(rest: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Links between components within each bucket of ``rest(band, node, comp, n, size, total)``."""
     blocks = F.ceil(F.greatest(F.col("size") / F.lit(BLOCK_SETS), F.col("total") / F.lit(BLOCK_SHINGLES)))
     members = (rest.select("band", "node", "comp", "n", F.pmod(F.xxhash64("node"), blocks).alias("block"))
@@ -280,16 +280,23 @@ def _across_blocks(rest: DataFrame, sets: DataFrame, sketches: DataFrame) -> Dat
     packed = members.groupBy("band", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sketch", "shingles")).alias("members"))
     a = packed.select("band", F.col("block").alias("p"), F.col("members").alias("a"))
     b = packed.select("band", F.col("block").alias("q"), F.col("members").alias("b"))
-    return a.join(b, "band").where("p <= q").select("a", "b").mapInArrow(_compared, "u LONG, v LONG")
 
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("a"), batch.column("b"))
+            links = [x for p, q in pairs for x in block_links(p.values, q.values, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return a.join(b, "band").where("p <= q").select("a", "b").mapInArrow(compared, "u LONG, v LONG")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets meet the threshold."""
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("xu"))
     b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("xv"))
     both = F.size(F.array_intersect("xu", "xv")).cast("long")
     return (pairs.join(a, "u").join(b, "v").select("u", "v", "nu", "nv", both.alias("both"))
-            .where(THRESHOLD[1] * F.col("both") >= THRESHOLD[0] * (F.col("nu") + F.col("nv") - F.col("both")))
+            .where(100 * F.col("both") >= percent * (F.col("nu") + F.col("nv") - F.col("both")))
             .select("u", "v"))
 
 
@@ -317,9 +324,11 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``h1, h2, doc_id, n_shingles, component_id, kept, is_rep``.
 
+    Sets are linked where ``100 * intersection >= percent * union``.
+
     ``component_id`` is the smallest ``doc_id`` reachable over links; ``kept`` says that it is the row's
     own. ``h1, h2`` name the row by its content (``row_keys``); ``is_rep`` marks the one content of each
     component that stays (the smallest ``doc_id``, then ``h1, h2``).
@@ -330,7 +339,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     gives an empty result. Other columns are ignored.
     """
     src = docs.select(*row_keys(F.col(text), F.col(doc_id)), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketched = C.cut(src.mapInArrow(_sketch, SKETCHED))
+    sketched = C.cut(src.mapInArrow(_sketcher(band_rows(percent)), SKETCHED))
     last = F.lit((1 << 63) - 1)
     nodes = C.cut(
         sketched.where("n > 0").groupBy("set_key")
@@ -349,7 +358,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sketches = nodes.select("node", "n", "sketch").join(shared.select("node").distinct(), "node", "left_semi")
 
     star = shared.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
-    found = C.cut(_confirmed(_estimated(star, sketches), sets))
+    found = C.cut(_confirmed(_estimated(star, sketches, percent), sets, percent))
     comp = components(found)
 
     placed = C.cut(shared.join(comp, "node", "left").select("band", "node", "n", "hub", F.coalesce("comp", "node").alias("comp")))
@@ -360,9 +369,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     a = few.select("band", F.col("node").alias("u"), F.col("comp").alias("cu"))
     b = few.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
     across = a.join(b, "band").where("u < v and cu <> cv").select("u", "v").distinct()
-    more = C.cut(_confirmed(_estimated(across, sketches), sets))
+    more = C.cut(_confirmed(_estimated(across, sketches, percent), sets, percent))
     with C.arrow_rows(docs.sparkSession, BLOCK_ROWS):
-        most = C.cut(_across_blocks(rest.where(F.col("size") > FEW), sets, sketches))
+        most = C.cut(_across_blocks(rest.where(F.col("size") > FEW), sets, sketches, percent))
     comp = components(found.unionByName(more).unionByName(most))
 
     labelled = nodes.select("node", "set_key", "label").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -378,12 +387,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         (alone | ((F.col("rep.h1") == F.col("h1")) & (F.col("rep.h2") == F.col("h2")))).alias("is_rep"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near copies: one row of each component, all columns.
 
     Rows without words all stay. Of repeated rows (same ``doc_id`` and text) one stays.
     """
-    rows = C.cut(near_duplicates(docs, doc_id, text).where("n_shingles > 0").groupBy("h1", "h2")
+    rows = C.cut(near_duplicates(docs, doc_id, text, percent).where("n_shingles > 0").groupBy("h1", "h2")
                  .agg(F.max("is_rep").alias("is_rep"), F.count(F.lit(1)).alias("times")))
     keys = F.struct(*row_keys(F.col(text), F.col(doc_id)))
     keyed = docs.select(F.struct("*").alias("row"), keys.alias("k")).select("row", "k.*")

@@ -16,14 +16,17 @@ from candor.llm import hyperminhash, langid, packing, pii
 from candor.session import ensure_checkpoint_dir
 
 
+NEAR_PERCENT = 80
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language; ``lang`` becomes the predicted one."""
     return langid.with_language(docs, langid.fit(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return hyperminhash.keep_one(docs)
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays."""
+    return hyperminhash.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id LONG, text STRING"
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(doc_id, text) rows -> {row index: (size, component)} by comparing all pairs of shingle sets."""
     sets = []
     for _, t in rows:
@@ -27,7 +27,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             both, union = len(sets[i] & sets[j]), len(sets[i] | sets[j])
-            if union and 100 * both >= 85 * union:
+            if union and 100 * both >= percent * union:
                 comp[root(i)] = root(j)
     best = {}
     for i, (d, _) in enumerate(rows):
@@ -36,8 +36,8 @@ def brute(rows):
     return sorted(((d, len(sets[i]), best.get(root(i)), d == best.get(root(i)) or None is d is best.get(root(i))) for i, (d, _) in enumerate(rows)), key=str)
 
 
-def run(spark, rows):
-    out = H.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+def run(spark, rows, percent=85):
+    out = H.near_duplicates(spark.createDataFrame(rows, SCHEMA), percent=percent)
     return sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out.collect()), key=str)
 
 
@@ -73,6 +73,7 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
         monkeypatch.setattr(H, "FEW", few)
         monkeypatch.setattr(H, "BLOCK_SETS", block)
         assert run(spark, rows) == want
+    assert run(spark, rows, 80) == brute(rows, 80) != want
 
 
 def test_edges(spark):
@@ -109,3 +110,13 @@ def test_estimate_is_near_the_truth():
 def test_small_sets_fill_all_registers(n):
     reg = H.registers([np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)])
     assert len(np.unique(reg)) <= n and (reg > 0).all()
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_keep_one_with_and_without_broadcasts(spark, monkeypatch, limit):
+    monkeypatch.setattr(H.C, "MAX_BROADCAST_KEYS", limit)
+    base = "one two three four five six seven eight nine ten eleven twelve".split()
+    rows = [(i, " ".join(base)) for i in range(5, 1, -1)] + [(2, " ".join(base)), (9, "other words"), (9, "other words"), (10, None), (11, " "), (11, " ")]
+    out = H.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in out if r.text and r.text.strip()) == [(2, " ".join(base)), (9, "other words")]
+    assert sorted(r.doc_id for r in out if not (r.text or "").strip()) == [10, 11, 11]

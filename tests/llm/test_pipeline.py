@@ -33,7 +33,7 @@ def test_stages_on_the_table(spark, tmp_path):
 
     two = P.near_copies(spark, one, SF)
     assert two.schema.fieldNames() == docs.columns
-    want = {d: want[d] for d, _, _, kept in components(list(want.items())) if kept}
+    want = {d: want[d] for d, _, _, kept in components(list(want.items()), P.NEAR_PERCENT) if kept}
     assert {r.doc_id: r.text for r in two.collect()} == want
 
     three = P.personal_data(spark, two, SF)
