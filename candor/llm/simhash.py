@@ -1,10 +1,10 @@
 """SimHash fingerprints with DataFrame functions only.
 
-Terms are pairs of neighbouring words (lower case, split at white space; the last word stands
-alone). A term's weight is its length in characters less three, at least 1, so that pairs of short,
-common words count little. Each bit of the 64-bit term hash votes with the weight; a fingerprint bit is
-set where the votes for it are more than half. Votes are summed two to a long: 32 sums, each holding
-two counters of 32 bits.
+Terms are the distinct pairs of neighbouring words (lower case, split at white space; the last word stands
+alone); a pair that a text repeats counts once, so a repeated line cannot outvote the rest. A term's weight is its length in characters less three, from 1 to ``MAX_WEIGHT``, so that pairs of
+short, common words count little. Each bit of the 128-bit term hash votes with the weight; a fingerprint bit is
+set where the votes for it are more than half. Votes are summed two to a long: 64 sums, each holding
+two counters of 32 bits. A fingerprint is two longs, ``fp0`` and ``fp1``.
 
 ``near_counts`` finds all fingerprints within a Hamming radius: the bits are cut into blocks, and for
 each choice of ``BLOCKS - RADIUS`` blocks there is a table keyed by those blocks. Two fingerprints that
@@ -22,78 +22,90 @@ from pyspark.sql import functions as F
 from candor.llm.common import cut
 from candor.plans.ordinals import global_row_number
 
-BITS = 64
-HALF = 32
+WORD, HALF = 64, 32
+WORDS = 2
+BITS = WORD * WORDS
+FP = [f"fp{i}" for i in range(WORDS)]
 BLOCKS, RADIUS = 5, 3
+MAX_WEIGHT = 16
 
 
 def terms(text: Column) -> Column:
-    """Array of ``(a, b)`` word pairs; white space at either end makes a pair with an empty word, which has no weight."""
+    """Distinct word pairs ``"a b"``; white space at either end makes an empty word, and a blank text the empty term."""
     words = F.split(F.lower(text), r"\s+")
-    return F.arrays_zip(words.alias("a"), F.slice(words, 2, F.size(words)).alias("b"))
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
+    return F.array_distinct(pairs)
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys`` and ``fp`` (long) per distinct key; rows of one key vote together. Blank texts: 0."""
-    exploded = texts.select(*keys, F.inline(terms(F.col(text))).alias("a", "b"))
-    weighed = exploded.select(
-        *keys, F.xxhash64("a", "b").alias("h"),
-        F.when(F.col("a") == "", 0).otherwise(F.greatest(F.length("a") + F.coalesce(F.length("b"), F.lit(0)) - 3, F.lit(1))).cast("long").alias("w"))
+    """``keys, fp0, fp1`` per distinct key; rows of one key vote together. Blank texts: 0."""
+    exploded = texts.select(*keys, F.explode(terms(F.col(text))).alias("term"))
+    hashes = [F.xxhash64("term"), F.xxhash64("term", F.lit(1))]
+    size = F.length(F.trim("term"))
+    weight = F.when(size == 0, 0).otherwise(F.least(F.greatest(size - 3, F.lit(1)), F.lit(MAX_WEIGHT)))
+    weighed = exploded.select(*keys, *[h.alias(f"term{i}") for i, h in enumerate(hashes)], weight.cast("long").alias("w"))
     pair = F.lit((1 << HALF) + 1)
-    votes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(pair) * F.col("w")).alias(f"s{j}") for j in range(HALF)]
+    votes = [F.sum(F.shiftrightunsigned(f"term{i}", j).bitwiseAND(pair) * F.col("w")).alias(f"s{i}_{j}") for i in range(WORDS) for j in range(HALF)]
     summed = weighed.groupBy(*keys).agg(F.sum("w").alias("w"), *votes)
 
-    def bit(j: int) -> Column:
-        low = F.col(f"s{j}").bitwiseAND(F.lit((1 << HALF) - 1))
-        high = F.shiftrightunsigned(f"s{j}", HALF)
-        on = F.when(2 * low > F.col("w"), F.lit(1 << j)).otherwise(F.lit(0).cast("long"))
-        top = (1 << (j + HALF)) - (1 << BITS if j + HALF == BITS - 1 else 0)  # as a signed long
-        return on.bitwiseOR(F.when(2 * high > F.col("w"), F.lit(top)).otherwise(F.lit(0).cast("long")))
+    def bits(i: int, j: int) -> Column:
+        low = F.col(f"s{i}_{j}").bitwiseAND(F.lit((1 << HALF) - 1))
+        high = F.shiftrightunsigned(f"s{i}_{j}", HALF)
+        none = F.lit(0).cast("long")
+        return F.when(2 * low > F.col("w"), F.lit(1 << j)).otherwise(none).bitwiseOR(
+            F.when(2 * high > F.col("w"), F.lit(_signed(1 << (j + HALF)))).otherwise(none))
 
-    return summed.select(*keys, reduce(lambda p, q: p.bitwiseOR(q), [bit(j) for j in range(HALF)]).alias("fp"))
+    return summed.select(*keys, *[reduce(lambda p, q: p.bitwiseOR(q), [bits(i, j) for j in range(HALF)]).alias(FP[i]) for i in range(WORDS)])
 
 
-def likeness(a: str, b: str) -> Column:
+def distance(a: list[Column], b: list[Column]) -> Column:
+    """Number of differing bits."""
+    return reduce(lambda p, q: p + q, [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b)])
+
+
+def likeness(a: list[str], b: list[str]) -> Column:
     """Share of equal bits."""
-    return 1 - F.bit_count(F.col(a).bitwiseXOR(F.col(b))) / F.lit(float(BITS))
+    return 1 - distance([F.col(x) for x in a], [F.col(x) for x in b]) / F.lit(float(BITS))
+
 
+def as_hex(fp: list[str]) -> Column:
+    return F.lower(F.concat(*[F.lpad(F.hex(x), WORD // 4, "0") for x in fp]))
 
-def as_hex(fp: str) -> Column:
-    return F.lower(F.lpad(F.hex(fp), BITS // 4, "0"))
+
+def _signed(x: int) -> int:
+    return x - (1 << WORD) if x >> (WORD - 1) else x
 
 
 # ---------------------------------------------------------------------------------------------
 # All fingerprints within a Hamming radius
 # ---------------------------------------------------------------------------------------------
 
-def _masks(blocks: int = BLOCKS) -> list[int]:
+def block_tables(blocks: int, radius: int) -> list[list[int]]:
+    """The masks (one a word) of each choice of ``blocks - radius`` blocks."""
     edges = [BITS * i // blocks for i in range(blocks + 1)]
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-
-
-def _signed(x: int) -> int:
-    return x - (1 << BITS) if x >> (BITS - 1) else x
-
-
-def _tables(blocks: int, radius: int) -> list[int]:
-    masks = _masks(blocks)
-    return [sum(masks[i] for i in c) for c in combinations(range(blocks), blocks - radius)]
+    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+    chosen = [sum(c) for c in combinations(masks, blocks - radius)]
+    return [[_signed(m >> (WORD * i) & ((1 << WORD) - 1)) for i in range(WORDS)] for m in chosen]
 
 
 def near_counts(fps: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """``fp, n_near`` per distinct fingerprint of ``queries(fp)``: how many rows of ``fps(fp)`` are within ``radius`` bits.
+    """``fp0, fp1, n_near`` per distinct fingerprint of ``queries(fp0, fp1)``: how many rows of ``fps(fp0, fp1)`` are within ``radius`` bits.
 
     Exact. Equal fingerprints are counted once and weighed by their number, and a pair is made in the first table
     in which it agrees, so no row is made twice. Without rows the result is empty.
     """
-    tables = _tables(blocks, radius)
-    keyed = F.inline(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(tables)]))
-    index = fps.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).select(F.col("fp").alias("other"), "n", keyed.alias("t", "key"))
-    asked = queries.select("fp").distinct().select("fp", keyed.alias("t", "key"))
-    x = F.col("fp").bitwiseXOR(F.col("other"))
-    first = F.coalesce(*[F.when(x.bitwiseAND(F.lit(_signed(m))) == 0, F.lit(t)) for t, m in enumerate(tables)])
-    found = asked.join(index, ["t", "key"]).where((F.bit_count(x) <= radius) & (first == F.col("t")))
-    return found.groupBy("fp").agg(F.sum("n").alias("n_near"))
+    tables = block_tables(blocks, radius)
+    names = ["t", *[f"k{i}" for i in range(WORDS)]]
+    keyed = F.inline(F.array(*[F.struct(F.lit(t), *[F.col(f).bitwiseAND(F.lit(m)) for f, m in zip(FP, masks)]) for t, masks in enumerate(tables)])).alias(*names)
+    others = [f"o{i}" for i in range(WORDS)]
+    index = fps.groupBy(*FP).agg(F.count(F.lit(1)).alias("n")).select(*[F.col(f).alias(o) for f, o in zip(FP, others)], "n", keyed)
+    asked = queries.select(*FP).distinct().select(*FP, keyed)
+    xor = [F.col(f).bitwiseXOR(F.col(o)) for f, o in zip(FP, others)]
+    agrees = [reduce(lambda p, q: p & q, [x.bitwiseAND(F.lit(m)) == 0 for x, m in zip(xor, masks)]) for masks in tables]
+    first = F.coalesce(*[F.when(a, F.lit(t)) for t, a in enumerate(agrees)])
+    bits = reduce(lambda p, q: p + q, [F.bit_count(x) for x in xor])
+    found = asked.join(index, names).where((bits <= radius) & (first == F.col("t")))
+    return found.groupBy(*FP).agg(F.sum("n").alias("n_near"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -137,14 +149,16 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         *keys[:-1], F.inline(F.array(F.struct(F.lit(0).alias("variant"), F.col("text").alias("text")),
                                      F.struct(F.lit(1).alias("variant"), F.col("edited").alias("text")))).alias("variant", "text"))
     marked = fingerprints(both, keys)
-    wide = marked.groupBy(*keys[:-1]).agg(F.max(F.when(F.col("variant") == 0, F.col("fp"))).alias("fp"),
-                                          F.max(F.when(F.col("variant") == 1, F.col("fp"))).alias("edited_fp"))
+    edited_fp = [f"e_{f}" for f in FP]
+    wide = marked.groupBy(*keys[:-1]).agg(*[F.max(F.when(F.col("variant") == v, F.col(f))).alias(name)
+                                            for v, names in enumerate((FP, edited_fp)) for f, name in zip(FP, names)])
     done = cut(wide)
-    after = done.select(F.col("h1").alias("next_h1"), F.col("h2").alias("next_h2"), F.col("fp").alias("next_fp"))
+    next_fp = [f"n_{f}" for f in FP]
+    after = done.select(F.col("h1").alias("next_h1"), F.col("h2").alias("next_h2"), *[F.col(f).alias(n) for f, n in zip(FP, next_fp)])
     asked = F.col("doc_id") % 50 == 0
-    near = near_counts(done.select("fp"), done.where(asked).select("fp"))
-    out = done.join(after, ["next_h1", "next_h2"]).join(near, "fp", "left")
+    near = near_counts(done.select(*FP), done.where(asked).select(*FP))
+    out = done.join(after, ["next_h1", "next_h2"]).join(near, FP, "left")
     return out.select(
-        "doc_id", "n_chars", "edited_sha256", as_hex("fp").alias("fingerprint"), as_hex("edited_fp").alias("edited_fingerprint"),
-        likeness("fp", "edited_fp").alias("near_edited"), likeness("fp", "next_fp").alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", as_hex(FP).alias("fingerprint"), as_hex(edited_fp).alias("edited_fingerprint"),
+        likeness(FP, edited_fp).alias("near_edited"), likeness(FP, next_fp).alias("near_next"),
         F.when(asked, F.col("n_near") - 1).alias("n_near"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")

@@ -30,7 +30,7 @@ def test_whole_table(spark):
     for i, d in enumerate(order):
         r, nxt = by_id[d], by_id[order[(i + 1) % len(order)]]
         def same(x, y):
-            return 1 - (int(x, 16) ^ int(y, 16)).bit_count() / 64
+            return 1 - (int(x, 16) ^ int(y, 16)).bit_count() / 128
         assert r.near_edited == same(r.fingerprint, r.edited_fingerprint) and r.near_next == same(r.fingerprint, nxt.fingerprint)
         if d % 50 == 0:
             assert r.n_near == sum((int(r.fingerprint, 16) ^ int(x.fingerprint, 16)).bit_count() <= S.RADIUS for x in got) - 1
@@ -47,15 +47,17 @@ def test_votes(spark):
     """Against a plain count of weighted bits, with the term hashes Spark computes."""
     text = "The cat sat on the mat, the cat ran. " * 3 + "\n Öl und Wasser"
     df = spark.createDataFrame([(1, text)], "k LONG, text STRING")
-    rows = df.select(F.inline(S.terms(F.col("text"))).alias("a", "b")).selectExpr("a", "b", "xxhash64(a, b) h").collect()
-    assert [(r.a, r.b) for r in rows[:3]] == [("the", "cat"), ("cat", "sat"), ("sat", "on")] and rows[-1].b is None
-    weight = [max(len(r.a) + len(r.b or "") - 3, 1) if r.a else 0 for r in rows]
-    want = 0
-    for j in range(64):
-        votes = sum(w for r, w in zip(rows, weight) if r.h >> j & 1)
-        want |= (2 * votes > sum(weight)) << j
-    got = S.fingerprints(df, ["k"]).first().fp
-    assert got % (1 << 64) == want
+    rows = df.select(F.explode(S.terms(F.col("text"))).alias("term")).selectExpr("term", "xxhash64(term) h0", "xxhash64(term, 1) h1").collect()
+    found = [r.term for r in rows]
+    assert found[:3] == ["the cat", "cat sat", "sat on"] and found[-1] == "wasser" and len(set(found)) == len(found) == 12
+    weight = [min(max(len(t) - 3, 1), S.MAX_WEIGHT) for t in found]
+    got = S.fingerprints(df, ["k"]).first()
+    for name, fp in (("h0", got.fp0), ("h1", got.fp1)):
+        want = 0
+        for j in range(64):
+            votes = sum(w for r, w in zip(rows, weight) if r[name] >> j & 1)
+            want |= (2 * votes > sum(weight)) << j
+        assert fp % (1 << 64) == want
 
 
 def test_edges(spark):
@@ -65,7 +67,7 @@ def test_edges(spark):
     want = edited_of(rows)
     assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == sorted(
         (str(d), len(t or ""), hashlib.sha256(want[d, t or ""].encode()).hexdigest()) for d, t in rows)
-    assert {r.fingerprint for r in got if r.doc_id in (3, 4, 5)} == {"0" * 16}
+    assert {r.fingerprint for r in got if r.doc_id in (3, 4, 5)} == {"0" * 32}
     single = S.fingerprint_documents(spark.createDataFrame([(1, "abcdef")], "doc_id LONG, text STRING")).collect()
     assert [r.edited_sha256 for r in single] == [hashlib.sha256(b"abcdab").hexdigest()]
     assert S.fingerprint_documents(spark.createDataFrame([], "doc_id LONG, text STRING")).count() == 0
@@ -73,9 +75,11 @@ def test_edges(spark):
 
 def test_near_counts_equal_all_pairs(spark):
     rng = random.Random(3)
-    base = [rng.getrandbits(64) for _ in range(60)]
-    fps = [b ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(6))) for b in base for _ in range(8)] + base[:5] * 3
-    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    df = spark.createDataFrame([(x,) for x in signed], "fp LONG")
-    got = {r.fp: r.n_near for r in S.near_counts(df, df).collect()}
-    assert got == {s: sum((x ^ y).bit_count() <= S.RADIUS for y in fps) for s, x in zip(signed, fps)}
+    base = [rng.getrandbits(128) for _ in range(60)]
+    fps = [b ^ sum(1 << k for k in rng.sample(range(128), rng.randrange(6))) for b in base for _ in range(8)] + base[:5] * 3
+    halves = [tuple(S._signed(x >> s & ((1 << 64) - 1)) for s in (0, 64)) for x in fps]
+    df = spark.createDataFrame(halves, "fp0 LONG, fp1 LONG")
+    got = {(r.fp0, r.fp1): r.n_near for r in S.near_counts(df, df).collect()}
+    assert got == {h: sum((x ^ y).bit_count() <= S.RADIUS for y in fps) for h, x in zip(halves, fps)}
+    wide = {(r.fp0, r.fp1): r.n_near for r in S.near_counts(df, df, 8, 11).collect()}
+    assert wide == {h: sum((x ^ y).bit_count() <= 8 for y in fps) for h, x in zip(halves, fps)}
