@@ -51,7 +51,8 @@ def strategy_candidates(docs: DataFrame, keys: list[str], strategies: list[dict]
                         keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """Long table ``(keys, keep, decoding, strategy_rank, cand_id, output)``: one chosen candidate per input and strategy."""
     keep = keep or []
-    rows = chosen_sentences(docs, keys, strategies, seed, keep, text_col).select(*keys, *keep, F.explode("choices").alias("_c"))
+    # ``choices`` is never empty; the outer form spares the filter that the planner would infer by taking the texts twice.
+    rows = chosen_sentences(docs, keys, strategies, seed, keep, text_col).select(*keys, *keep, F.explode_outer("choices").alias("_c"))
     return rows.select(*keys, *keep, "_c.decoding", "_c.strategy_rank", "_c.cand_id", F.col("_c.text").alias("output"))
 
 

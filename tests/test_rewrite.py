@@ -1,5 +1,7 @@
 """Word simplification, shared n-grams, ordinals inside groups, and jobs on clean and empty tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from candor.operators import metrics as M
@@ -99,3 +101,24 @@ def test_jobs_on_empty_tables(spark):
     report, dist = J.sentiment_job(lines, KEYS, spark.createDataFrame([], "text STRING, y INT"))
     assert report.count() == 0 and dist.first().n == 0
     assert RW.simplify_words(lines, KEYS, [("a", "b")]).count() == 0 and RP.number_within(lines, ["doc_id"], ["line_no"]).count() == 0
+
+
+def shuffled(df):
+    """Columns of each exchange of the plan."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [re.findall(r"(\w+)#", m) for m in re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text)]
+
+
+def test_texts_pass_one_exchange_however_many_strategies(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, 1, "One two. Three.")], LINES).repartition(2)
+        found = []
+        for n in (["greedy"], ["greedy", "beam", "sampling", "rewrite_sampling"]):
+            plan = shuffled(J.strategy_candidates(docs, KEYS, strategy_rows(n)))
+            assert len(plan) > 3
+            found.append(sum(bool({"text", "_texts", "choices"} & set(cols)) for cols in plan if "_texts" in cols or "choices" in cols))
+        assert found == [1, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
