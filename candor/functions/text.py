@@ -6,6 +6,8 @@ the explicit whitespace class of ``constants.WS_CLASS`` instead of Spark's ``tri
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -161,6 +163,39 @@ def bool_str(b: ColumnOrName) -> Column:
     return F.initcap(_c(b).cast("string"))
 
 
+def fixed_point(x: ColumnOrName, digits: int) -> Column:
+    """A double (under 1e9) with ``digits`` decimals: its exact binary value rounded, halves to even, as Python prints it.
+
+    The value is split into two halves of 26 bits, whose products with the power of ten are exact.
+    """
+    x = _c(x).cast("double")
+    a, p = F.abs(x), F.lit(float(10 ** digits))
+    c = a * F.lit(134217729.0)
+    high = c - (c - a)
+    low = a - high
+    whole = F.floor(a * p).cast("double")
+    rest = (high * p - whole) + low * p
+    whole = F.when(rest < 0, whole - 1).when(rest >= 1, whole + 1).otherwise(whole)
+    over = ((high * p - whole) - 0.5) + low * p  # its sign is exact
+    up = (over > 0) | ((over == 0) & (whole % 2 == 1))
+    n = (whole + F.when(up, 1.0).otherwise(0.0)).cast("long")
+    text = F.concat(F.floor(n / F.lit(10 ** digits)).cast("string"), F.lit("."), F.lpad((n % F.lit(10 ** digits)).cast("string"), digits, "0"))
+    return F.concat(F.when(x < 0, "-").otherwise(""), text)
+
+
+_FIXED = re.compile(r"%(\d*)\.(\d+)f")
+
+
+def printf(fmt: str, *cols: ColumnOrName) -> Column:
+    """``format_string`` whose ``%.nf`` rounds as Python does (``fixed_point``); its own rounds the shortest decimal form, halves up."""
+    args = list(map(_c, cols))
+    for i, spec in enumerate(re.findall(r"%[^%a-z]*[a-z]", fmt.replace("%%", ""))):
+        fixed = _FIXED.fullmatch(spec)
+        if fixed:
+            args[i] = fixed_point(args[i], int(fixed[2]))
+    return F.format_string(_FIXED.sub(r"%\1s", fmt), *args)
+
+
 def char_flags(t: ColumnOrName) -> Column:
     """One flag per character of the collapsed text: "1" for a terminator, "0" otherwise."""
     x = collapse_ws(t)

@@ -27,19 +27,19 @@ def _lines(parts: list[Column]) -> Column:
 
 def guard_metric_lines(metrics: DataFrame) -> DataFrame:
     """``(line_no, line)`` of one row of guardrail metrics."""
-    return metrics.select(F.inline(_lines([F.format_string(f, F.col(c)) for c, f in K.GUARD_METRICS])))
+    return metrics.select(F.inline(_lines([T.printf(f, c) for c, f in K.GUARD_METRICS])))
 
 
 def strategy_table_lines(evaluation: DataFrame, group: str = "decoding") -> DataFrame:
     """``(decoding, line)`` of the strategy evaluation, under ``constants.STRATEGY_HEADER``."""
     cells = [F.col(c) for c in ("pass_pct", "avg_wc", "std_wc", "repeat_pct")]
-    return evaluation.select(group, F.format_string(K.STRATEGY_LINE, F.initcap(group), *cells).alias("line"))
+    return evaluation.select(group, T.printf(K.STRATEGY_LINE, F.initcap(group), *cells).alias("line"))
 
 
 def mini_report_lines(report: DataFrame, group: str = "decoding") -> DataFrame:
     """``(decoding, line_no, line)``: the mini-report block of each strategy, one line where it has no rows."""
     values = [group, "rows", "pass_pct", "avg_tokens", "reflection"]
-    block = _lines([F.format_string(f, F.col(c)) for f, c in zip(K.MINI_REPORT, values)])
+    block = _lines([T.printf(f, c) for f, c in zip(K.MINI_REPORT, values)])
     empty = _lines([F.format_string(K.MINI_REPORT_EMPTY, F.col(group))])
     return report.select(group, F.inline(F.when(F.col("rows") == 0, empty).otherwise(block)))
 
@@ -54,7 +54,7 @@ def side_by_side_lines(wide: DataFrame, ordinal: str, names: list[str]) -> DataF
 
 def sentiment_lines(scored: DataFrame, ordinal: str = "line_no", text_col: str = "text") -> DataFrame:
     """``scored`` with ``line`` (raw label, score, label under the neutral band) and ``text_line``."""
-    line = F.format_string(K.SENTIMENT_LINE, F.col(ordinal), F.col("label"), F.col("score"), F.col("neutralized"))
+    line = T.printf(K.SENTIMENT_LINE, F.col(ordinal), F.col("label"), F.col("score"), F.col("neutralized"))
     return scored.withColumn("line", line).withColumn("text_line", F.format_string(K.SENTIMENT_TEXT_LINE, F.col(text_col)))
 
 

@@ -78,7 +78,7 @@ def test_report_blocks(spark):
     wide = spark.createDataFrame([(1, "a", " b", None)], "k INT, greedy STRING, beam STRING, sampling STRING")
     assert [r.line for r in RP.side_by_side_lines(wide, "k", ["greedy", "beam", "sampling"]).collect()] == ["01. [Greedy] a", "    [Beam]   b", "    [Sample] "]
     ev = spark.createDataFrame([("greedy", 12.34, 9.0, 1.25, 100.0)], "decoding STRING, pass_pct DOUBLE, avg_wc DOUBLE, std_wc DOUBLE, repeat_pct DOUBLE")
-    assert RP.strategy_table_lines(ev).first().line == "Greedy       12.3    9.0    1.3    100.0"
+    assert RP.strategy_table_lines(ev).first().line == "Greedy       12.3    9.0    1.2    100.0"
 
 
 def test_sentiment_job(spark):
