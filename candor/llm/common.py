@@ -14,6 +14,9 @@ from candor.session import ensure_checkpoint_dir
 
 # Bytes (or code points) of text handled at once inside a task; a longer text is handled alone.
 CHUNK = 1 << 20
+FILES_PER_SLOT = 6
+# Freed batches go back to the system; the default pool of a worker keeps them.
+pa.set_memory_pool(pa.system_memory_pool())
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 _GOLD = 0x9E3779B97F4A7C15
@@ -21,9 +24,14 @@ _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2^64
 _U64 = (1 << 64) - 1
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's checkpoint folder, which all executors share."""
+def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """Materialise ``df`` in the session's checkpoint folder, which all executors share.
+
+    A ``narrow`` table (keys, edges) is written by at most ``FILES_PER_SLOT`` tasks a slot, not as a file for each shuffle partition.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    if narrow:
+        df = df.coalesce(FILES_PER_SLOT * df.sparkSession.sparkContext.defaultParallelism)
     return df.checkpoint(eager=True)
 
 

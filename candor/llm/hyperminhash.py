@@ -306,8 +306,7 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn. A node's neighbours are only aggregated (minimum) and
     joined, never gathered, so a node with very many links is no burden for one task.
     """
-    edges = C.cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    before = None
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -315,13 +314,14 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         edges = C.cut(small.select("u", F.col("m").alias("v"))
-                      .unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+                      .unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), narrow=True)
+        # Done when all edges are stars: one centre for each node, and no centre is a node of another.
+        chained = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
+        torn = edges.groupBy("u").count().where("count > 1").select("u")
+        if chained.unionByName(torn).isEmpty():
             break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
+        edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -349,19 +349,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
     full = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("band", "hub")
-    shared = C.cut(banded.join(full, "band").select("band", "node", "n", "hub"))
+    shared = C.cut(banded.join(full, "band").select("band", "node", "n", "hub"), narrow=True)
 
     wanted = nodes.select("node", "label").join(shared.select("node").distinct(), "node", "left_semi")
-    reps = C.cut(wanted.select("node", F.col("label.h1").alias("h1"), F.col("label.h2").alias("h2")))
+    reps = C.cut(wanted.select("node", F.col("label.h1").alias("h1"), F.col("label.h2").alias("h2")), narrow=True)
     sets = C.cut(C.join_keys(src.select("h1", "h2", "text"), reps, ["h1", "h2"]).select("node", "text")
                  .mapInArrow(_sets, "node LONG, shingles ARRAY<LONG>").dropDuplicates(["node"]))
     sketches = nodes.select("node", "n", "sketch").join(shared.select("node").distinct(), "node", "left_semi")
 
     star = shared.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
-    found = C.cut(_confirmed(_estimated(star, sketches, percent), sets, percent))
+    found = C.cut(_confirmed(_estimated(star, sketches, percent), sets, percent), narrow=True)
     comp = components(found)
 
-    placed = C.cut(shared.join(comp, "node", "left").select("band", "node", "n", "hub", F.coalesce("comp", "node").alias("comp")))
+    placed = C.cut(shared.join(comp, "node", "left").select("band", "node", "n", "hub", F.coalesce("comp", "node").alias("comp")), narrow=True)
     parted = placed.groupBy("band").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
     # The hub has been compared with all others.
     rest = placed.where("node <> hub").join(parted.where("p <> q").drop("p", "q"), "band")
@@ -369,9 +369,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a = few.select("band", F.col("node").alias("u"), F.col("comp").alias("cu"))
     b = few.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
     across = a.join(b, "band").where("u < v and cu <> cv").select("u", "v").distinct()
-    more = C.cut(_confirmed(_estimated(across, sketches, percent), sets, percent))
+    more = C.cut(_confirmed(_estimated(across, sketches, percent), sets, percent), narrow=True)
     with C.arrow_rows(docs.sparkSession, BLOCK_ROWS):
-        most = C.cut(_across_blocks(rest.where(F.col("size") > FEW), sets, sketches, percent))
+        most = C.cut(_across_blocks(rest.where(F.col("size") > FEW), sets, sketches, percent), narrow=True)
     comp = components(found.unionByName(more).unionByName(most))
 
     labelled = nodes.select("node", "set_key", "label").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -393,10 +393,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
     Rows without words all stay. Of repeated rows (same ``doc_id`` and text) one stays.
     """
     rows = C.cut(near_duplicates(docs, doc_id, text, percent).where("n_shingles > 0").groupBy("h1", "h2")
-                 .agg(F.max("is_rep").alias("is_rep"), F.count(F.lit(1)).alias("times")))
+                 .agg(F.max("is_rep").alias("is_rep"), F.count(F.lit(1)).alias("times")), narrow=True)
     keys = F.struct(*row_keys(F.col(text), F.col(doc_id)))
     keyed = docs.select(F.struct("*").alias("row"), keys.alias("k")).select("row", "k.*")
     # Nearly all rows stay as they are: only keys to leave out, and repeated rows, are looked up.
-    rest = C.join_keys(keyed, C.cut(rows.where("not is_rep or times > 1").select("h1", "h2")), ["h1", "h2"], "left_anti")
-    again = C.join_keys(keyed, C.cut(rows.where("is_rep and times > 1").select("h1", "h2")), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    rest = C.join_keys(keyed, C.cut(rows.where("not is_rep or times > 1").select("h1", "h2"), narrow=True), ["h1", "h2"], "left_anti")
+    again = C.join_keys(keyed, C.cut(rows.where("is_rep and times > 1").select("h1", "h2"), narrow=True), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
     return rest.select("row.*").unionByName(again.select("row.*"))
