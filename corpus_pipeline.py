@@ -17,25 +17,36 @@ from candor.session import ensure_checkpoint_dir
 
 
 NEAR_PERCENT = 80
+# Rows are whole texts: Arrow batches of this many keep executors' memory outside the heap small.
+BATCH_ROWS = "2000"
+
+
+def _sized(spark: SparkSession) -> None:
+    """Set before a stage's plan is made and left set, because the caller runs the plan."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language; ``lang`` becomes the predicted one."""
+    _sized(spark)
     return langid.with_language(docs, langid.fit(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays."""
+    _sized(spark)
     return hyperminhash.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes placeholders; ``n_chars`` follows."""
+    _sized(spark)
     return pii.redact_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces of all documents in sequences of 1024 ids."""
+    _sized(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                         public_tokenizers.PATTERN)
 
