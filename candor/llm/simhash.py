@@ -6,9 +6,10 @@ short, common words count little. Each bit of the 128-bit term hash votes with t
 set where the votes for it are more than half. Votes are summed two to a long: 64 sums, each holding
 two counters of 32 bits. A fingerprint is two longs, ``fp0`` and ``fp1``.
 
-``near_counts`` finds all fingerprints within a Hamming radius: the bits are cut into blocks, and for
-each choice of ``BLOCKS - RADIUS`` blocks there is a table keyed by those blocks. Two fingerprints that
-differ in at most ``RADIUS`` bits agree in at least one of the tables.
+``near_counts`` finds all fingerprints within a Hamming radius: the bits are cut into blocks, each with a
+tolerance, and the tolerances plus one add up to ``RADIUS + 1``. Two fingerprints that differ in at most ``RADIUS`` bits differ
+in at least one block by no more than its tolerance. There is a table for each block; a query looks up its own block and
+all that differ from it by the tolerance. ``RADIUS`` follows measured distances of near copies (README).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ WORD, HALF = 64, 32
 WORDS = 2
 BITS = WORD * WORDS
 FP = [f"fp{i}" for i in range(WORDS)]
-BLOCKS, RADIUS = 5, 3
+BLOCKS, RADIUS = 10, 19
 MAX_WEIGHT = 16
 
 
@@ -80,12 +81,21 @@ def _signed(x: int) -> int:
 # All fingerprints within a Hamming radius
 # ---------------------------------------------------------------------------------------------
 
-def block_tables(blocks: int, radius: int) -> list[list[int]]:
-    """The masks (one a word) of each choice of ``blocks - radius`` blocks."""
+def block_tables(blocks: int, radius: int) -> list[tuple[int, int, int]]:
+    """``(first bit, end bit, tolerance)`` of each block that is looked up."""
     edges = [BITS * i // blocks for i in range(blocks + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    chosen = [sum(c) for c in combinations(masks, blocks - radius)]
-    return [[_signed(m >> (WORD * i) & ((1 << WORD) - 1)) for i in range(WORDS)] for m in chosen]
+    each, more = divmod(radius + 1, blocks)
+    cuts = [(a, b, each - 1 + (i < more)) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+    return [c for c in cuts if c[2] >= 0]
+
+
+def _block(fp: list[Column], a: int, b: int) -> Column:
+    """Bits ``a`` to ``b`` (at most ``WORD`` of them) as a long."""
+    i, at = divmod(a, WORD)
+    value = F.shiftrightunsigned(fp[i], at)
+    if b > WORD * (i + 1):
+        value = value.bitwiseOR(F.shiftleft(fp[i + 1], WORD - at))
+    return value.bitwiseAND(F.lit(_signed((1 << (b - a)) - 1)))
 
 
 def near_counts(fps: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
@@ -95,16 +105,22 @@ def near_counts(fps: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks
     in which it agrees, so no row is made twice. Without rows the result is empty.
     """
     tables = block_tables(blocks, radius)
-    names = ["t", *[f"k{i}" for i in range(WORDS)]]
-    keyed = F.inline(F.array(*[F.struct(F.lit(t), *[F.col(f).bitwiseAND(F.lit(m)) for f, m in zip(FP, masks)]) for t, masks in enumerate(tables)])).alias(*names)
+    names = ["t", "block"]
+    own = [F.col(f) for f in FP]
+    keyed = F.inline(F.array(*[F.struct(F.lit(t), _block(own, a, b)) for t, (a, b, _) in enumerate(tables)])).alias(*names)
     others = [f"o{i}" for i in range(WORDS)]
     index = fps.groupBy(*FP).agg(F.count(F.lit(1)).alias("n")).select(*[F.col(f).alias(o) for f, o in zip(FP, others)], "n", keyed)
+    flips = [[_signed(sum(1 << i for i in c)) for k in range(tolerance + 1) for c in combinations(range(b - a), k)] for a, b, tolerance in tables]
+    around = F.array(*[F.array(*[F.lit(x).cast("long") for x in f]) for f in flips])
     asked = queries.select(*FP).distinct().select(*FP, keyed)
+    asked = asked.select(*FP, "t", "block", F.explode(F.element_at(around, F.col("t") + 1)).alias("flip")).select(
+        *FP, "t", F.col("block").bitwiseXOR(F.col("flip")).alias("block"))
     xor = [F.col(f).bitwiseXOR(F.col(o)) for f, o in zip(FP, others)]
-    agrees = [reduce(lambda p, q: p & q, [x.bitwiseAND(F.lit(m)) == 0 for x, m in zip(xor, masks)]) for masks in tables]
-    first = F.coalesce(*[F.when(a, F.lit(t)) for t, a in enumerate(agrees)])
+    agrees = [F.bit_count(_block(xor, a, b)) <= tolerance for a, b, tolerance in tables]
+    first = F.coalesce(*[F.when(x, F.lit(t)) for t, x in enumerate(agrees)])
     bits = reduce(lambda p, q: p + q, [F.bit_count(x) for x in xor])
-    found = asked.join(index, names).where((bits <= radius) & (first == F.col("t")))
+    # The planner takes the look-ups for as few as the queries and would broadcast them.
+    found = asked.hint("merge").join(index, names).where((bits <= radius) & (first == F.col("t")))
     return found.groupBy(*FP).agg(F.sum("n").alias("n_near"))
 
 

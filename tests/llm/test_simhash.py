@@ -83,3 +83,28 @@ def test_near_counts_equal_all_pairs(spark):
     assert got == {h: sum((x ^ y).bit_count() <= S.RADIUS for y in fps) for h, x in zip(halves, fps)}
     wide = {(r.fp0, r.fp1): r.n_near for r in S.near_counts(df, df, 8, 11).collect()}
     assert wide == {h: sum((x ^ y).bit_count() <= 8 for y in fps) for h, x in zip(halves, fps)}
+
+
+def test_near_copies_are_found(spark):
+    """Texts of 300 words of which one to four are changed (five-word similarity 0.88 or more)."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9))) for _ in range(300)]
+        rows.append((100 * i, " ".join(words)))
+        for k in rng.sample(range(300), 1 + i % 4):
+            words[k] = "changed" + words[k]
+        rows.append((100 * i + 1, " ".join(words)))
+    got = S.fingerprint_documents(spark.createDataFrame(rows, "doc_id LONG, text STRING")).where("doc_id % 50 = 0").collect()
+    assert len(got) == 40 and sum(r.n_near == 1 for r in got) >= 38 and max(r.n_near for r in got) == 1
+
+
+def test_blocks_with_unequal_tolerances(spark):
+    rng = random.Random(4)
+    base = [rng.getrandbits(128) for _ in range(20)]
+    fps = [b ^ sum(1 << k for k in rng.sample(range(128), rng.randrange(26))) for b in base for _ in range(10)]
+    halves = [tuple(S._signed(x >> s & ((1 << 64) - 1)) for s in (0, 64)) for x in fps]
+    df = spark.createDataFrame(halves, "fp0 LONG, fp1 LONG")
+    for radius, blocks in ((0, 2), (5, 3), (12, 7)):
+        got = {(r.fp0, r.fp1): r.n_near for r in S.near_counts(df, df, radius, blocks).collect()}
+        assert got == {h: sum((x ^ y).bit_count() <= radius for y in fps) for h, x in zip(halves, fps)}
