@@ -143,11 +143,11 @@ def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     link = ranked.join(after, "rn").drop("rn")
     taken = F.expr("n_chars div 3")
     wanted = link.select(F.col("next_h1").alias("h1"), F.col("next_h2").alias("h2"), F.col("h1").alias("p1"), F.col("h2").alias("p2"), taken.cast("int").alias("need"))
-    heads = (src.select("h1", "h2", "text").join(wanted, ["h1", "h2"])
-             .select(F.col("p1").alias("h1"), F.col("p2").alias("h2"), F.left("text", F.col("need")).alias("head"))
-             .groupBy("h1", "h2").agg(F.any_value("head").alias("head")))
+    # Repeated rows vote once: their votes could outgrow a counter.
+    texts = src.select("h1", "h2", "text").dropDuplicates(["h1", "h2"])
+    heads = texts.join(wanted, ["h1", "h2"]).select(F.col("p1").alias("h1"), F.col("p2").alias("h2"), F.left("text", F.col("need")).alias("head"))
     kept = F.left("text", (F.col("n_chars") - taken).cast("int"))
-    return (src.select("h1", "h2", "text").join(link, ["h1", "h2"]).join(heads, ["h1", "h2"])
+    return (texts.join(link, ["h1", "h2"]).join(heads, ["h1", "h2"])
             .select("h1", "h2", "doc_id", "copies", "n_chars", "text", F.concat(kept, "head").alias("edited"), "next_h1", "next_h2"))
 
 

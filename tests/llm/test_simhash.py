@@ -108,3 +108,10 @@ def test_blocks_with_unequal_tolerances(spark):
     for radius, blocks in ((0, 2), (5, 3), (12, 7)):
         got = {(r.fp0, r.fp1): r.n_near for r in S.near_counts(df, df, radius, blocks).collect()}
         assert got == {h: sum((x ^ y).bit_count() <= radius for y in fps) for h, x in zip(halves, fps)}
+
+
+def test_repeated_rows_vote_once(spark):
+    rows = [(1, "one text here"), (1, "other text")] + [(2, "the same again")] * 5 + [(None, None)] * 3
+    pairs = S.edited_pairs(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    assert sorted((str(r.doc_id), r.text, r.copies) for r in pairs) == [
+        ("1", "one text here", 1), ("1", "other text", 1), ("2", "the same again", 5), ("None", "", 3)]
