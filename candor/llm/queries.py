@@ -188,3 +188,16 @@ def op11(spark, sf_dir):
     out = transform(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+_OP12_SQL = r"""WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS s FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, (count(*) OVER (PARTITION BY s))::BIGINT AS group_size, row_number() OVER w = 1 AS kept,
+  sha256(s) AS text_sha256 FROM n
+WINDOW w AS (PARTITION BY s ORDER BY n_chars DESC, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
+@register("op12_exact_dedup", _OP12_SQL)
+def op12(spark, sf_dir):
+    from candor.llm.exact_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"))
