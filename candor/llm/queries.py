@@ -201,3 +201,13 @@ def op12(spark, sf_dir):
     from candor.llm.exact_dedup import exact_duplicates
 
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op13_cut_alignment")
+def op13(spark, sf_dir):
+    import public_tokenizers as P
+
+    from candor.llm.alignment import link_statistics
+
+    files = (P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("piece_bpe_32k.model"))
+    return link_statistics(table(spark, sf_dir, "documents"), files)
