@@ -314,4 +314,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     """Import the query modules that register themselves."""
-    from candor.plans import queries_ext  # noqa: F401
+    from candor.plans import queries_ext, queries_gen  # noqa: F401
