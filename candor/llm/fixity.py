@@ -37,23 +37,42 @@ def warc_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", p
 
 
 def archive(records: DataFrame) -> DataFrame:
-    """The manifest of ``records(page_id, h1, h2, record)``: ``page_id, h1, h2, file_no, offset, length, digest``.
+    """The manifest of ``records(page_id, h1, h2, record)``: ``page_id, h1, h2, copy, file_no, offset, length, digest``.
 
     Records stand in ``page_id`` order (NULL last, equal ids by content, repeated rows side by side), in files of
     ``FILE_RECORDS``. Only lengths and digests are shuffled, never a record.
     """
     rows = records.groupBy("page_id", "h1", "h2", *_measured("record")).agg(F.count(F.lit(1)).alias("copies"))
     each = rows.select("page_id", "h1", "h2", "length", "digest", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return _filed(each)
+
+
+def _filed(each: DataFrame) -> DataFrame:
+    """Records in order, in files of ``FILE_RECORDS`` from 0, each at the sum of the lengths before it."""
     ranked = global_row_number(each, [F.col("page_id").asc_nulls_last(), F.col("h1").asc(), F.col("h2").asc(), F.col("copy").asc()], "rn")
     w = Window.partitionBy("file_no").orderBy("rn").rowsBetween(Window.unboundedPreceding, -1)  # at most FILE_RECORDS rows
     filed = ranked.withColumn("file_no", F.floor((F.col("rn") - 1) / FILE_RECORDS))
-    return filed.select("page_id", "h1", "h2", "file_no", F.coalesce(F.sum("length").over(w), F.lit(0)).alias("offset"), "length", "digest")
+    return filed.select("page_id", "h1", "h2", "copy", "file_no", F.coalesce(F.sum("length").over(w), F.lit(0)).alias("offset"), "length", "digest")
 
 
 def replica(records: DataFrame, manifest: DataFrame) -> DataFrame:
-    """What a replica holds at the manifest's places: its ``records(h1, h2, record)`` measured anew."""
-    held = records.select("h1", "h2", *_measured("record")).distinct()
-    return manifest.select("page_id", "h1", "h2", "file_no", "offset").join(held, ["h1", "h2"])
+    """What a replica holds: its ``records(page_id, h1, h2, record)`` measured anew, ``page_id, file_no, offset, length, digest``.
+
+    Each record takes the manifest's place of the record that its name (``h1, h2``) says it is; the copies of one name take places in
+    order, so a lost copy leaves a place empty. A lost or shortened record does not move those behind it. Records without a place (a name that the manifest
+    lacks, or more copies than it has) stand in files of their own after the manifest's last one. (Replicas whose records carry
+    their own places are compared by ``digests``.)
+    """
+    held = records.groupBy("h1", "h2", *_measured("record")).agg(F.min("page_id").alias("own_id"), F.count(F.lit(1)).alias("copies"))
+    w = Window.partitionBy("h1", "h2").orderBy("length", "digest").rowsBetween(Window.unboundedPreceding, -1)  # a name's different contents
+    before = held.withColumn("before", F.coalesce(F.sum("copies").over(w), F.lit(0)))
+    each = before.select("h1", "h2", "length", "digest", "own_id", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("copies"))).alias("copy"))
+    placed = cut(each.join(manifest.select("page_id", "h1", "h2", "copy", "file_no", "offset"), ["h1", "h2", "copy"], "left"))
+    columns = ["page_id", "file_no", "offset", "length", "digest"]
+    found = placed.where("file_no is not null").select(*columns)
+    after = (manifest.agg(F.max("file_no")).first()[0] if not manifest.isEmpty() else -1) + 1
+    extra = _filed(placed.where("file_no is null").select(F.col("own_id").alias("page_id"), "h1", "h2", "copy", "length", "digest"))
+    return found.unionByName(extra.withColumn("file_no", F.col("file_no") + after).select(*columns))
 
 
 def _measured(record: str) -> list[Column]:
@@ -135,8 +154,10 @@ def audit(ours: DataFrame, theirs: DataFrame, key: str = "page_id") -> DataFrame
 
 def damaged_replica(records: DataFrame, key: str = "page_id") -> DataFrame:
     """A copy of ``records`` with damage chosen by the key's MD5: its first two hex digits 00 or 01 change a
-    byte, 02 loses the record, 03 cuts its last 40 characters. Only for audits of tables that have one replica."""
+    byte, 02 loses the record, 03 cuts its last 40 characters, 04 adds a record of another name. Only for audits of tables that have one replica."""
     pick = F.substring(F.md5(F.col(key).cast("string")), 1, 2)
     record = (F.when(pick.isin("00", "01"), F.concat(F.expr("left(record, length(record) - 5)"), F.lit("~"), F.expr("right(record, 4)")))
               .when(pick == "03", F.expr("left(record, length(record) - 40)")).otherwise(F.col("record")))
-    return records.where(F.coalesce(pick != "02", F.lit(True))).withColumn("record", record)
+    kept = records.where(F.coalesce(pick != "02", F.lit(True))).withColumn("record", record)
+    names = {h: F.xxhash64(h, F.lit("extra")) for h in ("h1", "h2")}
+    return kept.unionByName(records.where(pick == "04").withColumns({**names, "record": F.concat(F.lit("X"), "record")}))

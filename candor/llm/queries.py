@@ -77,7 +77,10 @@ SELECT page_id, file_no::BIGINT AS file_no, "offset", length,
        ELSE strlen(left(record, length(record) - 5) || '~' || right(record, 4)) END::BIGINT AS replica_length,
   CASE WHEN pick = '02' THEN 'missing' WHEN pick = '03' THEN 'truncated'
        WHEN strlen(left(record, length(record) - 5) || '~' || right(record, 4)) < length THEN 'truncated' ELSE 'changed' END AS status
-FROM p WHERE pick IN ('00', '01', '02', '03')"""
+FROM p WHERE pick IN ('00', '01', '02', '03')
+UNION ALL
+SELECT page_id, (SELECT max(file_no) FROM p)::BIGINT + 1 + spot // 1000, coalesce(sum(length + 1) OVER (PARTITION BY spot // 1000 ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT,
+  NULL, length + 1, 'extra' FROM (SELECT page_id, length, row_number() OVER (ORDER BY page_id) - 1 AS spot FROM p WHERE pick = '04')"""
 
 
 @register("op10_merkle_fixity", _OP10_SQL)
@@ -90,7 +93,7 @@ def op10(spark, sf_dir):
 
 
 _OP7_SQL = r"""WITH c AS (
-  SELECT page_id, nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#@]*@)?([^/?#:]+)', 2), '.'), '') AS host,
+  SELECT page_id, nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#\\]*@)?(\[[^\]/?#\\@]*\]|[^/?#\\:@\[\]]*)', 2), '.'), '') AS host,
     DATE '2020-01-01' + (('0x' || substr(md5('fetch|' || page_id), 1, 4))::INT % 1461)::INT AS fetched_on FROM pages),
 hosts AS (SELECT DISTINCT host FROM c WHERE host IS NOT NULL),
 h AS (SELECT host, md5(host || '|' || k) AS h FROM hosts, range(6) r(k) WHERE ('0x' || substr(md5(host || '|' || k), 1, 1))::INT < 8),
@@ -99,7 +102,8 @@ e AS (SELECT CASE WHEN ('0x' || substr(h, 2, 1))::INT < 12 THEN host ELSE regexp
     DATE '2020-01-01' + (('0x' || substr(h, 4, 4))::INT % 1461)::INT AS day, ('0x' || substr(h, 8, 1))::INT < 10 AS listed FROM h),
 d AS (SELECT pattern, category, day, bool_and(listed) AS listed FROM e GROUP BY ALL),
 i AS (SELECT *, lead(day) OVER (PARTITION BY pattern, category ORDER BY day) AS until FROM d),
-s AS (SELECT host, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda x: array_to_string(string_split(host, '.')[x:], '.'))) AS pattern FROM hosts),
+s AS (SELECT host, unnest(CASE WHEN regexp_matches(host, '^(\[.*|[0-9]+(\.[0-9]+){3})$') THEN [host]
+    ELSE list_transform(range(1, len(string_split(host, '.')) + 1), lambda x: array_to_string(string_split(host, '.')[x:], '.')) END) AS pattern FROM hosts),
 m AS (SELECT c.page_id, i.pattern, i.category FROM c JOIN s USING (host) JOIN i ON i.pattern = s.pattern AND i.listed
     AND i.day <= c.fetched_on AND (i.until IS NULL OR c.fetched_on < i.until)),
 g AS (SELECT page_id, array_to_string(list_sort(list_distinct(list(category))), ',') AS categories, arg_max(pattern, length(pattern)) AS pattern FROM m GROUP BY page_id)

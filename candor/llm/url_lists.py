@@ -13,23 +13,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candor.llm.common import cut, join_keys
+from candor.llm.common import cut
 
-# Rows of a host and its few intervals: about 50 MB as a hashed relation.
-MAX_BROADCAST_HOSTS = 100_000
-HOST = r"^[a-z][a-z0-9+.-]*://([^/?#@]*@)?([^/?#:]+)"
+# Hosts and intervals that are broadcast, counted together: about 50 MB as a hashed relation.
+MAX_BROADCAST_SPANS = 300_000
+# The authority ends at the first of / ? # and backslash; the host stands after its last @, an address in brackets is whole, and a port is left out.
+HOST = r"^[a-z][a-z0-9+.-]*://([^/?#\\]*@)?(\[[^\]/?#\\@]*\]|[^/?#\\:@\[\]]*)"
+ADDRESS = r"^(\[.*|[0-9]+(\.[0-9]+){3})$"
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host, without user, port and final dot; NULL where there is none."""
+    """Lower-case host, without user, port and final dot; an IPv6 address keeps its brackets; NULL where there is none."""
     host = F.rtrim(F.regexp_extract(F.lower(url), HOST, 2), F.lit("."))
     return F.when(host != "", host)
 
 
 def parent_domains(host: Column) -> Column:
-    """The host and all domains above it, longest first."""
+    """The host and all domains above it, longest first; an address has none above it."""
     labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    names = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(host.rlike(ADDRESS), F.array(host)).otherwise(names)
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
@@ -57,7 +60,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url:
     named = F.transform("spans", lambda s: F.struct(F.col("pattern").alias("pattern"), s["category"].alias("category"),
                                                     s["valid_from"].alias("valid_from"), s["valid_to"].alias("valid_to")))
     hosts = cut(domains.join(spans, "pattern").groupBy("host").agg(F.flatten(F.collect_list(named)).alias("spans")))
-    joined = join_keys(caps, hosts, ["host"], "left", MAX_BROADCAST_HOSTS)
+    size = hosts.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
+    small = size <= MAX_BROADCAST_SPANS
+    # Captures without a host stay out of the join, where they would be one key.
+    known = caps.where("host is not null").join(F.broadcast(hosts) if small else hosts, ["host"], "left")
+    joined = known.unionByName(caps.where("host is null"), allowMissingColumns=True)
     now = F.col("fetched_on")
     active = F.coalesce(F.filter("spans", lambda s: (s["valid_from"] <= now) & (s["valid_to"].isNull() | (now < s["valid_to"]))), F.array())
     longest = F.array_max(F.transform("active", lambda s: F.struct(F.length(s["pattern"]).alias("n"), s["pattern"].alias("pattern"))))

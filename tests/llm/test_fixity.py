@@ -89,3 +89,24 @@ def test_records_of_odd_pages(spark):
     manifest = X.archive(records)
     assert X.audit(manifest, X.replica(records, manifest)).count() == 0
     assert X.archive(X.warc_records(df.limit(0))).count() == 0
+
+
+def test_lost_copies_and_extra_records(spark, monkeypatch):
+    monkeypatch.setattr(X, "FILE_RECORDS", 3)
+    pages = [(1, "u", "a"), (1, "u", "a"), (2, "u", "bb"), (3, "u", "c"), (4, "u", "d" * 99), (5, "u", "e"), (None, None, None)]
+    records = X.warc_records(spark.createDataFrame(pages, "page_id LONG, url STRING, html STRING"))
+    manifest = X.archive(records).checkpoint()
+    rows = sorted(records.collect(), key=str)
+    frame = lambda some: spark.createDataFrame(some, records.schema)
+    one = [r for r in rows if r.page_id == 1]
+    audit = lambda some: sorted((r.page_id, r.status) for r in X.audit(manifest, X.replica(frame(some), manifest)).collect())
+    assert audit(rows) == [] == audit(rows[::-1])
+    assert audit([r for r in rows if r is not one[0]]) == [(1, "missing")]
+    assert audit(rows + one[:1]) == [(1, "extra")]
+    stranger = one[0].asDict() | {"page_id": 77, "h1": 5, "record": "other"}
+    assert audit([*rows, tuple(stranger.values())]) == [(77, "extra")]
+    short = [r if r.page_id != 2 else tuple((r.asDict() | {"record": r.record[:-3]}).values()) for r in rows]
+    assert audit(short) == [(2, "truncated")]  # the records behind it have not moved
+    assert len(audit([])) == len(rows)
+    nothing = X.archive(records.limit(0))
+    assert {r.status for r in X.audit(nothing, X.replica(frame(rows), nothing)).collect()} == {"extra"}

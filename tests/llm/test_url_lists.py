@@ -39,7 +39,7 @@ def test_random_lists_equal_a_plain_look_up(spark, monkeypatch):
     caps = [(i, rng.choice([*domains, *["hot.net"] * 10, "z.y.x.org"]), day()) for i in range(300)]
     urls = [(k, f"HTTPS://u@{h.upper()}.:80/p?x=http://a.com", d) for k, h, d in caps]
     assert run(spark, urls, entries) == brute(caps, entries)
-    monkeypatch.setattr(U, "MAX_BROADCAST_HOSTS", 0)
+    monkeypatch.setattr(U, "MAX_BROADCAST_SPANS", 0)
     assert run(spark, urls, entries) == brute(caps, entries)
 
 
@@ -53,3 +53,23 @@ def test_edges(spark):
     steps = [("a.com", "p", D(2020, 1, 1), True), ("a.com", "p", D(2020, 1, 5), False), ("a.com", "p", D(2020, 1, 5), True), ("a.com", "p", D(2020, 1, 9), True)]
     days = [(d, "http://a.com", D(2020, 1, d)) for d in (1, 4, 5, 8, 9)]
     assert [g[:2] for g in run(spark, days, steps)] == [(1, True), (4, True), (5, False), (8, False), (9, True)]
+
+
+HOSTS = [("http://[2001:db8::1]/x", "[2001:db8::1]"), ("http://[::1]:8080", "[::1]"), ("http://a@b@evil.com/", "evil.com"), ("http://u:p@Host.ORG.:80?q", "host.org"),
+         ("http://10.0.0.1:8/x", "10.0.0.1"), ("http://good.com\\@evil.com", "good.com"), ("http://good.com/@evil.com", "good.com"), ("http://good.com#@evil.com", "good.com"),
+         ("http://", None), ("http://:80/", None), ("http://[broken/x", None), ("//a.com", None), ("ftp+x.y-1://a_b.c", "a_b.c"), ("http://bücher.de/ü", "bücher.de"), (None, None)]
+
+
+def test_hosts(spark):
+    df = spark.createDataFrame([(u, h) for u, h in HOSTS], "url STRING, want STRING")
+    for r in df.select("url", "want", U.host_of(F.col("url")).alias("host")).collect():
+        assert r.host == r.want, r
+
+
+def test_addresses_have_no_parents(spark):
+    df = spark.createDataFrame([("10.0.0.1",), ("[::1]",), ("1.2.3.com",), ("b.a.com",)], "host STRING")
+    got = {r.host: r.p for r in df.select("host", U.parent_domains(F.col("host")).alias("p")).collect()}
+    assert got == {"10.0.0.1": ["10.0.0.1"], "[::1]": ["[::1]"], "1.2.3.com": ["1.2.3.com", "2.3.com", "3.com", "com"], "b.a.com": ["b.a.com", "a.com", "com"]}
+    entries = [("1", "p", D(2020, 1, 1), True), ("0.0.1", "p", D(2020, 1, 1), True), ("evil.com", "p", D(2020, 1, 1), True), ("[::1]", "q", D(2020, 1, 1), True)]
+    caps = [(1, "http://10.0.0.1/", D(2021, 1, 1)), (2, "http://a@b@evil.com/", D(2021, 1, 1)), (3, "http://[::1]:80/", D(2021, 1, 1))]
+    assert [g[:3] for g in run(spark, caps, entries)] == [(1, False, ""), (2, True, "p"), (3, True, "q")]
