@@ -99,7 +99,7 @@ def test_lost_copies_and_extra_records(spark, monkeypatch):
     rows = sorted(records.collect(), key=str)
     frame = lambda some: spark.createDataFrame(some, records.schema)
     one = [r for r in rows if r.page_id == 1]
-    audit = lambda some: sorted((r.page_id, r.status) for r in X.audit(manifest, X.replica(frame(some), manifest)).collect())
+    audit = lambda some: sorted(((r.page_id, r.status) for r in X.audit(manifest, X.replica(frame(some), manifest)).collect()), key=str)
     assert audit(rows) == [] == audit(rows[::-1])
     assert audit([r for r in rows if r is not one[0]]) == [(1, "missing")]
     assert audit(rows + one[:1]) == [(1, "extra")]
