@@ -1,4 +1,4 @@
-"""Registered queries of the learned operators: language model, constrained generation, copied spans."""
+"""Registered queries of the learned operators (language model, constrained generation, copied spans, calibrated classifier, length buckets) and of files."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from candor.operators import language_model as L
 from candor.operators.strategies import strategy_rows
 from candor.plans import oracle as O
-from candor.plans.queries import doc_lines, register
-from candor.plans.queries_ext import _PAIRS_SQL, _pairs_df
+from candor.plans.queries import ORACLES, doc_lines, register
+from candor.plans.queries_ext import _CSV_CTE, _PAIRS_SQL, _pairs_df
 from candor.sources.lines import load_table
 
 _DIGITS = 9
@@ -198,3 +198,54 @@ def q_bucket_shapes(spark, sf_dir):
     from candor.operators.length_buckets import shapes
 
     return shapes(_assigned(spark, sf_dir)).withColumn("padding_share", F.round("padding_share", _DIGITS))
+
+
+# =============================================================================================
+# Files: lines and candidate CSV written to the checkpoint folder and read back
+# =============================================================================================
+
+def _folder(spark, name: str) -> str:
+    import uuid
+
+    from candor.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("file_lines", f"""WITH {O.lines_cte()}
+SELECT lang, count(*) AS rows, sum(length(text))::BIGINT AS chars, max(md5(text)) AS last_md5, true AS dense FROM lines GROUP BY lang""")
+def q_file_lines(spark, sf_dir):
+    """Texts as files of one folder per language, read back as lines: per language rows, characters, and whether ordinals run from 1 without gaps in every file."""
+    from candor.sources.lines import read_lines
+
+    path = _folder(spark, "lines")
+    load_table(spark, sf_dir, "documents").select("lang", "text").write.partitionBy("lang").text(path)
+    lines = read_lines(spark, path).withColumn("lang", F.regexp_extract("file", "/lang=([^/]+)/", 1))
+    per_file = lines.groupBy("lang", "file").agg(F.count(F.lit(1)).alias("n"), F.max("line_id").alias("last"), F.min("line_id").alias("first"), F.sum("line_id").alias("total"),
+                                                 F.sum(F.char_length("text").cast("long")).alias("chars"), F.max(F.md5("text")).alias("top"))
+    dense = (F.col("first") == 1) & (F.col("last") == F.col("n")) & (2 * F.col("total") == F.col("n") * (F.col("n") + 1))
+    return per_file.groupBy("lang").agg(F.sum("n").alias("rows"), F.sum("chars").alias("chars"), F.max("top").alias("last_md5"), F.min(dense).alias("dense"))
+
+
+@register("csv_report", ORACLES["mini_report"])
+def q_csv_report(spark, sf_dir):
+    """The candidate job end to end: rows written as CSV in input order, read back with their types, and reported by mode."""
+    from candor.operators import metrics as M
+    from candor.plans.queries_ext import _csv_rows, _round_metrics
+    from candor.sources.csv_io import read_candidates_csv, write_candidates_csv
+
+    path = _folder(spark, "candidates")
+    write_candidates_csv(_csv_rows(spark, sf_dir), path, order=["doc_id", "line_no", "strategy_rank"])
+    return _round_metrics(M.mini_report(read_candidates_csv(spark, path)), ["pass_pct", "avg_tokens"])
+
+
+@register("csv_rows_back", f"""WITH {_CSV_CTE}
+SELECT input, output, decoding, tokens_out, constraint_passed, notes FROM csvrows""")
+def q_csv_rows_back(spark, sf_dir):
+    """Every candidate row as it comes back from the CSV files."""
+    from candor.plans.queries_ext import _csv_rows
+    from candor.sources.csv_io import read_candidates_csv, write_candidates_csv
+
+    path = _folder(spark, "candidates")
+    write_candidates_csv(_csv_rows(spark, sf_dir), path)
+    return read_candidates_csv(spark, path)

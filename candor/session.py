@@ -38,10 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder, which all executors must share.
 
     That is the one set on the context or in ``spark.checkpoint.dir``. Where neither is set, as in tests, it is a
-    folder in the session's warehouse, never a temporary folder of one machine.
+    folder in the session's warehouse. On a cluster, a warehouse on a local disk is refused: executors don't share it.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not named and not sc.master.startswith("local") and (warehouse.startswith("file:") or ":/" not in warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or f"{warehouse}/_checkpoints")
     return sc.getCheckpointDir()
