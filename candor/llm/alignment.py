@@ -16,6 +16,7 @@ Every A token of a group is linked with every B token of it. Of each id pair, th
 
 from __future__ import annotations
 
+import array
 import base64
 import hashlib
 import os
@@ -49,30 +50,56 @@ class Tokenizers:
         self.bytes_a = [b""] * (max(table.values()) + 1)
         for token, i in table.items():
             self.bytes_a[i] = token
-        self.bytes_b = [bytes([int(self.b.id_to_piece(i)[1:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
-                        for i in range(self.b.get_piece_size())]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.flat_a, self.flat_b = (np.frombuffer(b"".join(x), dtype=np.uint8) for x in (self.bytes_a, self.bytes_b))
+        # An id as it is written in a group list, with what follows it: a comma, the bar after A's ids, the semicolon after B's.
+        self.written = [f"{i}{mark}".encode() for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ",|;"]
 
-    def ids_a(self, text: str) -> list[int]:
+    def ids_a(self, whole: str) -> np.ndarray:
         try:
-            return self.fast.encode_ordinary(text)
+            return np.array(self.fast.encode_to_numpy(whole, disallowed_special=()), dtype=np.int32)
         except (ValueError, RuntimeError):
             if self.slow is None:
                 from tokenizers import Tokenizer
 
                 self.slow = Tokenizer.from_file(self.path_a)
                 self.slow.encode_special_tokens = True
-            return self.slow.encode(text, add_special_tokens=False).ids
-
-    def pair(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of ``" " + text`` by A and of ``text`` by B; none where the text is NULL or empty, or either does not give its bytes back."""
-        if not text:
-            return [], []
-        whole = (" " + text).encode()
-        a, b = self.ids_a(" " + text), self.b.encode(text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return [], []
-        return a, b
+            return np.array(self.slow.encode(whole, add_special_tokens=False).ids, dtype=np.int32)
+
+    def spelled(self, ids: list[np.ndarray], texts: list[bytes], size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Whether the tokens' bytes are the text, for each text."""
+        own = np.concatenate([np.zeros(0, np.int32), *ids])
+        bounds = np.cumsum([0, *map(len, ids)])
+        ends = np.concatenate(([0], np.cumsum(size[own])))
+        length = np.array([len(t) for t in texts], dtype=np.int64)
+        equal = ends[bounds[1:]] - ends[bounds[:-1]] == length
+        if equal.all():  # as nearly always
+            begin = (np.cumsum(size) - size)[own]
+            shown = flat[np.repeat(begin - ends[:-1], size[own]) + np.arange(ends[-1])]
+            wrong = np.concatenate(([0], np.cumsum(shown != np.frombuffer(b"".join(texts), dtype=np.uint8))))
+            at = np.concatenate(([0], np.cumsum(length)))
+            return wrong[at[1:]] == wrong[at[:-1]]
+        some = np.flatnonzero(equal).tolist()
+        equal[some] = self.spelled([ids[i] for i in some], [texts[i] for i in some], size, flat)
+        return equal
+
+    def pairs(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of ``" " + text`` by A and of ``text`` by B; none where a text is NULL or empty, or either does not give its bytes back."""
+        none = np.zeros(0, dtype=np.int32)
+        out = [(none, none)] * len(texts)
+        some = [i for i, t in enumerate(texts) if t]
+        if some:
+            whole = [" " + texts[i] for i in some]
+            raw = [t.encode() for t in whole]
+            a = list(map(self.ids_a, whole))
+            b = [np.frombuffer(array.array("i", x), dtype=np.int32) for x in self.b.encode([texts[i] for i in some], num_threads=1)]
+            good = self.spelled(a, raw, self.size_a, self.flat_a) & self.spelled(b, raw, self.size_b, self.flat_b)
+            for i, x, y, ok in zip(some, a, b, good.tolist()):
+                if ok:
+                    out[i] = (x, y)
+        return out
 
 
 def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, bounds_a: np.ndarray, bounds_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,9 +149,10 @@ class Aligned:
     """Tokens and groups of a chunk of texts."""
 
     def __init__(self, tokenizers: Tokenizers, texts: list[str | None]):
-        pairs = [tokenizers.pair(t) for t in texts]
+        pairs = tokenizers.pairs(texts)
+        self.written = tokenizers.written
         self.n_a, self.n_b = (np.array([len(p[k]) for p in pairs], dtype=np.int64) for k in (0, 1))
-        self.a, self.b = (np.array([i for p in pairs for i in p[k]], dtype=np.int64) for k in (0, 1))
+        self.a, self.b = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in pairs)]) for k in (0, 1))
         del pairs
         self.bounds_a, self.bounds_b = (np.concatenate(([0], np.cumsum(n))) for n in (self.n_a, self.n_b))
         self.end_a, self.end_b = shared_cuts(np.cumsum(tokenizers.size_a[self.a]), np.cumsum(tokenizers.size_b[self.b]), self.bounds_a, self.bounds_b)
@@ -132,19 +160,19 @@ class Aligned:
         self.bounds = np.searchsorted(self.end_a, self.bounds_a, side="right")  # groups of each document
         self.bounds[0] = 0
 
-    def spelled(self) -> list[str]:
+    def listed(self) -> list[bytes]:
         """Each document's groups as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
         group_a = np.repeat(np.arange(len(self.end_a)), self.end_a - self.begin_a)
         group_b = np.repeat(np.arange(len(self.end_b)), self.end_b - self.begin_b)
-        n = len(self.a) + len(self.b)
-        ids, mark = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int8)
-        at_a = np.arange(len(self.a)) + (self.begin_b[group_a] if len(self.a) else 0)
-        at_b = np.arange(len(self.b)) + (self.end_a[group_b] if len(self.b) else 0)
-        ids[at_a], ids[at_b] = self.a, self.b
-        mark[at_a[self.end_a - 1]], mark[at_b[self.end_b - 1]] = 1, 2
-        words = [f"{i}{',|;'[m]}" for i, m in zip(ids.tolist(), mark.tolist())]
+        codes = np.zeros(len(self.a) + len(self.b), dtype=np.int64)
+        at_a = np.arange(len(self.a)) + self.begin_b[group_a]
+        at_b = np.arange(len(self.b)) + self.end_a[group_b]
+        codes[at_a], codes[at_b] = 3 * self.a, 3 * self.b
+        codes[at_a[self.end_a - 1]] += 1
+        codes[at_b[self.end_b - 1]] += 2
+        parts = list(map(self.written.__getitem__, codes.tolist()))
         ends = (self.bounds_a + self.bounds_b).tolist()
-        return ["".join(words[a:b])[:-1] for a, b in zip(ends[:-1], ends[1:])]
+        return [b"".join(parts[a:b])[:-1] for a, b in zip(ends[:-1], ends[1:])]
 
     def links(self) -> np.ndarray:
         """Number of links of each document."""
@@ -187,7 +215,7 @@ def _lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
 def align(docs: DataFrame, files: tuple[str, str, str, str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, a_ids, b_ids, a_ends, b_ends``: both token sequences, and the ranks after each group's last token in them.
 
-    ``files`` are tokenizer file, rank file and pattern of A and the model file of B. Empty lists for texts without tokens (see ``Tokenizers.pair``).
+    ``files`` are tokenizer file, rank file and pattern of A and the model file of B. Empty lists for texts without tokens (see ``Tokenizers.pairs``).
     """
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
@@ -220,7 +248,7 @@ def link_statistics(docs: DataFrame, files: tuple[str, str, str, str], doc_id: s
             doc, pairs, times = own.id_pairs(width)
             many = times > 1
             every = np.arange(len(part) + 1)
-            sha = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in own.spelled()]
+            sha = [hashlib.sha256(s).hexdigest() if s else "" for s in own.listed()]
             arrays = [part.column("row"), part.column("doc_id"), *(pa.array(x) for x in (own.n_a, own.n_b, np.diff(own.bounds), own.links())), pa.array(sha, pa.string()),
                       _lists(pairs[~many], np.searchsorted(doc[~many], every), arrow_kind), _lists(pairs[many], np.searchsorted(doc[many], every), arrow_kind),
                       _lists(times[many], np.searchsorted(doc[many], every), pa.int64())]

@@ -135,3 +135,11 @@ def test_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert found(Q.QUERIES["op13_cut_alignment"](spark, sf)) == plain(given)
+
+
+def test_texts_whose_bytes_differ():
+    tokenizers = K.Tokenizers(*FILES)
+    got = tokenizers.pairs(["plain", "a▁b", None, "", "▁", "more words"])
+    assert [len(a) > 0 for a, _ in got] == [True, False, False, False, False, True]
+    ids = [np.array(tokenizers.b.encode(t), np.int32) for t in ("ab", "cd")]
+    assert tokenizers.spelled(ids, [b" ab", b" ce"], tokenizers.size_b, tokenizers.flat_b).tolist() == [True, False]
