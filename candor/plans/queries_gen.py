@@ -249,3 +249,79 @@ def q_csv_rows_back(spark, sf_dir):
     path = _folder(spark, "candidates")
     write_candidates_csv(_csv_rows(spark, sf_dir), path)
     return read_candidates_csv(spark, path)
+
+
+# =============================================================================================
+# Learned substitutions, graph-ranked summaries, uncertainty of strategy differences
+# =============================================================================================
+
+_EM = 3
+
+
+def _em_sql() -> str:
+    parts = [f"""WITH {_PAIRS_SQL},
+pw AS (SELECT conv_id, turn, {O.regex_words('prompt')} AS a, {O.regex_words('response')} AS b FROM pairs),
+pu AS (SELECT * FROM pw WHERE len(a) > 0 AND len(b) > 0),
+sa AS (SELECT conv_id, turn, s, count(*) AS n_s FROM (SELECT conv_id, turn, unnest(a) AS s FROM pu) GROUP BY ALL UNION ALL SELECT conv_id, turn, '', 1 FROM pu),
+tb AS (SELECT conv_id, turn, t, count(*) AS n_t FROM (SELECT conv_id, turn, unnest(b) AS t FROM pu) GROUP BY ALL),
+seen AS MATERIALIZED (SELECT * FROM sa JOIN tb USING (conv_id, turn)),
+p0 AS MATERIALIZED (SELECT s, t, 1.0::DOUBLE / count(*) OVER (PARTITION BY s) AS p FROM (SELECT DISTINCT s, t FROM seen))"""]
+    for i in range(_EM):
+        parts.append(f"""k{i} AS MATERIALIZED (SELECT seen.*, p FROM seen JOIN p{i} USING (s, t)),
+z{i} AS (SELECT conv_id, turn, t, sum(n_s * p) AS z FROM k{i} GROUP BY ALL),
+c{i} AS MATERIALIZED (SELECT s, t, sum(n_t * n_s * p / z) AS c FROM k{i} JOIN z{i} USING (conv_id, turn, t) GROUP BY ALL),
+p{i + 1} AS MATERIALIZED (SELECT s, t, c / sum(c) OVER (PARTITION BY s) AS p FROM c{i})""")
+    return ",\n".join(parts) + f"\nSELECT s, t, round(p, 6) AS p FROM p{_EM}"
+
+
+@register("word_translations", _em_sql())
+def q_word_translations(spark, sf_dir):
+    from candor.operators.translate import train
+
+    table, _ = train(_pairs_df(spark, sf_dir), ["conv_id", "turn"], "prompt", "response", _EM)
+    return table.select("s", "t", F.round("p", 6).alias("p"))
+
+
+@register("graph_summary")
+def q_graph_summary(spark, sf_dir):
+    """The best connected sentence of every document; tests hold the dense iteration."""
+    from candor.operators.graph_summary import ranked_sentences
+    from candor.operators.select import choose, with_texts
+    from candor.operators.summarize import sentences
+
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    won = choose(ranked_sentences(docs, ["doc_id"]), ["doc_id"], strategy_rows(["greedy"]))
+    best = with_texts(won, docs, ["doc_id"], sentences).select("doc_id", F.col("choices")[0].alias("c"))
+    return best.select("doc_id", "c.cand_id", "c.score", "c.text")
+
+
+_REPLICATES = 200
+
+
+def _intervals_sql() -> str:
+    from candor.operators.bootstrap import CUMULATIVE
+    from candor.plans.queries_ext import _long_cte
+
+    weight = " + ".join(f"(u >= {c!r}::DOUBLE)::INT" for c in CUMULATIVE)
+    return f"""WITH {_long_cte()},
+v AS (SELECT doc_id, decoding, {O.ws_word_count('output')}::DOUBLE AS v FROM longt),
+u AS (SELECT doc_id, b, CASE WHEN b = 0 THEN 2 ELSE (('0x' || substr(md5('42|' || doc_id || '|' || b), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE END AS u
+  FROM (SELECT DISTINCT doc_id FROM v), range({_REPLICATES + 1}) r(b)),
+wt AS (SELECT doc_id, b, CASE WHEN b = 0 THEN 1 ELSE {weight} END AS wgt FROM u),
+m AS (SELECT decoding, b, sum(wgt * v) / nullif(sum(wgt), 0) AS mean FROM v JOIN wt USING (doc_id) GROUP BY ALL),
+d AS (SELECT x.decoding, x.b, x.mean - y.mean AS d FROM m x JOIN m y ON x.b = y.b AND y.decoding = 'greedy' WHERE x.decoding <> 'greedy'),
+r AS (SELECT *, row_number() OVER (PARTITION BY decoding ORDER BY d, b) AS rn, count(*) OVER (PARTITION BY decoding) AS n FROM d WHERE b > 0 AND d IS NOT NULL),
+i AS (SELECT decoding, max(d) FILTER (rn = greatest(ceil(n * 0.025::DOUBLE), 1)) AS low, max(d) FILTER (rn = greatest(ceil(n * 0.975::DOUBLE), 1)) AS high FROM r GROUP BY decoding)
+SELECT d.decoding, round(d.d, {_DIGITS}) AS difference, round(low, {_DIGITS}) AS low, round(high, {_DIGITS}) AS high FROM d JOIN i USING (decoding) WHERE d.b = 0"""
+
+
+@register("strategy_intervals", _intervals_sql())
+def q_strategy_intervals(spark, sf_dir):
+    """Difference of mean output words against greedy, with paired bootstrap intervals."""
+    from candor.functions import text as T
+    from candor.operators import bootstrap as B
+    from candor.plans.queries_ext import _long
+
+    rows = _long(spark, sf_dir).select("doc_id", "decoding", T.ws_word_count("output").alias("n"))
+    out = B.paired_intervals(B.replicate_means(rows, ["doc_id"], F.col("n"), replicates=_REPLICATES).checkpoint(eager=True), "greedy")
+    return out.select("decoding", *[F.round(c, _DIGITS).alias(c) for c in ("difference", "low", "high")])
