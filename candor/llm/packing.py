@@ -2,7 +2,7 @@
 
 Packing: every piece goes where the sum, over all residual gaps, of the squared number of open
 bins with that gap becomes smallest (new bins compete with open ones). The state is one count for
-each gap. Pieces are dealt by a hash of their content to shards of about ``SHARD_PIECES`` pieces,
+each gap. Pieces are dealt by row number to shards of about ``SHARD_PIECES`` pieces (repeated rows spread like others),
 each packed on its own, so tasks stay small at any input size. A shard is packed longest piece
 first; then the bins that are not full are emptied and their pieces packed again, in mixed and in
 falling order by turns, while that saves bins.
@@ -158,7 +158,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, doc_id: str
     pieces = C.cut(tokenised_pieces(docs, tokenizer, ranks, pattern, doc_id, text, capacity, with_ids))
     n = pieces.count()
     shards = max(1, round(n / SHARD_PIECES))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
 
     def place(part: pa.Table) -> pa.Table:
         part = part.sort_by([(c, "ascending") for c in ("ids_crc32", "doc_id", "piece")])

@@ -93,3 +93,14 @@ def test_packing_is_close_to_the_bound():
     same = bin_of[order][1:] == bin_of[order][:-1]
     assert (offset[order][1:][same] == ends[:-1][same]).all() and ends.max() <= 1024
     assert bin_of.max() + 1 <= 1.02 * lengths.sum() / 1024
+
+
+def test_repeated_rows_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(K, "SHARD_PIECES", 100)
+    df = spark.createDataFrame([(None, "")] * 800 + [(1, "same text")] * 200, "doc_id LONG, text STRING").repartition(4)
+    rows = K.pack(df, *FILES).collect()
+    check_layout(rows)
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.sequence_id % 10] += 1
+    assert len(rows) == 1000 and len(sizes) == 10 and max(sizes.values()) < 200
