@@ -12,6 +12,7 @@ id, so the model's size is bounded by the number of languages. Prediction reads
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -59,6 +60,7 @@ SCRIPT_RANGES = (
     (0x20000, 0x2FA1F, 14),
 )
 N_SCRIPTS = 15  # 0 stands for all others
+NO_LETTER, MARK = 255, 254  # a mark belongs to the character before it
 
 
 class Alphabet:
@@ -66,7 +68,7 @@ class Alphabet:
 
     def __init__(self) -> None:
         self.known = np.zeros(0x110000, dtype=bool)
-        self.script = np.full(0x110000, 255, dtype=np.uint8)  # 255: not a letter
+        self.script = np.full(0x110000, NO_LETTER, dtype=np.uint8)
         self.lower = np.zeros(0x110000, dtype=np.uint32)
 
     def learn(self, points: np.ndarray) -> None:
@@ -77,6 +79,8 @@ class Alphabet:
             self.lower[c] = ord(low) if len(low) == 1 else c
             if ch.isalpha():
                 self.script[c] = next((s for a, b, s in SCRIPT_RANGES if a <= c <= b), 0)
+            elif unicodedata.category(ch)[0] == "M":
+                self.script[c] = MARK
 
 
 @dataclass
@@ -96,10 +100,14 @@ def find_words(texts: list[str], alphabet: Alphabet) -> Words:
     off = np.cumsum([0, *map(len, texts)])
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     alphabet.learn(points)
-    script = alphabet.script[points]
-    letter = script != 255
     border = np.zeros(len(points) + 1, dtype=bool)
     border[off] = True
+    script = alphabet.script[points]
+    mark = script == MARK
+    if mark.any():
+        script = script[np.maximum.accumulate(np.where(~mark | border[:-1], np.arange(len(points)), 0))]
+        script[script == MARK] = NO_LETTER
+    letter = script != NO_LETTER
     border[1:-1] |= script[1:] != script[:-1]
     starts = np.flatnonzero(letter & border[:-1])
     ends = np.flatnonzero(letter & border[1:]) + 1

@@ -78,3 +78,12 @@ def test_held_out_accuracy_on_the_table(spark):
     pred = L.predict(docs, L.fit(docs)).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
     right, n = pred.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 200 and right > 0.98
+
+
+def test_marks_belong_to_the_letter_before():
+    from candor.llm.langid import Alphabet, find_words
+
+    texts = ["हिन्दी भाषा", "e\u0301te\u0301 x", "\u0301a", "1\u0301 b", "", "காலை"]
+    w = find_words(texts, Alphabet())
+    got = {(t, texts[t][s:e]) for t, s, e in zip(w.text.tolist(), w.start.tolist(), w.end.tolist())}
+    assert got == {(0, "हिन्दी"), (0, "भाषा"), (1, "e\u0301te\u0301"), (1, "x"), (2, "a"), (3, "b"), (5, "காலை")}
