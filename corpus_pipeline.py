@@ -27,25 +27,39 @@ def _sized(spark: SparkSession) -> None:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language; ``lang`` becomes the predicted one."""
+    """Keeps documents with a language; ``lang`` becomes the predicted one.
+
+    NULL and empty texts, texts without a letter, and texts of which no language has the least share of letters have none and go. Whole texts count, however long; a word's
+    tie goes to the language before it, then to the first by name. Repeated rows stay as often as they come, NULL ids and sources stay as they are, an empty table stays empty, and other columns are carried along.
+    """
     _sized(spark)
     return langid.with_language(docs, langid.fit(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays.
+
+    That is the one of the smallest ``doc_id`` (NULL after all others). Texts without words are linked with nothing and stay. Of rows that repeat id and text one
+    stays. An empty table stays empty, and other columns are carried along.
+    """
     _sized(spark)
     return hyperminhash.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data becomes placeholders; ``n_chars`` follows."""
+    """Personal data becomes placeholders; ``n_chars`` follows.
+
+    Every row stays, repeated ones too; NULL and empty texts have nothing to replace. Whole texts are searched. An empty table stays empty, and other columns are carried along.
+    """
     _sized(spark)
     return pii.redact_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces of all documents in sequences of 1024 ids."""
+    """Places of all pieces of all documents in sequences of 1024 ids.
+
+    NULL and empty texts are one end mark. Repeated rows and NULL ids are packed row by row; longer documents are cut; an empty table gives no rows; other columns are left out.
+    """
     _sized(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                         public_tokenizers.PATTERN)
