@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from candor import constants as K
 from candor.functions import text as T
+from candor.plans.joins import MAX_BROADCAST_TOKENS, join_bounded
 from candor.session import ensure_checkpoint_dir
 
 Z_DIGITS = 9
@@ -42,7 +43,7 @@ def train_naive_bayes(texts: DataFrame, label_col: str = "y", text_col: str = "t
 def score_naive_bayes(docs: DataFrame, keys: list[str], weights: DataFrame, prior: float, text_col: str = "text") -> DataFrame:
     """Add ``z``, ``label`` (POSITIVE if z >= 0) and ``score`` (winning-class probability)."""
     toks = docs.select(*keys, F.explode(T.regex_words(text_col)).alias("tok"))
-    sums = toks.join(weights, "tok").groupBy(*keys).agg(F.sum("w").alias("_s"))
+    sums = join_bounded(toks, weights, "tok", max_rows=MAX_BROADCAST_TOKENS).groupBy(*keys).agg(F.sum("w").alias("_s"))
     z = F.round(F.lit(float(prior)) + F.coalesce(F.col("_s"), F.lit(0.0)), Z_DIGITS)
     out = docs.join(sums, keys, "left").withColumn("z", z).drop("_s")
     return out.withColumn(

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candor.functions import text as T
+from candor.plans.joins import join_tokens
+from candor.session import ensure_checkpoint_dir
 
 SENTENCE = r"[^.!?]+[.!?]*"
 SCORE_DIGITS = 9
+COUNTED = " counted"  # holds a space, so no word equals it
 
 
 def _keys(key: str | list[str]) -> list[str]:
@@ -43,17 +46,22 @@ def sentence_scores(docs: DataFrame, key: str | list[str] = "doc_id", text_col:
 
     Only tokens are shuffled, never texts. A document's distinct tokens are taken inside its row, so the document
     frequencies need one aggregate with partial counts and no distinct. Candidates without words carry
-    an empty token of weight 0. The token join is left to the planner (broadcast when small, split when a token is hot).
+    an empty token of weight 0. Frequent tokens meet their weight inside the task (``join_tokens``).
     """
     key = _keys(key)
     rows = docs.select(*key, F.posexplode(sentences(F.col(text_col))).alias("pos", "raw")).where(F.btrim("raw") != "")
     words = rows.select(*key, (F.col("pos") + 1).alias("cand_id"), T.regex_words("raw").alias("w"))
     toks = words.select(*key, "cand_id", F.explode(F.when(F.size("w") == 0, F.array(F.lit(""))).otherwise(F.col("w"))).alias("tok"))
-    dfreq = docs.select(F.explode(F.array_distinct(T.regex_words(T.collapse_ws(text_col)))).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.select(F.count_if(T.collapse_ws(text_col).rlike("[^.!?]"))).scalar()
-    idf = dfreq.select("tok", F.log(n_docs.cast("double") / F.col("df")).alias("idf"))
-    idf = idf.unionByName(docs.sparkSession.createDataFrame([("", 0.0)], "tok STRING, idf DOUBLE"))
-    return toks.join(idf, "tok").groupBy(*key, "cand_id").agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score"))
+    # One pass for document frequencies and the number of texts with candidates, counted as a token that no text has.
+    clean = T.collapse_ws(text_col)
+    marked = F.when(clean.rlike("[^.!?]"), F.array(F.lit(COUNTED))).otherwise(F.array().cast("array<string>"))
+    own = docs.select(F.explode(F.concat(F.array_distinct(T.regex_words(clean)), marked)).alias("tok"))
+    ensure_checkpoint_dir(docs.sparkSession)
+    dfreq = own.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).checkpoint(eager=True)
+    n_docs = dfreq.where(F.col("tok") == COUNTED).agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
+    idf = dfreq.where(F.col("tok") != COUNTED).select("tok", F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf"), "df")
+    idf = idf.unionByName(docs.sparkSession.createDataFrame([("", 0.0, 1)], "tok STRING, idf DOUBLE, df LONG"))
+    return join_tokens(toks, idf, "tok", "df").groupBy(*key, "cand_id").agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score"))
 
 
 def scored_sentences(docs: DataFrame, key: str | list[str] = "doc_id", text_col: str = "text",

@@ -21,3 +21,28 @@ def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner", max_r
     if max_rows is not None and small.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+# Rows of a token and one or two numbers: about 50 MB as a hashed relation.
+MAX_BROADCAST_TOKENS = 500_000
+
+
+def join_tokens(occurrences: DataFrame, table: DataFrame, on: str, count: str, max_rows: int | None = None) -> DataFrame:
+    """Inner join of token occurrences with a materialised table of one row a token.
+
+    A table of at most ``max_rows`` rows is broadcast. Beyond that the most frequent tokens are (those with ``count`` from a power of two on, as many
+    powers as fit), so that a token with a third of all occurrences never makes a partition; only occurrences of the others are shuffled.
+    """
+    limit = MAX_BROADCAST_TOKENS if max_rows is None else max_rows
+    power = F.floor(F.log2(count))
+    sizes = {r["p"]: r["n"] for r in table.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 64 rows at most
+    least, rows = 63, 0
+    while least > 0 and rows + sizes.get(least - 1, 0) <= limit:
+        least -= 1
+        rows += sizes.get(least, 0)
+    if not least:
+        return occurrences.join(F.broadcast(table), on)
+    bound = F.lit(1 << min(least, 62))
+    frequent = F.broadcast(table.where(F.col(count) >= bound))
+    rest = occurrences.join(frequent.select(on), on, "left_anti").join(table.where(F.col(count) < bound), on)
+    return occurrences.join(frequent, on).unionByName(rest)

@@ -370,7 +370,10 @@ padded2 AS (SELECT *, list_concat(input_ids, list_transform(range(batch_width -
 
 @register("vocabulary", f"WITH {_VOCAB_CTE} SELECT tok, cnt, id FROM vocab")
 def q_vocabulary(spark, sf_dir):
-    return _batches(spark, sf_dir)[1]
+    from candor.operators.batches import build_vocabulary
+    from candor.plans.queries import doc_lines
+
+    return build_vocabulary(doc_lines(spark, sf_dir))
 
 
 def _ids_str(c):
