@@ -44,3 +44,13 @@ def test_one_class_no_rows_and_null_labels(spark):
     labels = spark.createDataFrame([("POSITIVE", "NEUTRAL"), (None, None), ("ODD", "ODD")], "label STRING, neutralized STRING")
     r = label_distribution(labels).first()
     assert (r.n, r.raw_pos, r.neu, r.unknown_labels) == (3, 1, 1, 2)
+
+
+def test_token_joins_are_whole_beyond_the_broadcast_bound(spark):
+    from candor.plans.joins import join_tokens
+
+    table = spark.createDataFrame([(f"w{i}", i, 1.0 * i) for i in range(1, 60)], "tok STRING, n LONG, w DOUBLE").checkpoint()
+    seen = spark.createDataFrame([(k, f"w{(k * 7) % 70}") for k in range(300)], "k INT, tok STRING")
+    want = sorted(map(str, seen.join(table, "tok").select("k", "tok", "n", "w").collect()))
+    for bound in (1000, 40, 3, 0):
+        assert sorted(map(str, join_tokens(seen, table, "tok", "n", bound).select("k", "tok", "n", "w").collect())) == want
