@@ -325,3 +325,54 @@ def q_strategy_intervals(spark, sf_dir):
     rows = _long(spark, sf_dir).select("doc_id", "decoding", T.ws_word_count("output").alias("n"))
     out = B.paired_intervals(B.replicate_means(rows, ["doc_id"], F.col("n"), replicates=_REPLICATES).checkpoint(eager=True), "greedy")
     return out.select("decoding", *[F.round(c, _DIGITS).alias(c) for c in ("difference", "low", "high")])
+
+
+# =============================================================================================
+# Learned sentence bounds
+# =============================================================================================
+
+def _bounds_sql() -> str:
+    from candor.operators import sentence_bounds as B
+
+    core = lambda x: f"regexp_replace(regexp_replace(lower({x}), {O.S(B.OPENING)}, ''), {O.S(B.CLOSING)}, '')"
+    dotted = lambda c: f"regexp_matches({c}, '[^.]\\.$')"
+    typed = lambda c: f"CASE WHEN {dotted(c)} THEN left({c}, length({c}) - 1) ELSE {c} END"
+    part = lambda seen, product: f"CASE WHEN {seen} > 0 THEN {seen} * ln({seen} * total / ({product})) ELSE 0 END"
+
+    def ratio(both, a, b):
+        cells = [(both, f"({a}) * ({b})"), (f"(({a}) - ({both}))", f"({a}) * (total - ({b}))"), (f"(({b}) - ({both}))", f"(total - ({a})) * ({b})"),
+                 (f"(total - ({a}) - ({b}) + ({both}))", f"(total - ({a})) * (total - ({b}))")]
+        return "2 * (" + " + ".join(part(*c) for c in cells) + ")"
+
+    letters = "length(replace(t, '.', ''))"
+    return f"""WITH bd AS (SELECT doc_id, {O.ws_tokens('text')} AS ts FROM documents),
+be AS (SELECT doc_id, unnest(ts) AS x, unnest(list_concat(ts[2:], [NULL])) AS y FROM bd WHERE len(ts) > 0),
+bc AS (SELECT doc_id, {core('x')} AS c, y FROM be),
+bt AS MATERIALIZED (SELECT doc_id, c, y, {dotted('c')} AS dot, regexp_matches(c, '([!?]|\\.\\.)$') AS fin, {typed('c')} AS t FROM bc),
+types AS MATERIALIZED (SELECT t, count(*) FILTER (dot) AS c1, count(*) FILTER (NOT dot) AS c0 FROM bt GROUP BY t),
+tot AS (SELECT least(greatest(sum(c1)::DOUBLE / sum(c1 + c0)::DOUBLE, 1e-9::DOUBLE), 1 - 1e-9::DOUBLE) AS p FROM types),
+abbr AS MATERIALIZED (SELECT t FROM types, tot WHERE c1 > 0 AND {letters} > 0 AND regexp_matches(t, '\\p{{L}}') AND NOT regexp_matches(t, '[!?]')
+  AND -2 * (c1 * ln(p) + c0 * ln(1 - p) - c1 * ln(0.99::DOUBLE) - c0 * ln(0.01::DOUBLE)) * exp(-{letters}) * (length(t) - {letters} + 1) * pow({letters}::DOUBLE, -c0::DOUBLE) >= {B.ABBREVIATION}::DOUBLE),
+mk0 AS (SELECT bt.t, {core('y')} AS yc, dot, fin OR (dot AND abbr.t IS NULL) AS ends, dot AND abbr.t IS NULL AND regexp_matches(bt.t, {O.S(B.SHORT)}) AS short
+  FROM bt LEFT JOIN abbr ON abbr.t = bt.t WHERE y IS NOT NULL),
+mk AS MATERIALIZED (SELECT t, {typed('yc')} AS w, ends, short FROM mk0),
+words AS MATERIALIZED (SELECT w, count(*) AS n, count(*) FILTER (ends) AS k FROM mk GROUP BY w),
+all_ AS (SELECT sum(n)::DOUBLE AS total, sum(k)::DOUBLE AS breaks FROM words),
+starters AS MATERIALIZED (SELECT w FROM words, all_ WHERE k * total > n * breaks AND regexp_matches(w, '\\p{{L}}') AND {ratio('k', 'n', 'breaks')} >= {B.STARTER}::DOUBLE),
+prs AS (SELECT t, w, count(*) AS joint FROM mk WHERE short GROUP BY ALL HAVING count(*) > 1),
+tied AS MATERIALIZED (SELECT t, w FROM (SELECT prs.t, prs.w, joint, c1, n, total FROM prs JOIN types USING (t) JOIN words USING (w), all_)
+  WHERE joint * total > c1 * n AND {ratio('joint', 'c1', 'n')} >= {B.COLLOCATION}::DOUBLE),
+en0 AS (SELECT doc_id, t, dot, {core('y')} AS yc, regexp_matches(regexp_replace(y, {O.S(B.OPENING)}, ''), '^\\p{{Lu}}') AS capital FROM bt WHERE y IS NOT NULL AND (dot OR fin)),
+en AS (SELECT doc_id, t, dot, {typed('yc')} AS w, capital FROM en0),
+ju AS (SELECT doc_id, dot AND CASE WHEN abbr.t IS NOT NULL THEN NOT (starters.w IS NOT NULL AND capital) ELSE tied.t IS NOT NULL END AS inside
+  FROM en LEFT JOIN abbr ON abbr.t = en.t LEFT JOIN starters ON starters.w = en.w LEFT JOIN tied ON tied.t = en.t AND tied.w = en.w),
+sm AS (SELECT doc_id, count(*) FILTER (NOT inside) AS ends, count(*) FILTER (inside) AS inner_ FROM ju GROUP BY doc_id)
+SELECT doc_id, CASE WHEN len(ts) > 0 THEN coalesce(ends, 0) + 1 ELSE 0 END AS n_sentences, coalesce(inner_, 0) AS n_inner_periods FROM bd LEFT JOIN sm USING (doc_id)"""
+
+
+@register("sentence_bounds", _bounds_sql())
+def q_sentence_bounds(spark, sf_dir):
+    from candor.operators.sentence_bounds import count_sentences, learn
+
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_sentences(docs, ["doc_id"], learn(docs))
