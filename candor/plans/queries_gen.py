@@ -81,11 +81,11 @@ def q_text_perplexity(spark, sf_dir):
 
 @register("beam_generation")
 def q_beam_generation(spark, sf_dir):
-    """Every user turn continued by at most 20 words under greedy, beam, guarded beam and sampling decoding; tests hold the plain search."""
+    """Every user turn continued by 8 to 20 words (or the strategy's own least) under greedy, beam, guarded beam and sampling decoding; tests hold the plain search."""
     from candor.operators.generate import generate
 
     prompts = load_table(spark, sf_dir, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")
-    rows = [{**r, "max_length": 20} for r in strategy_rows(["greedy", "beam", "summary_beam", "summary_sampling"])]
+    rows = [{**r, "max_length": 20, "min_length": r["min_length"] or 8} for r in strategy_rows(["greedy", "beam", "summary_beam", "summary_sampling"])]
     return generate(prompts, ["conv_id", "turn"], _model(spark, sf_dir), rows)
 
 
