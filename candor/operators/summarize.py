@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candor.functions import text as T
-from candor.plans.joins import join_tokens
+from candor.plans.joins import token_sums
 from candor.session import ensure_checkpoint_dir
 
 SENTENCE = r"[^.!?]+[.!?]*"
@@ -46,7 +46,7 @@ def sentence_scores(docs: DataFrame, key: str | list[str] = "doc_id", text_col:
 
     Only tokens are shuffled, never texts. A document's distinct tokens are taken inside its row, so the document
     frequencies need one aggregate with partial counts and no distinct. Candidates without words carry
-    an empty token of weight 0. Frequent tokens meet their weight inside the task (``join_tokens``).
+    an empty token of weight 0, always among the frequent ones. Frequent tokens meet their weight inside the task (``token_sums``).
     """
     key = _keys(key)
     rows = docs.select(*key, F.posexplode(sentences(F.col(text_col))).alias("pos", "raw")).where(F.btrim("raw") != "")
@@ -60,8 +60,9 @@ def sentence_scores(docs: DataFrame, key: str | list[str] = "doc_id", text_col:
     dfreq = own.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).checkpoint(eager=True)
     n_docs = dfreq.where(F.col("tok") == COUNTED).agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
     idf = dfreq.where(F.col("tok") != COUNTED).select("tok", F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf"), "df")
-    idf = idf.unionByName(docs.sparkSession.createDataFrame([("", 0.0, 1)], "tok STRING, idf DOUBLE, df LONG"))
-    return join_tokens(toks, idf, "tok", "df").groupBy(*key, "cand_id").agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score"))
+    idf = idf.unionByName(docs.sparkSession.createDataFrame([("", 0.0, 1 << 40)], "tok STRING, idf DOUBLE, df LONG"))
+    sums = token_sums(toks, idf, [*key, "cand_id"], "tok", "idf", "df")
+    return sums.select(*key, "cand_id", F.round(F.col("total") / F.col("n"), SCORE_DIGITS).alias("score"))
 
 
 def scored_sentences(docs: DataFrame, key: str | list[str] = "doc_id", text_col: str = "text",

@@ -3,6 +3,8 @@
 import math
 import re
 
+from pyspark.sql import functions as F
+
 from candor.operators.classify import neutralize, score_naive_bayes, train_naive_bayes
 
 WORD = re.compile(r"[\w'-]*\w[\w'-]*")
@@ -54,3 +56,22 @@ def test_token_joins_are_whole_beyond_the_broadcast_bound(spark):
     want = sorted(map(str, seen.join(table, "tok").select("k", "tok", "n", "w").collect()))
     for bound in (1000, 40, 3, 0):
         assert sorted(map(str, join_tokens(seen, table, "tok", "n", bound).select("k", "tok", "n", "w").collect())) == want
+
+
+def test_token_sums_reads_occurrences_once(spark):
+    from candor.plans.joins import token_sums
+
+    table = spark.createDataFrame([(f"w{i}", i, 1.0 * i) for i in range(1, 60)], "tok STRING, n LONG, w DOUBLE").checkpoint()
+    made = spark.sparkContext.accumulator(0)
+
+    def token(k):
+        made.add(1)
+        return f"w{(k * 7) % 70}" if k % 50 else None
+
+    rows = spark.range(300).select(F.when(F.col("id") % 11 > 0, F.col("id") % 11).alias("k"), F.udf(token, "string").asNondeterministic()("id").alias("tok"))
+    want = {r.k: (r.t, r.n) for r in rows.join(table, "tok").groupBy("k").agg(F.sum("w").alias("t"), F.count("w").alias("n")).collect()}
+    for bound in (1000, 40, 3, 0):
+        before = made.value
+        got = token_sums(rows, table, ["k"], "tok", "w", "n", bound).collect()
+        assert made.value - before == 300
+        assert len(got) == len(want) and {r.k: (r.total, r.n) for r in got} == want
