@@ -1,9 +1,9 @@
 """Word substitutions learned from text pairs: IBM model 1 (Brown et al. 1993) by expectation maximisation on tables.
 
-A pair is a source text and its simpler, or answering, target text. Of every pair the distinct (source word, target word) combinations carry the product of their
-counts; they are made inside the row. An iteration joins them with the current probabilities, shares each target word among the source words of its
-pair (one aggregate by pair and target word), and adds the shares up (one aggregate by word pair, one by source word), each summed inside tasks first. A
-word's substitutes are normalised from sums; its word pairs are never gathered.
+A pair is a source text and its simpler, or answering, target text. Words and pairs get numbers first, so that what an iteration moves is a few numbers a
+(pair, source word, target word). An iteration joins them with the current probabilities, shares each target word among the source words of its
+pair (a window by pair and target word), and adds the shares and the likelihood up (one aggregate by word pair, one by source word), each summed inside tasks
+first. Tables between iterations are kept as compressed columns. A word's substitutes are normalised from sums; its word pairs are never gathered.
 """
 
 from __future__ import annotations
@@ -12,22 +12,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candor.functions import text as T
-from candor.session import ensure_checkpoint_dir
+from candor.plans.joins import MAX_BROADCAST_TOKENS, join_bounded
+from candor.session import kept
 
 ITERATIONS = 5
 NULL_WORD = ""  # a source word that every pair has: target words of no particular origin
 
 
-def word_pairs(pairs: DataFrame, keys: list[str], source_col: str, target_col: str) -> DataFrame:
-    """``keys, s, t, n_s, n_t`` of every pair; pairs with a NULL or wordless side have none. The empty source word stands once in each pair."""
-    words = pairs.select(*keys, T.regex_words(source_col).alias("_s"), T.regex_words(target_col).alias("_t")).where((F.size("_s") > 0) & (F.size("_t") > 0))
+def _numbered(pairs: DataFrame, keys: list[str], source_col: str, target_col: str) -> tuple[DataFrame, DataFrame]:
+    """``vocabulary(word, id)`` and ``seen(pair, s, t, n_s, n_t)`` with numbers for keys and words; a repeated key is one ``pair``, one with a NULL has none."""
+    rows = pairs.select(*keys, T.regex_words(source_col).alias("_s"), T.regex_words(target_col).alias("_t")).where((F.size("_s") > 0) & (F.size("_t") > 0))
+    rows = kept(rows.withColumn("row", F.monotonically_increasing_id()))
+    named = rows.groupBy(*keys).agg(F.min("row").alias("pair"))
+    own = rows.select(*keys, "row").join(named, keys, "left").select("row", "pair")
 
-    def counted(name: str):
-        return F.transform(F.array_distinct(name), lambda w: F.struct(w.alias("w"), F.size(F.filter(name, lambda x: x == w)).alias("n")))
+    def counted(words):
+        return rows.select("row", F.explode(words).alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).cast("int").alias("n"))
 
-    sides = words.select(*keys, F.array_append(counted("_s"), F.struct(F.lit(NULL_WORD).alias("w"), F.lit(1).alias("n"))).alias("_s"), counted("_t").alias("_t"))
-    left = sides.select(*keys, F.explode("_s").alias("s"), "_t")
-    return left.select(*keys, "s", F.explode("_t").alias("t")).select(*keys, F.col("s.w").alias("s"), F.col("t.w").alias("t"), F.col("s.n").alias("n_s"), F.col("t.n").alias("n_t"))
+    sides = kept(counted(F.array_append("_s", F.lit(NULL_WORD))).withColumn("source", F.lit(True)).unionByName(counted(F.col("_t")).withColumn("source", F.lit(False))))
+    vocabulary = kept(sides.select("word").distinct().withColumn("id", F.monotonically_increasing_id()))
+    known = join_bounded(sides, vocabulary, "word", max_rows=MAX_BROADCAST_TOKENS)
+    left = known.where("source").join(own, "row").select("row", "pair", F.col("id").alias("s"), F.col("n").alias("n_s"))
+    right = known.where("not source").select("row", F.col("id").alias("t"), F.col("n").alias("n_t"))
+    return vocabulary, kept(left.join(right, "row").select("pair", "s", "t", "n_s", "n_t"))
 
 
 def train(pairs: DataFrame, keys: list[str], source_col: str, target_col: str, iterations: int = ITERATIONS) -> tuple[DataFrame, list[float]]:
@@ -35,24 +42,27 @@ def train(pairs: DataFrame, keys: list[str], source_col: str, target_col: str, i
 
     Starts from equal shares. ``keys`` must be unique. Without pairs the table is empty and all likelihoods are 0.
     """
-    ensure_checkpoint_dir(pairs.sparkSession)
-    seen = word_pairs(pairs, keys, source_col, target_col).checkpoint(eager=True)
-    table = seen.groupBy("s", "t").agg(F.lit(1.0).alias("p"))
-    share = table.groupBy("s").agg(F.count(F.lit(1)).alias("_n"))
-    table = table.join(share, "s").select("s", "t", (F.lit(1.0) / F.col("_n")).alias("p")).checkpoint(eager=True)
+    vocabulary, seen = _numbered(pairs, keys, source_col, target_col)
+    table = seen.select("s", "t").distinct()
+    table = kept(table.join(table.groupBy("s").agg(F.count(F.lit(1)).alias("_n")), "s").select("s", "t", (F.lit(1.0) / F.col("_n")).alias("p")))
     likelihood = []
+    of = Window.partitionBy("pair", "t")  # the source words of one pair
     for step in range(iterations + 1):
-        known = seen.join(table, ["s", "t"])
-        total = known.groupBy(*keys, "t").agg(F.sum(F.col("n_s") * F.col("p")).alias("z"), F.first("n_t").alias("n_t"), F.sum("n_s").alias("length"))
-        total = total.checkpoint(eager=True)
-        likelihood.append(total.agg(F.sum(F.col("n_t") * F.log(F.col("z") / F.col("length")))).first()[0])
+        shared = seen.join(table, ["s", "t"]).withColumns({"z": F.sum(F.col("n_s") * F.col("p")).over(of), "length": F.sum("n_s").over(of), "_k": F.count(F.lit(1)).over(of)})
         # A pair's source length counts the words that stand with the target word: all of them.
+        part = F.sum(F.col("n_t") * F.log(F.col("z") / F.col("length")) / F.col("_k"))
         if step == iterations:
+            likelihood.append(shared.agg(part).first()[0])
             break
-        given = known.join(total.select(*keys, "t", "z"), [*keys, "t"]).groupBy("s", "t").agg(F.sum(F.col("n_t") * F.col("n_s") * F.col("p") / F.col("z")).alias("c"))
-        given = given.checkpoint(eager=True)
-        table = given.join(given.groupBy("s").agg(F.sum("c").alias("_c")), "s").select("s", "t", (F.col("c") / F.col("_c")).alias("p")).checkpoint(eager=True)
-    return table, [x or 0.0 for x in likelihood]
+        share = F.when(F.col("pair").isNotNull(), F.col("p") * F.col("n_t") * F.col("n_s") / F.col("z"))
+        given = kept(shared.groupBy("s", "t").agg(F.sum(share).alias("c"), part.alias("_l")))
+        likelihood.append(given.agg(F.sum("_l")).first()[0])
+        given = given.where("c is not null")
+        sums = given.groupBy("s").agg(F.sum("c").alias("_c"))
+        table = kept(join_bounded(given, sums, "s", max_rows=MAX_BROADCAST_TOKENS).select("s", "t", (F.col("c") / F.col("_c")).alias("p")))
+    for c in ("s", "t"):
+        table = join_bounded(table, vocabulary.select(F.col("id").alias(c), F.col("word").alias(f"_{c}")), c, max_rows=MAX_BROADCAST_TOKENS)
+    return table.select(F.col("_s").alias("s"), F.col("_t").alias("t"), "p"), [x or 0.0 for x in likelihood]
 
 
 def substitutions(table: DataFrame, texts: DataFrame, least: float = 0.3, text_col: str = "text") -> DataFrame:
