@@ -1,7 +1,7 @@
 """Uncertainty of strategy differences by a Poisson bootstrap (Chamandy et al. 2012).
 
 Each input row gets a Poisson(1) weight for each replicate, drawn from a hash of seed, key and replicate: rows of one input under different strategies share their
-weights, so differences are paired, and no partitioning changes a draw. A replicate's weighted mean is two sums, merged inside tasks: one row a strategy and replicate.
+weights, so differences are paired and a weight is drawn once an input, and no partitioning changes a draw. A replicate's weighted mean is two sums, merged inside tasks: one row a strategy and replicate.
 """
 
 from __future__ import annotations
@@ -20,18 +20,21 @@ CUMULATIVE = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.981
 
 def poisson(u: Column) -> Column:
     """The Poisson(1) weight of a uniform number."""
-    out = F.lit(0)
-    for c in CUMULATIVE:
-        out = out + F.when(u >= F.lit(c), 1).otherwise(0)
-    return out
+    out = F.when(u < F.lit(CUMULATIVE[0]), 0)
+    for i, c in enumerate(CUMULATIVE[1:], 1):
+        out = out.when(u < F.lit(c), i)
+    return out.otherwise(len(CUMULATIVE))
 
 
 def replicate_means(rows: DataFrame, keys: list[str], value: Column, group: str = "decoding", replicates: int = REPLICATES, seed: int = K.DEFAULT_SEED) -> DataFrame:
     """``group, replicate, n, mean`` of ``value``; replicate 0 is the data itself. Rows with a NULL value are left out; a replicate without weight has a NULL mean."""
     own = rows.select(F.col(group).alias("_g"), *keys, value.cast("double").alias("_v")).where("_v is not null")
-    each = own.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    weight = F.when(F.col("replicate") == 0, 1).otherwise(poisson(uniform(seed, *keys, F.col("replicate"))))
-    sums = each.withColumn("_w", weight).groupBy("_g", "replicate").agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_v")).alias("_s"))
+    per = own.groupBy(*keys, "_g").agg(F.sum("_v").alias("_v"), F.count(F.lit(1)).alias("_n"))
+    inputs = per.groupBy(*keys).agg(F.collect_list(F.struct("_g", "_v", "_n")).alias("_of"))  # one entry a strategy
+    drawn = inputs.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates)))).withColumn("_u", uniform(seed, *keys, F.col("replicate")))
+    weight = F.when(F.col("replicate") == 0, 1).otherwise(poisson(F.col("_u")))
+    each = drawn.select("replicate", "_of", weight.alias("_w")).select("replicate", "_w", F.inline("_of"))
+    sums = each.groupBy("_g", "replicate").agg(F.sum(F.col("_w") * F.col("_n")).alias("n"), F.sum(F.col("_w") * F.col("_v")).alias("_s"))
     return sums.select(F.col("_g").alias(group), "replicate", "n", F.try_divide("_s", "n").alias("mean"))
 
 
