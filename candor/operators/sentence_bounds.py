@@ -10,7 +10,8 @@ Tokens are runs without white space; a token's type is its lower-case core witho
 A token ends a sentence if it ends with ``!``, ``?`` or several periods, or with one period unless its type is an abbreviation not followed by a capitalised
 starter, or the pair is a collocation. The first and last forms of ``functions.text`` stay as they are; this is a further way to count.
 
-Counts are summed inside tasks; only tokens with a terminator are looked up.
+Texts are read twice: once to count distinct tokens and what follows a terminator, once to judge. Counts are summed inside tasks, rules applied to distinct
+tokens; only tokens with a terminator are looked up.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from candor.functions import text as T
 from candor.plans.joins import MAX_BROADCAST_TOKENS, join_bounded
-from candor.session import ensure_checkpoint_dir
+from candor.session import ensure_checkpoint_dir, kept
 
 ABBREVIATION, STARTER, COLLOCATION = 0.3, 30.0, 7.88
 OPENING, CLOSING = r"^[\"'(\[{“‘„«]+", r"[\"')\]}”’»,;:]+$"
@@ -57,12 +58,24 @@ def ratio(both: Column, first: Column, second: Column, total: float) -> Column:
     return 2.0 * out
 
 
-def _tokens(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``keys, pos, c, after``: each token's core, and the token after it (NULL at the end)."""
+MARK = r"[.!?]"  # a token without one neither has a final period nor ends a sentence
+
+
+def _followed(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``keys, x, after``: tokens with a mark that stand before another token, and that token."""
     words = texts.select(*keys, T.ws_tokens(text_col).alias("_t"))
-    pairs = F.arrays_zip(F.col("_t").alias("x"), F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))).alias("y"))
-    each = words.where(F.size("_t") > 0).select(*keys, F.posexplode(pairs).alias("pos", "_p"))
-    return each.select(*keys, "pos", core(F.col("_p.x")).alias("c"), F.col("_p.y").alias("after"))
+    pairs = F.arrays_zip(F.col("_t").alias("x"), F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))).alias("after"))
+    each = words.where(F.size("_t") > 1).select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.*")
+    return each.where(F.col("x").rlike(MARK) & F.col("after").isNotNull())
+
+
+def _counted(texts: DataFrame, text_col: str) -> DataFrame:
+    """``before, follows, y, n``: how often the token ``y`` stands after ``before``, which is NULL unless it has a mark, or (not ``follows``) first in a text."""
+    words = texts.select(T.ws_tokens(text_col).alias("_t")).where(F.size("_t") > 0)
+    none = F.array(F.lit(None).cast("string"))
+    pairs = F.arrays_zip(F.concat(none, F.slice("_t", 1, F.size("_t") - 1)).alias("x"), F.col("_t").alias("y"))
+    each = words.select(F.explode(pairs).alias("_p")).select("_p.*")
+    return each.groupBy(F.when(F.col("x").rlike(MARK), F.col("x")).alias("before"), F.col("x").isNotNull().alias("follows"), "y").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass
@@ -77,8 +90,10 @@ class Bounds:
 def learn(texts: DataFrame, text_col: str = "text") -> Bounds:
     """The three tables of all texts; NULL and blank texts have no tokens, and no text at all gives empty tables."""
     ensure_checkpoint_dir(texts.sparkSession)
-    seen = _tokens(texts, [], text_col).withColumns({"t": type_of(F.col("c")), "dot": dotted(F.col("c"))})
-    types = seen.groupBy("t").agg(F.count_if("dot").alias("c1"), F.count_if(~F.col("dot")).alias("c0")).checkpoint(eager=True)
+    counts = kept(_counted(texts, text_col))  # rules of a token are applied to distinct ones, with their numbers
+    seen = counts.groupBy("y").agg(F.sum("n").alias("n")).select(core(F.col("y")).alias("c"), "n").withColumns({"t": type_of(F.col("c")), "dot": dotted(F.col("c"))})
+    zero = F.lit(0).cast("long")
+    types = seen.groupBy("t").agg(F.sum(F.when(F.col("dot"), F.col("n")).otherwise(zero)).alias("c1"), F.sum(F.when(F.col("dot"), zero).otherwise(F.col("n"))).alias("c0")).checkpoint(eager=True)
     n, periods = types.agg(F.coalesce(F.sum(F.col("c1") + F.col("c0")), F.lit(0)), F.coalesce(F.sum("c1"), F.lit(0))).first()
     n, share = float(n), min(max(periods / n if n else 0.5, 1e-9), 1 - 1e-9)
     letters = F.char_length(F.replace("t", F.lit("."), F.lit("")))
@@ -87,16 +102,18 @@ def learn(texts: DataFrame, text_col: str = "text") -> Bounds:
     score = log_ratio * F.exp(-letters) * dots * F.pow(letters.cast("double"), -F.col("c0").cast("double"))
     abbreviations = types.where((F.col("c1") > 0) & (letters > 0) & F.col("t").rlike(r"\p{L}") & ~F.col("t").rlike(r"[!?]") & (score >= ABBREVIATION)).select("t").checkpoint(eager=True)
 
-    known = join_bounded(seen.where("after is not null"), abbreviations.withColumn("abbr", F.lit(True)), "t", "left", MAX_BROADCAST_TOKENS)
-    marked = known.select("t", type_of(core(F.col("after"))).alias("w"), "dot", (finished(F.col("c")) | (F.col("dot") & F.col("abbr").isNull())).alias("ends"),
-                          (F.col("dot") & F.col("abbr").isNull() & F.col("t").rlike(SHORT)).alias("short"))
-    words = marked.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count_if("ends").alias("k")).checkpoint(eager=True)
+    after = counts.where("follows").select("before", core(F.col("y")).alias("yc"), "n").select("before", type_of(F.col("yc")).alias("w"), "n")
+    cores = after.withColumn("c", core(F.col("before"))).withColumns({"t": type_of(F.col("c")), "dot": F.coalesce(dotted(F.col("c")), F.lit(False)), "fin": F.coalesce(finished(F.col("c")), F.lit(False))})
+    known = join_bounded(cores, abbreviations.withColumn("abbr", F.lit(True)), "t", "left", MAX_BROADCAST_TOKENS)
+    single = F.col("dot") & F.col("abbr").isNull()
+    marked = known.select("t", "w", "n", (F.col("fin") | single).alias("ends"), (single & F.col("t").rlike(SHORT)).alias("short"))
+    words = marked.groupBy("w").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(zero)).alias("k"), F.sum("n").alias("n")).select("w", "n", "k").checkpoint(eager=True)
     total, breaks = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
     total, breaks = float(total), float(breaks)
     often = F.col("k") * F.lit(total) > F.col("n") * F.lit(breaks)
     starters = words.where(often & F.col("w").rlike(r"\p{L}") & (ratio(F.col("k"), F.col("n"), F.lit(breaks), total) >= STARTER)).select("w").checkpoint(eager=True)
 
-    pairs = marked.where("short").groupBy("t", "w").agg(F.count(F.lit(1)).alias("both")).where("both > 1")
+    pairs = marked.where("short").groupBy("t", "w").agg(F.sum("n").alias("both")).where("both > 1")
     own = types.select("t", F.col("c1").alias("first"))
     counted = pairs.join(own, "t").join(words.select("w", F.col("n").alias("second")), "w")
     strong = F.col("both") * F.lit(total) > F.col("first") * F.col("second")
@@ -109,9 +126,10 @@ def count_sentences(texts: DataFrame, keys: list[str], bounds: Bounds, text_col:
 
     ``keys`` must be unique. NULL and blank texts have 0 of both.
     """
-    ended = _tokens(texts, keys, text_col).where("after is not null").where(dotted(F.col("c")) | finished(F.col("c")))
+    ended = _followed(texts, keys, text_col).withColumn("c", core(F.col("x"))).where(dotted(F.col("c")) | finished(F.col("c")))
+    ended = ended.withColumn("yc", core(F.col("after")))
     first = F.regexp_replace("after", OPENING, "")
-    marked = ended.select(*keys, type_of(F.col("c")).alias("t"), type_of(core(F.col("after"))).alias("w"), dotted(F.col("c")).alias("dot"), first.rlike(r"^\p{Lu}").alias("capital"))
+    marked = ended.select(*keys, type_of(F.col("c")).alias("t"), type_of(F.col("yc")).alias("w"), dotted(F.col("c")).alias("dot"), first.rlike(r"^\p{Lu}").alias("capital"))
     for table, on, name in ((bounds.abbreviations, "t", "abbr"), (bounds.starters, "w", "start"), (bounds.collocations, ["t", "w"], "tied")):
         marked = join_bounded(marked, table.withColumn(name, F.lit(True)), on, "left", MAX_BROADCAST_TOKENS)
     inner = F.col("dot") & F.when(F.col("abbr").isNotNull(), ~(F.col("start").isNotNull() & F.col("capital"))).otherwise(F.col("tied").isNotNull())
