@@ -133,11 +133,21 @@ def _regex_quote(s: str) -> str:
     return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in s)
 
 
+def reasons(df: DataFrame, text_col: str = "output", keys: list[str] | None = None, group: str = "decoding", keep_text: bool = True) -> DataFrame:
+    """Every row's failure reason; without the text where only the reason is wanted."""
+    v = R.validate_df(df.select(*(keys or []), group, text_col), "failure_reason", text_col, notes="reason").drop("passed")
+    return v if keep_text else v.drop(text_col)
+
+
+def failing(df: DataFrame) -> DataFrame:
+    """Rows of ``reasons`` whose reason is not "passes"."""
+    return df.where(F.col("reason") != K.REASON_NONE)
+
+
 def failures_listed(df: DataFrame, text_col: str = "output", keys: list[str] | None = None,
                     group: str = "decoding") -> DataFrame:
     """Rows whose failure reason is not "passes", with the reason; keyed by the input ordinal."""
-    v = R.validate_df(df.select(*(keys or []), group, text_col), "failure_reason", text_col, notes="reason")
-    return v.drop("passed").where(F.col("reason") != K.REASON_NONE)
+    return failing(reasons(df, text_col, keys, group))
 
 
 def all_passed_strategies(strategies: DataFrame, failures: DataFrame, group: str = "decoding") -> DataFrame:

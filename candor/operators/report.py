@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from candor import constants as K
 from candor.functions import text as T
 from candor.plans.ordinals import global_row_number
+from candor.session import ensure_checkpoint_dir
 
 
 def number_within(df: DataFrame, group: list[str], order: list[str], name: str = "ord") -> DataFrame:
     """``name``: the 1-based position of a row in its group under ``order`` (with ``group``, unique).
 
     Rows are numbered over the whole table in range partitions; a group's first number is taken off. So a group that
-    holds most of the rows is spread over many tasks.
+    holds most of the rows is spread over many tasks. ``df`` is made once, for the sample of the ranges and for the sort.
     """
-    numbered = global_row_number(df, [F.col(c).asc() for c in [*group, *order]], "_rn")
+    ensure_checkpoint_dir(df.sparkSession)
+    numbered = global_row_number(df.checkpoint(eager=True), [F.col(c).asc() for c in [*group, *order]], "_rn")
     first = numbered.groupBy(*group).agg(F.min("_rn").alias("_first"))
     return numbered.join(first, group).withColumn(name, F.col("_rn") - F.col("_first") + 1).drop("_rn", "_first")
 

@@ -665,7 +665,9 @@ SELECT doc_id, decoding, ord, printf('%02d. %s', ord, reason) AS line FROM r WHE
 def q_failures_numbered(spark, sf_dir):
     from candor.operators.report import number_within
 
-    listed = M.failures_listed(number_within(_long(spark, sf_dir), ["decoding"], ["doc_id"]), keys=["doc_id", "ord"])
+    # Reasons are found before rows are numbered, so that no text is sorted or kept.
+    judged = M.reasons(_long(spark, sf_dir), keys=["doc_id"], keep_text=False)
+    listed = M.failing(number_within(judged, ["decoding"], ["doc_id"]))
     return listed.select("doc_id", "decoding", "ord", F.format_string("%02d. %s", "ord", "reason").alias("line"))
 
 
