@@ -37,6 +37,7 @@ def assign(df: DataFrame, keys: list[str], length_col: str, max_length: int, buc
     """
     ensure_checkpoint_dir(df.sparkSession)
     own = df.where(F.col(length_col).isNotNull()).select(*keys, F.least(F.greatest(F.col(length_col), F.lit(0)), F.lit(max_length)).cast("int").alias("length"))
+    own = own.checkpoint(eager=True)  # keys and a number: texts are counted once, not for each of the passes below
     table = bucket_table(own, "length", max_length, buckets).checkpoint(eager=True)
     placed = own.join(F.broadcast(table), "length").withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])))
     order = [F.col("bucket").asc(), F.col("_h").asc(), *[F.col(k).asc() for k in keys]]
