@@ -4,8 +4,10 @@ A text becomes marked words: a space is written as the mark, one mark is put in
 split before every run of marks. No piece has a mark after another character (checked when the model is
 loaded), so the best segmentation of a text is that of its words, one by one.
 
-The distinct marked words of a chunk are sorted, which is a depth-first walk of their trie: a word shares
-the forward scores of the prefix that it has in common with the word before, and only the rest is computed.
+A task keeps the ids of the words it has met, at most ``KEPT_WORDS`` of them between chunks. The distinct marked words
+that a chunk adds are sorted, which is a depth-first walk of their trie: a word shares the forward scores of the prefix that
+it has in common with the word before, and only the rest is computed. Each position carries the longest end of its prefix that begins
+a piece; that end names all pieces that end there, which are looked up once for it.
 The forward score of a position is the best, over pieces that end there, of the score before the piece
 plus the piece's score; equal scores prefer the longer last piece. A character that no piece covers costs
 the lowest piece score less ``UNKNOWN_COST`` and is written as its UTF-8 bytes.
@@ -16,13 +18,13 @@ pairs greedily instead; its n-best search, with the type set to unigram, finds t
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from os.path import commonprefix
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,8 +33,36 @@ from candor.llm import common as C
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
-WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 CHUNK_CHARS = 8 * C.CHUNK
+KEPT_WORDS = 1 << 19
+KEPT_ENDS = 1 << 20
+
+
+def marked_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The marked words of all texts, less the mark that each has in front and with spaces for further ones; where each text's begin, and their number."""
+    rows = pa.array([t or None for t in texts], pa.large_string())
+    space = " "
+    if any(MARK in t or "  " in t or t.startswith(" ") for t in texts):
+        # Of a run of marks, the first parts two words; a text without marks has none left to be taken for it.
+        rows, space = pc.replace_substring_regex(pc.replace_substring(rows, MARK, " "), "([^ ]) ( *)", rf"\1{MARK}\2"), MARK
+    parts = pc.split_pattern(rows, space)
+    return parts.flatten(), np.cumsum([0, *pc.fill_null(pc.list_value_length(parts), 0).to_pylist()])
+
+
+class End(dict):
+    """The longest end of a prefix that begins a piece, as a table from the next character to the end that follows, filled when first asked.
+
+    ``pieces`` are those that it ends in, short ones first: score, and length and id.
+    """
+
+    __slots__ = ("of", "word", "pieces")
+
+    def __init__(self, of: Pieces, word: str, pieces: list[tuple[float, tuple[int, int]]]):
+        self.of, self.word, self.pieces = of, word, pieces
+
+    def __missing__(self, ch: str) -> End:
+        found = self[ch] = self.of.end(self.word + ch)
+        return found
 
 
 class Pieces:
@@ -57,77 +87,98 @@ class Pieces:
             for ch in reversed(self.names[i]):
                 node = node.setdefault(ch, {})
             node[""] = (sp.get_score(i), i)
+        self.fronts = {""} | {self.names[i][:k] for i in normal for k in range(1, len(self.names[i]) + 1)}
+        self.raw = pa.array([bytes([self.byte_of[i]]) if i in self.byte_of else name.encode() for i, name in enumerate(self.names)], pa.large_binary())
+        self._forget_ends()
+        self.ids_of: dict[str, bytes] = {}  # of words as ``marked_words`` writes them
+
+    def _forget_ends(self) -> None:
+        self.known = {"": End(self, "", [])}
+        self.asked = 0
+
+    def end(self, word: str) -> End:
+        """The ``End`` of ``word``."""
+        self.asked += 1
+        while word not in self.fronts:
+            word = word[1:]
+        found = self.known.get(word)
+        if found is None:
+            pieces, node = [], self.ends
+            for size, ch in enumerate(reversed(word), 1):
+                node = node.get(ch)
+                if node is None:
+                    break
+                if "" in node:
+                    score, i = node[""]
+                    pieces.append((score, (size, i)))
+            found = self.known[word] = End(self, word, pieces)
+        return found
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of ``words``, which must be sorted."""
+        """Ids of each of ``words``, which must be sorted (by any order of the characters)."""
+        if self.asked > KEPT_ENDS:
+            self._forget_ends()
         best = [0.0]  # forward score of each position of the current word
-        came: list[tuple[int, int]] = [(0, -1)]  # start of the best last piece, its id (-1: bytes)
+        came = [(0, -1)]  # length of the best last piece, its id (-1: bytes)
+        ends = [self.known[""]]
+        unknown, no_piece = self.unknown, (1, -1)
         out, before = [], ""
         for word in words:
-            shared = len(commonprefix((before, word)))
-            del best[shared + 1:], came[shared + 1:]
-            for end in range(shared + 1, len(word) + 1):
-                node = self.ends.get(word[end - 1])
-                top, start, piece = best[end - 1] + self.unknown, end - 1, -1
-                at = end - 1
-                while node is not None:
-                    found = node.get("")
-                    if found and best[at] + found[0] >= top:
-                        top, start, piece = best[at] + found[0], at, found[1]
-                    at -= 1
-                    if at < 0:
-                        break
-                    node = node.get(word[at])
+            shared = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                shared += 1
+            del best[shared + 1:], came[shared + 1:], ends[shared + 1:]
+            end, at = ends[shared], shared
+            for ch in word[shared:]:
+                end = end[ch]
+                top, last = best[at] + unknown, no_piece
+                at += 1
+                for score, piece in end.pieces:
+                    total = best[at - piece[0]] + score
+                    if total >= top:
+                        top, last = total, piece
                 best.append(top)
-                came.append((start, piece))
+                came.append(last)
+                ends.append(end)
             before = word
-            ids, end = [], len(word)
-            while end:
-                start, piece = came[end]
+            ids = []
+            while at:
+                size, piece = came[at]
                 if piece >= 0:
                     ids.append(piece)
                 else:
-                    ids += [self.byte_ids[b] for b in reversed(word[start:end].encode())]
-                end = start
-            out.append(ids[::-1])
+                    ids += [self.byte_ids[b] for b in reversed(word[at - 1].encode())]
+                at -= size
+            ids.reverse()
+            out.append(ids)
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, by way of the distinct marked words of all of them."""
-        words: list[str] = []
-        sizes = []
-        for text in texts:
-            own = WORDS.findall(MARK + text.replace(" ", MARK)) if text else []
-            words += own
-            sizes.append(len(own))
-        distinct = sorted(set(words))
-        encoded = self.encode_sorted(distinct)
-        lens = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lens.sum()))
-        begin = np.cumsum(lens) - lens
-        place = dict(zip(distinct, range(len(distinct))))
-        which = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        size = lens[which]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        ids = flat[np.repeat(begin[which] - ends[:-1], size) + np.arange(ends[-1])] if len(words) else flat
-        cuts = ends[np.cumsum([0, *sizes])]
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        words, at = marked_words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        ids_of = self.ids_of
+        if len(ids_of) > KEPT_WORDS:
+            ids_of.clear()
+        new = sorted(filterfalse(ids_of.__contains__, distinct))
+        encoded = self.encode_sorted([MARK + w.replace(" ", MARK) for w in new])
+        ends = np.cumsum([0, *map(len, encoded)])
+        raw = np.fromiter(chain.from_iterable(encoded), np.uint32, int(ends[-1])).tobytes()
+        ids_of.update(zip(new, map(raw.__getitem__, map(slice, (4 * ends[:-1]).tolist(), (4 * ends[1:]).tolist()))))
+        joined = pa.array(list(map(ids_of.__getitem__, distinct)), pa.large_binary()).take(coded.indices)
+        flat = np.frombuffer(joined.buffers()[2] or b"", np.uint32)
+        cuts = np.frombuffer(joined.buffers()[1], np.int64)[at] // 4 if len(joined) else at
+        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``: pieces joined, byte pieces as UTF-8, marks as spaces, less the mark in front."""
-        out, raw = [], bytearray()
-        byte_of, names = self.byte_of, self.names
-        for i in ids.tolist():
-            if i in byte_of:
-                raw.append(byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(names[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        return "".join(out).replace(MARK, " ")[1:]
+        if not len(ids):
+            return ""
+        joined = self.raw.take(pa.array(ids)).buffers()[2]
+        return str(joined, "utf-8", "replace").replace(MARK, " ")[1:]
 
 
 def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -97,3 +97,16 @@ def test_table_and_edges(spark, pieces):
     back = V.decode(out.select("doc_id", "ids"), PATH).where("doc_id < 7000")
     assert back.exceptAll(docs.join(out.select("doc_id", "ids"), "doc_id").select("doc_id", "ids", "text")).count() == 0
     assert V.encode(odd.limit(0), PATH).count() == 0
+
+
+def test_words_met_before_are_not_searched_again(pieces, monkeypatch):
+    first, second = ["the cat  sat", " the mat"], ["the mat", "", "a  cat ▁sat", "  the cat "]
+    want = [V.Pieces(PATH).encode([t])[0].tolist() for t in second]
+    fresh, searched = V.Pieces(PATH), []
+    monkeypatch.setattr(V.Pieces, "encode_sorted", lambda self, words, search=V.Pieces.encode_sorted: searched.append(words) or search(self, words))
+    fresh.encode(first)
+    assert [x.tolist() for x in fresh.encode(second)] == want
+    assert [sorted(w) for w in searched] == [["▁cat", "▁mat", "▁the", "▁▁sat", "▁▁the"], ["▁", "▁a", "▁▁cat", "▁▁▁the"]]
+    monkeypatch.setattr(V, "KEPT_WORDS", 1)
+    monkeypatch.setattr(V, "KEPT_ENDS", 1)
+    assert [x.tolist() for x in fresh.encode(second)] == want and len(searched[-1]) == len(fresh.ids_of)
