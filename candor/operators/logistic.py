@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from candor import constants as K
 from candor.functions import text as T
+from candor.session import kept
 
 BITS = 18
 BINS = 1024
@@ -26,7 +27,12 @@ DIGITS = 9
 
 
 def features(df: DataFrame, text_col: str = "text", bits: int = BITS, out_col: str = "features") -> DataFrame:
-    """Add the hashed words and word pairs of a text, each counted once, as a vector of length 1 (no words: the zero vector)."""
+    """Add the hashed words and word pairs of a text, each counted once, as a vector of length 1 (no words: the zero vector).
+
+    A table that has them already stays as it is, so ``train`` and ``score`` can share one that was kept (``hashed``).
+    """
+    if out_col in df.columns:
+        return df
     words = df.withColumn("_w", F.coalesce(T.regex_words(text_col), F.array().cast("array<string>")))
     n = F.size("_w") - 1
     pairs = F.transform(F.arrays_zip(F.slice("_w", 1, F.greatest(n, F.lit(0))).alias("a"), F.slice("_w", 2, F.greatest(n, F.lit(0))).alias("b")), lambda x: F.concat_ws(" ", x["a"], x["b"]))
@@ -34,6 +40,11 @@ def features(df: DataFrame, text_col: str = "text", bits: int = BITS, out_col: s
     return Normalizer(inputCol="_f", outputCol=out_col).transform(hashed).drop("_w", "_t", "_f")
 
 
+def hashed(df: DataFrame, keep: list[str], text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """``keep, features`` of every row and ``has_text`` (text is not NULL), made once and kept."""
+    return kept(features(df, text_col, bits).select(*keep, F.col(text_col).isNotNull().alias("has_text"), "features"))
+
+
 @dataclass
 class Calibration:
     """Rising points ``(score, share of positives)``; scores between two points are interpolated."""
@@ -96,11 +107,13 @@ def train(texts: DataFrame, keys: list[str], label_col: str = "y", text_col: str
     """A classifier of ``texts(keys, text, y in {0, 1})``; one row in ``calibrating``, chosen by a hash of ``keys``, calibrates and is not trained on.
 
     Rows with another label or a NULL are not used. With one class only (or none), every text gets that class' smoothed share.
+    ``texts`` may be rows of ``hashed`` (of the same ``bits``) instead. What is trained on is kept, as it is read several times.
     """
-    known = texts.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).withColumn(label_col, F.col(label_col).cast("double"))
+    told = F.col("has_text") if "has_text" in texts.columns else F.col(text_col).isNotNull()
+    known = texts.where(F.col(label_col).isin(0, 1) & told).withColumn(label_col, F.col(label_col).cast("double"))
     held = F.pmod(F.crc32(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])), F.lit(calibrating)) == 0
-    ready = features(known, text_col, bits)
-    fit, rest = ready.where(~held), ready.where(held)
+    ready = kept(features(known, text_col, bits).select(label_col, "features", held.alias("held")))
+    fit, rest = ready.where(~F.col("held")), ready.where("held")
     n1, n0 = fit.agg(F.count_if(F.col(label_col) == 1), F.count_if(F.col(label_col) == 0)).first()
     prior = (n1 + 0.5) / (n1 + n0 + 1)
     if not n1 or not n0:

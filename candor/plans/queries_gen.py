@@ -130,9 +130,12 @@ def q_benchmark_spans(spark, sf_dir):
 # Calibrated classifier
 # =============================================================================================
 
+def _labels(spark, sf_dir):
+    return load_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+
+
 def _labelled(spark, sf_dir):
-    labels = load_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
-    return load_table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return load_table(spark, sf_dir, "documents").select("doc_id", "text").join(_labels(spark, sf_dir), "doc_id")
 
 
 @register("calibrated_scores")
@@ -141,7 +144,8 @@ def q_calibrated_scores(spark, sf_dir):
     from candor.operators import logistic as C
     from candor.operators.classify import neutralize
 
-    scored = C.score(load_table(spark, sf_dir, "documents").select("doc_id", "text"), C.train(_labelled(spark, sf_dir), ["doc_id"]))
+    docs = C.hashed(load_table(spark, sf_dir, "documents"), ["doc_id"])
+    scored = C.score(docs, C.train(docs.join(_labels(spark, sf_dir), "doc_id"), ["doc_id"]))
     return neutralize(scored).select("doc_id", F.round("raw", 6).alias("raw"), "p", "label", "score", "neutralized")
 
 
@@ -155,7 +159,8 @@ def q_classifier_quality(spark, sf_dir):
     held = F.pmod(F.crc32(F.concat(F.lit("held|"), F.col("doc_id").cast("string"))), F.lit(5)) == 0
     seen, rest = labelled.where(~held), labelled.where(held)
     bayes = score_naive_bayes(rest, ["doc_id"], *train_naive_bayes(seen)).withColumn("p", 1.0 / (1.0 + F.exp(-F.col("z"))))
-    model = C.train(seen, ["doc_id"])
+    table = C.hashed(labelled, ["doc_id", "y"])
+    model, rest = C.train(table.where(~held), ["doc_id"]), table.where(held)
     out = [C.quality(df, p_col=p).withColumn("model", F.lit(name)) for name, df, p in
            (("naive_bayes", bayes, "p"), ("logistic", C.score(rest, model), "raw"), ("logistic_calibrated", C.score(rest, model), "p"))]
     return out[0].unionByName(out[1]).unionByName(out[2]).select("model", "rows", *[F.round(c, 6).alias(c) for c in ("log_loss", "brier", "calibration_error")])

@@ -78,3 +78,16 @@ def test_edges(spark):
     model = C.train(spark.createDataFrame(noisy(200, 3), SCHEMA), ["id"])
     out = C.score(spark.createDataFrame([(5, "", 1), (6, None, 0)], SCHEMA), model).collect()
     assert out[0].p == out[1].p
+
+
+def test_texts_are_hashed_once(spark, monkeypatch):
+    texts = spark.createDataFrame([*noisy(120, 4), (900, None, 1), (901, "", 0), (None, "sound w1", 1)], SCHEMA)
+    plain = C.train(texts, ["id"])
+    want = sorted((str(r.id), r.raw, r.p) for r in C.score(texts, plain).collect())
+    table = C.hashed(texts, ["id", "y"])
+    assert table.columns == ["id", "y", "has_text", "features"] and table.where("NOT has_text").count() == 1
+    monkeypatch.setattr(C.T, "regex_words", None)  # no text is read again
+    shared = C.train(table, ["id"])
+    got = sorted((str(r.id), r.raw, r.p) for r in C.score(table, shared).collect())
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [x for g in got for x in g[1:]] == pytest.approx([x for w in want for x in w[1:]], abs=1e-6)
