@@ -137,3 +137,27 @@ def test_bootstrap_is_the_plain_loop(spark):
 def test_poisson_weights():
     assert B.CUMULATIVE[0] == pytest.approx(math.exp(-1)) and all(
         B.CUMULATIVE[i] == pytest.approx(sum(math.exp(-1) / math.factorial(k) for k in range(i + 1)), abs=1e-12) for i in range(len(B.CUMULATIVE)))
+
+
+def test_ranks_come_from_numbers_not_strings(spark):
+    texts = ["The cat sat. A cat ran! Dogs bark? The end.", "...", None, "one", "", "a b. c d. a c. ' -. b", "x. x. x."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts])], "doc_id INT, text STRING").repartition(1)
+    got = {}
+    for r in G.ranked_sentences(df, ["doc_id"]).collect():
+        got.setdefault(r.doc_id, {})[r.cand_id] = r.score
+    words = {0: ["the cat sat", "a cat ran", "dogs bark", "the end"], 3: ["one"], 5: ["a b", "c d", "a c", "", "b"], 6: ["x", "x", "x"]}
+    for i, w in words.items():
+        want = G.rank([x.split() for x in w]).round(G.DIGITS).tolist()
+        assert [got[i][k] for k in sorted(got[i])] == [got[i + len(texts)][k] for k in sorted(got[i])] == want
+    assert {i % len(texts) for i in got} - set(words) <= {1}
+    numbers = {w: 97 - i for i, w in enumerate(dict.fromkeys(x for s in words[0] for x in s.split()))}
+    coded = np.unique([numbers[x] for s in words[0] for x in s.split()], return_inverse=True)[1]
+    assert G.rank_entries(np.array([len(s.split()) for s in words[0]]), coded).tolist() == G.rank([s.split() for s in words[0]]).tolist()
+
+
+def test_texts_are_split_and_ranked_once(spark):
+    df = spark.createDataFrame([(1, "A b. A c."), (2, None), (3, " "), (4, "...")], "doc_id INT, text STRING")
+    ranked = G.ranked_sentences(df, ["doc_id"])
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("[^.!?]+") == 1
+    assert sorted((r.doc_id, r.cand_id) for r in ranked.collect()) == [(1, 1), (1, 2)]
